@@ -1,0 +1,28 @@
+"""The product catalogue that order and click events refer to."""
+
+from __future__ import annotations
+
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, SparkSession
+
+# Product id, name, category, price.
+PRODUCTS = (
+    ("P001", "Wireless Headphones", "Electronics", "89.99"),
+    ("P002", "Running Shoes", "Sports", "129.99"),
+    ("P003", "Coffee Maker", "Kitchen", "59.99"),
+    ("P004", "Yoga Mat", "Sports", "34.99"),
+    ("P005", "Bluetooth Speaker", "Electronics", "49.99"),
+    ("P006", "Desk Lamp", "Home", "24.99"),
+    ("P007", "Water Bottle", "Sports", "19.99"),
+    ("P008", "Laptop Stand", "Electronics", "44.99"),
+    ("P009", "Scented Candle", "Home", "14.99"),
+    ("P010", "Protein Powder", "Health", "54.99"),
+)
+
+
+def product_catalog(spark: SparkSession) -> DataFrame:
+    rows = [(pid, name, category, Decimal(price)) for pid, name, category, price in PRODUCTS]
+    return spark.createDataFrame(
+        rows, "product_id string, product_name string, category string, price decimal(12,2)"
+    )
