@@ -12,9 +12,16 @@ from tallybrook.schemas import KINDS, EventKind
 NO_USER = "unknown"
 
 
-def payload_json(kind: EventKind) -> Column:
-    """The fields of a kind as one JSON object; NULL fields are written as null."""
-    return F.to_json(F.struct(*kind.fields), {"ignoreNullFields": "false"})
+def payload_json(events: DataFrame, kind: EventKind) -> Column:
+    """The fields of a kind as one JSON object; NULL fields are written as null.
+
+    Fields the table has no column for are NULL.
+    """
+    fields = [
+        F.col(name) if name in events.columns else F.lit(None).cast(dtype).alias(name)
+        for name, dtype in kind.fields.items()
+    ]
+    return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
 
 
 def _by_kind(event_type: Column, kinds: tuple[EventKind, ...], result) -> Column:
@@ -31,13 +38,13 @@ def publish_frame(
 ) -> DataFrame:
     """Key, value and topic of every event in a table of mixed kinds.
 
-    The table has the payload columns of all given kinds; each event uses those of its own.
-    Events are keyed by user, so that one user's events keep their order.
+    Each event is written with the fields of its own kind, and keyed by user, so that one
+    user's events keep their order.
     """
     event_type = F.col("event_type")
     return events.select(
         F.coalesce("user_id", F.lit(NO_USER)).alias("key"),
-        _by_kind(event_type, kinds, payload_json).alias("value"),
+        _by_kind(event_type, kinds, lambda kind: payload_json(events, kind)).alias("value"),
         _by_kind(event_type, kinds, lambda kind: F.lit(kind.topic)).alias("topic"),
         *carry,
     )

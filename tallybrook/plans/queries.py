@@ -385,6 +385,7 @@ def _land(spark: SparkSession, sf_dir: str, lake: str, kinds=KINDS) -> None:
             fresh_folder(spark, "land-checkpoint"),
             kinds=kinds,
             trigger=ALL_AT_ONCE,
+            mixed_hours=True,
         )
     )
 
@@ -436,6 +437,7 @@ def publish_then_ingest(spark, sf_dir):
         lake,
         fresh_folder(spark, "land-checkpoint"),
         trigger=ALL_AT_ONCE,
+        mixed_hours=True,
     )
     ingest.finish([landing])
     return _tier_totals(read_lake(spark, lake, ORDER))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallybrook.operators.enrich import lake_rows
@@ -16,14 +15,13 @@ PARTITIONS = ("date", "hour")
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
 
 
-def cluster_by_hour(rows: DataFrame, files_per_hour: int, tasks: int) -> DataFrame:
-    """Bring the rows of an hour into at most that many tasks, hence files.
+def by_hour(rows: DataFrame) -> DataFrame:
+    """Bring the rows of an hour together, so that it gets few files.
 
-    A stream's rows nearly all belong to the current hour, and unreadable ones to none, so
-    the hour alone would send them to one task; the bucket spreads them.
+    A stream's rows nearly all belong to the current hour, and unreadable ones to none;
+    adaptive execution splits such hours by size over several tasks, and joins small ones.
     """
-    bucket = F.pmod(F.xxhash64(*rows.columns), F.lit(files_per_hour))
-    return rows.repartition(tasks, *PARTITIONS, bucket)
+    return rows.hint("rebalance", *PARTITIONS)
 
 
 def land(
@@ -33,18 +31,17 @@ def land(
     checkpoints: str,
     *,
     trigger: Mapping[str, object] = EVERY_30_SECONDS,
-    files_per_hour: int | None = None,
-    tasks: int = 200,
+    mixed_hours: bool = False,
 ) -> StreamingQuery:
     """Append the events of one kind to its table, by event date and hour.
 
     Late events go to the hour they belong to; nothing is dropped. By default no row is
-    shuffled: each task writes its own file per hour. ``files_per_hour`` trades one
-    shuffle for fewer files, for backfills that mix many hours.
+    shuffled: each task writes its own file per hour. ``mixed_hours`` trades one shuffle
+    for fewer files, for backfills where every task sees many hours.
     """
     rows = lake_rows(messages, kind)
-    if files_per_hour is not None:
-        rows = cluster_by_hour(rows, files_per_hour, tasks)
+    if mixed_hours:
+        rows = by_hour(rows)
     return (
         rows.writeStream.format("parquet")
         .option("path", table_path(lake, kind))

@@ -1,0 +1,82 @@
+"""Messages for tests, as a topic-based source would deliver them."""
+
+from __future__ import annotations
+
+import json
+from datetime import datetime, timezone
+
+from tallybrook.operators.decode import envelope
+from tallybrook.schemas import MESSAGE_FIELDS, ddl
+
+ARRIVED = datetime(2026, 3, 13, 14, 5, 7, tzinfo=timezone.utc)
+
+ORDER_EVENT = {
+    "event_type": "order",
+    "event_id": "e1",
+    "timestamp": "2026-03-13T14:05:06.123456",
+    "user_id": "U1000",
+    "session_id": "s1",
+    "order_id": "ORD-1",
+    "product_id": "P001",
+    "product_name": "Wireless Headphones",
+    "category": "Electronics",
+    "quantity": 2,
+    "unit_price": 89.99,
+    "discount": 0.1,
+    "subtotal": 179.98,
+    "total_amount": 161.98,
+    "currency": "USD",
+    "status": "pending",
+    "city": "Chicago",
+    "device": "mobile",
+}
+CLICK_EVENT = {
+    "event_type": "click",
+    "event_id": "e2",
+    "timestamp": "2026-03-14T09:00:00",
+    "user_id": "U1001",
+    "session_id": "s2",
+    "product_id": "P002",
+    "product_name": "Running Shoes",
+    "category": "Sports",
+    "page": "home",
+    "device": "tablet",
+    "os": "iOS",
+    "browser": "Safari",
+    "city": "Dallas",
+    "time_on_page": 42,
+}
+PAYMENT_EVENT = {
+    "event_type": "payment",
+    "event_id": "e3",
+    "timestamp": "2026-03-13T23:59:59",
+    "user_id": "U1002",
+    "order_id": "ORD-9",
+    "payment_id": "PAY-9",
+    "amount": 59.99,
+    "currency": "USD",
+    "payment_method": "paypal",
+    "status": "success",
+    "failure_reason": None,
+    "city": "Houston",
+    "device": "desktop",
+}
+BY_KIND = {"order": ORDER_EVENT, "click": CLICK_EVENT, "payment": PAYMENT_EVENT}
+
+
+def event(kind: str, **changes):
+    return {**BY_KIND[kind], **changes}
+
+
+def raw(spark, values, topic=None, arrived=ARRIVED):
+    """Source rows; a value is an event, ready text, or None. One partition."""
+    rows = []
+    for value in values:
+        text = json.dumps(value) if isinstance(value, dict) else value
+        where = topic or f"ecommerce.{value['event_type']}s"
+        rows.append((b"key", None if text is None else text.encode(), where, arrived))
+    return spark.createDataFrame(rows, ddl(MESSAGE_FIELDS)).coalesce(1)
+
+
+def messages(spark, values, topic=None):
+    return envelope(raw(spark, values, topic))

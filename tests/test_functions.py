@@ -1,0 +1,105 @@
+"""Scalar rules at their boundaries."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from tallybrook.functions import columns as C
+from tallybrook.functions import text as X
+
+
+def apply(spark, dtype, values, rule):
+    rows = [(i, v) for i, v in enumerate(values)]
+    frame = spark.createDataFrame(rows, f"i int, v {dtype}")
+    result = frame.select("i", rule(F.col("v")).alias("r")).orderBy("i").collect()
+    return [row.r for row in result]
+
+
+def test_price_tier(spark):
+    prices = [-1.0, 0.0, 24.99, 25.0, 74.99, 75.0, 1e9, None, float("nan")]
+    tiers = ["budget"] * 3 + ["mid"] * 2 + ["premium"] * 4
+    assert apply(spark, "double", prices, C.price_tier) == tiers
+
+
+def test_engagement(spark):
+    times = [9, 10, 59, 60, 179, 180, None]
+    levels = ["bounce", "low", "low", "medium", "medium", "high", "high"]
+    assert apply(spark, "int", times, C.engagement) == levels
+
+
+def test_is_successful(spark):
+    assert apply(spark, "string", ["success", "x", None], C.is_successful) == [True, False, None]
+
+
+def test_event_time(spark):
+    texts = [
+        "2026-03-13T14:05:06.123456",
+        "2026-03-13T14:05:06",
+        "2026-03-13T23:30:00-05:00",
+        "bad",
+        "",
+        None,
+    ]
+    assert apply(spark, "string", texts, lambda c: C.event_time(c).cast("timestamp_ntz")) == [
+        datetime(2026, 3, 13, 14, 5, 6, 123456),
+        datetime(2026, 3, 13, 14, 5, 6),
+        datetime(2026, 3, 14, 4, 30),
+        None,
+        None,
+        None,
+    ]
+
+
+def test_is_weekend(spark):
+    days = ["2026-03-13", "2026-03-14", "2026-03-15", "2026-03-16", None]
+    result = apply(spark, "string", days, lambda c: C.is_weekend(c.cast("timestamp")))
+    assert result == [False, True, True, False, None]
+
+
+def test_money_never_raises(spark):
+    amounts = [1.005, 2.5, None, float("nan"), float("inf"), 1e300]
+    result = apply(spark, "double", amounts, C.money)
+    assert [float(v) for v in result] == [1.01, 2.5, 0.0, 0.0, 0.0, 0.0]
+
+
+@pytest.mark.parametrize(
+    "failed, total, rate",
+    [(3, 16, 81.2), (0, 0, 100.0), (0, 5, 100.0), (5, 5, 0.0), (1, 3, 66.7), (55, 1000, 94.5)],
+)
+def test_success_rate(spark, failed, total, rate):
+    frame = spark.createDataFrame([(failed, total)], "f bigint, t bigint")
+    assert frame.select(C.success_rate(F.col("f"), F.col("t"))).first()[0] == rate
+    assert round((1 - failed / max(total, 1)) * 100, 1) == rate
+
+
+def test_cycle_start(spark):
+    moments = ["2026-03-13T14:05:06.999999", "1969-12-31T23:59:59", None]
+    result = apply(
+        spark, "string", moments, lambda c: C.cycle_start(c.cast("timestamp"), 60).cast("string")
+    )
+    assert result == ["2026-03-13 14:05:00", "1969-12-31 23:59:00", None]
+
+
+@pytest.mark.parametrize("n", [0, 7, 999, 1000, 1624, 10**12])
+def test_thousands(spark, n):
+    assert apply(spark, "bigint", [n], X.thousands) == [f"{n:,}"]
+
+
+@pytest.mark.parametrize("x", [0.0, 0.5, 999.99, 1234.5, 214000.0, -5.0, 1e9])
+def test_dollars(spark, x):
+    assert apply(spark, "double", [x], X.dollars) == [f"${x:,.2f}"]
+
+
+@pytest.mark.parametrize("x", [0.0, 94.5, 100.0, 81.2])
+def test_percent(spark, x):
+    assert apply(spark, "double", [x], X.percent) == [f"{x}%"]
+
+
+def test_clock_and_day(spark):
+    moment = ["2026-03-13 04:05:06.5"]
+    as_time = lambda rule: lambda c: rule(c.cast("timestamp"))
+    assert apply(spark, "string", moment, as_time(X.clock)) == ["04:05:06"]
+    assert apply(spark, "string", moment, as_time(X.day)) == ["2026-03-13"]

@@ -1,0 +1,140 @@
+"""Dashboards kept by a stream."""
+
+from __future__ import annotations
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from support import event, raw
+from tallybrook.operators import metrics as M
+from tallybrook.sources import tables
+from tallybrook.sources.messages import batch_messages, stream_messages
+from tallybrook.streaming import ingest, live
+
+ONCE = {"availableNow": True}
+
+
+@pytest.fixture
+def at(tmp_path):
+    return lambda name: str(tmp_path / name)
+
+
+def append(spark, at, *values):
+    raw(spark, list(values)).write.mode("append").parquet(at("log"))
+
+
+def stream(spark, at, **options):
+    return stream_messages(spark, "parquet", options, at("log"))
+
+
+def test_totals_carry_on_after_a_restart(spark, at):
+    batches = [
+        [event("order", total_amount=10.25, city="A"), event("click")],
+        [event("payment", status="failed"), event("order", total_amount=5.5, city="B")],
+        [event("payment"), event("order", total_amount=None, city=None)],
+    ]
+    for values in batches:
+        append(spark, at, *values)
+        query = live.start_totals(stream(spark, at), at("out"), at("state"), ONCE)
+        ingest.finish([query])
+        logged = batch_messages(spark, "parquet", path=at("log"))
+        current = live.read_totals(spark, at("out"))
+        now = M.facts(logged)
+        assert M.kpi_totals(current).first() == M.kpi_totals(now).first()
+        for metric in (M.breakdowns, M.orders_by_category, M.top_cities_by_revenue):
+            assert sorted(metric(current).collect()) == sorted(metric(now).collect())
+    assert tuple(M.kpi_totals(current).first()) == (3, 1, 2, 15.75, 1, 50.0)
+
+
+def test_one_point_per_batch_and_zero_without_orders(spark, at):
+    append(spark, at, event("order", total_amount=1.1), event("order", total_amount=2.2))
+    append(spark, at, event("click"))
+    append(spark, at, event("order", total_amount=3.3))
+    messages = stream(spark, at, maxFilesPerTrigger="1")
+    ingest.finish([live.start_cycles(messages, at("out"), at("state"), ONCE)])
+    rows = live.read_cycles(spark, at("out")).orderBy("batch_id").collect()
+    assert [row.batch_id for row in rows] == [0, 1, 2]
+    assert sum(row.orders for row in rows) == 3
+    assert sorted(row.revenue for row in rows) == [0.0, 3.3, 3.3]
+    series = live.cycle_series(spark, at("out")).collect()
+    assert sum(point.orders for point in series) == 3
+    gaps = {
+        (b.cycle_start - a.cycle_start).total_seconds() for a, b in zip(series, series[1:])
+    }
+    assert gaps <= {3.0}
+
+
+def point(spark, orders):
+    return spark.createDataFrame(
+        [(datetime(2026, 3, 13), orders, None)], live.CYCLES_DDL.split(", ", 1)[1]
+    )
+
+
+def test_a_repeated_batch_counts_once(spark, at):
+    for batch_id, orders in ((0, 5), (1, 6), (1, 6)):
+        live._write_slot(point(spark, orders), batch_id, at("out"))
+    rows = live.read_cycles(spark, at("out")).collect()
+    assert sorted((row.batch_id, row.orders) for row in rows) == [(0, 5), (1, 6)]
+
+
+def test_only_the_last_60_batches_are_kept(spark, at):
+    for batch_id in (0, 1, 58, 59, 60, 61, 119, 120):
+        live._write_slot(point(spark, batch_id), batch_id, at("out"))
+    rows = live.read_cycles(spark, at("out")).collect()
+    # 60 and 120 replaced 0; 61 replaced 1; 119 replaced 59.
+    assert sorted(row.batch_id for row in rows) == [58, 61, 119, 120]
+
+
+def test_unfinished_writes_are_ignored(spark, at):
+    live._write_slot(point(spark, 1), 0, at("out"))
+    live._write_slot(point(spark, 2), 1, at("out"))
+    # Batch 2 wrote its rows and died before marking them.
+    unmarked = point(spark, 3).select(F.lit(2).cast("long").alias("batch_id"), "*")
+    unmarked.write.parquet(at("out") + "/rows/slot=2")
+    assert sorted(row.batch_id for row in live.read_cycles(spark, at("out")).collect()) == [0, 1]
+
+
+def test_latest_totals_ignore_unfinished_ones(spark, at):
+    cube = M.cube(M.facts(batch(spark, event("order", total_amount=1.0))))
+    live._write_slot(cube, 7, at("out"))
+    more = M.cube(M.facts(batch(spark, event("order", total_amount=9.0))))
+    torn = more.select(F.lit(8).cast("long").alias("batch_id"), "*")
+    torn.write.parquet(at("out") + "/rows/slot=8")
+    assert M.kpi_totals(live.read_totals(spark, at("out"))).first().total_revenue == 1.0
+
+
+def batch(spark, *values):
+    from support import messages
+
+    return messages(spark, list(values))
+
+
+def test_event_time_series(spark, at):
+    """Cycles leave once the watermark passes them; an event older than that is not in it."""
+
+    def order(time, cents):
+        return event("order", timestamp=f"2026-03-13T{time}", total_amount=cents / 100)
+
+    def run():
+        query = live.start_event_time_cycles(
+            stream(spark, at), at("out"), at("state"), 60, "2 minutes", ONCE
+        )
+        ingest.finish([query])
+        rows = spark.read.parquet(at("out")).select("cycle_start", "orders", "revenue")
+        return sorted((r.cycle_start.minute, r.orders, float(r.revenue)) for r in rows.collect())
+
+    append(spark, at, order("12:00:10", 100), order("12:00:50", 250), order("12:04:00", 1))
+    assert run() == [(0, 2, 3.5)]
+    # Behind the watermark (12:02): dropped here. Ahead of it: counted, though out of order.
+    append(spark, at, order("12:00:30", 999), order("12:03:10", 700), order("12:09:00", 1))
+    assert run() == [(0, 2, 3.5), (3, 1, 7.0), (4, 1, 0.01)]
+
+
+def test_series_of_the_table_adds_up(spark, sf_dir, at):
+    messages = tables.stream_of_messages(spark, sf_dir)
+    ingest.finish([live.start_cycles(messages, at("out"), at("state"), ONCE)])
+    totals = M.kpi_totals(M.facts(tables.messages(spark, sf_dir))).first()
+    sums = live.read_cycles(spark, at("out")).agg(F.sum("orders"), F.sum("revenue")).first()
+    assert tuple(sums) == (totals.total_orders, totals.total_revenue)
