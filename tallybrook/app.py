@@ -44,7 +44,7 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         f"{args.base}/checkpoints",
         mixed_hours=args.mixed_hours,
     )
-    ingest.supervise(spark, queries)
+    ingest.supervise(queries)
 
 
 def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -62,7 +62,7 @@ def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
         start(arriving, f"{args.base}/live/{name}", f"{args.base}/checkpoints/live-{name}")
         for name, start in (("totals", live.start_totals), ("cycles", live.start_cycles))
     ]
-    ingest.supervise(spark, queries)
+    ingest.supervise(queries)
 
 
 def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from tallybrook.operators.enrich import lake_rows
@@ -69,15 +69,18 @@ def land_all(
     return [land(messages_of(kind), kind, lake, checkpoints, **options) for kind in kinds]
 
 
-def supervise(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:
-    """Block until any query ends, stop the others, and raise what ended it."""
+def supervise(queries: Iterable[StreamingQuery]) -> None:
+    """Block until any of the queries ends, stop the others, and raise what ended it.
+
+    Looks at these queries only: the session may have seen others end before.
+    """
     running = list(queries)
     try:
-        spark.streams.awaitAnyTermination()
+        while all(query.isActive for query in running):
+            running[0].awaitTermination(timeout=1)
     finally:
         for query in running:
-            if query.isActive:
-                query.stop()
+            query.stop()
     for query in running:
         if query.exception() is not None:
             raise query.exception()

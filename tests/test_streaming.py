@@ -165,12 +165,9 @@ def test_one_failure_ends_all(spark, folders):
         .option("checkpointLocation", folders["checkpoints"] + "-broken")
         .start()
     )
-    try:
-        with pytest.raises(StreamingQueryException):
-            ingest.supervise(spark, [steady, broken])
-        assert not steady.isActive and not broken.isActive
-    finally:
-        spark.streams.resetTerminated()
+    with pytest.raises(StreamingQueryException, match="broken"):
+        ingest.supervise([steady, broken])
+    assert not steady.isActive and not broken.isActive
 
 
 def test_lake_schema_is_what_the_files_hold(spark, folders):
