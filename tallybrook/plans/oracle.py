@@ -267,6 +267,7 @@ SELECT CASE WHEN event_type = 'purchase' THEN 'orders'
     WHEN event_type IN ('click', 'view') THEN 'clicks' ELSE 'payments' END AS table_name,
   CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n
 FROM events WHERE {_KNOWN} GROUP BY 1, 2, 3""",
+    "lake_kpi_totals": f"{_KPIS} SELECT * FROM kpi",
     "publish_then_ingest": _TIERS,
     "stream_kpi_totals": f"{_KPIS} SELECT * FROM kpi",
     "stream_breakdowns": _BREAKDOWNS,

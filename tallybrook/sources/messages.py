@@ -75,4 +75,5 @@ def stream_messages(
 def batch_messages(
     spark: SparkSession, fmt: str, options: Mapping[str, str] = {}, path: str | None = None
 ) -> DataFrame:
+    """The log as it is now. A broker needs ``starting="earliest"`` here."""
     return _load(spark.read, fmt, options, path)

@@ -114,9 +114,10 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS_DDL).parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_events(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
     """The same rows as a stream of files. The glob covers one file and a directory."""
-    return spark.readStream.schema(EVENTS_DDL).parquet(f"{sf_dir}/events*.parquet")
+    reader = spark.readStream.schema(EVENTS_DDL).options(**options)
+    return reader.parquet(f"{sf_dir}/events*.parquet")
 
 
 def messages(spark: SparkSession, sf_dir: str, *kinds: EventKind) -> DataFrame:
@@ -125,6 +126,8 @@ def messages(spark: SparkSession, sf_dir: str, *kinds: EventKind) -> DataFrame:
     return as_messages(event_rows(read_events(spark, sf_dir), chosen), chosen)
 
 
-def stream_of_messages(spark: SparkSession, sf_dir: str, *kinds: EventKind) -> DataFrame:
+def stream_of_messages(
+    spark: SparkSession, sf_dir: str, *kinds: EventKind, **options: str
+) -> DataFrame:
     chosen = kinds or KINDS
-    return as_messages(event_rows(stream_events(spark, sf_dir), chosen), chosen)
+    return as_messages(event_rows(stream_events(spark, sf_dir, **options), chosen), chosen)

@@ -93,6 +93,23 @@ def test_lake_read_prunes_directories(spark, log, tmp_path):
     assert one.count() == 1
 
 
+def test_lake_facts_read_narrow_columns_and_parse_nothing(spark, log, tmp_path):
+    lake = str(tmp_path / "lake")
+    options = {"trigger": {"availableNow": True}}
+    arrived = stream_messages(spark, "parquet", path=log)
+    ingest.finish(ingest.land_all(lambda _: arrived, lake, str(tmp_path / "state"), **options))
+    tables_ = [read_lake(spark, lake, kind).where("date >= '2026-03-13'") for kind in KINDS]
+    totals = M.kpi_totals(M.lake_facts(*tables_))
+    text = plan(totals)
+    assert "from_json" not in text
+    assert text.count("PartitionFilters: [isnotnull(date") == 3
+    assert "ReadSchema: struct<event_type:string,total_amount:double,status:string>" in text
+    assert "ReadSchema: struct<event_type:string>" in text
+    assert totals.first() == M.kpi_totals(
+        M.facts(batch_messages(spark, "parquet", path=log))
+    ).first()
+
+
 def test_catalogue_is_broadcast_by_size_only(spark):
     events = spark.range(1000).select(F.col("id").cast("string").alias("product_id"))
     small = spark.range(10).select(F.col("id").cast("string").alias("product_id"))
@@ -113,7 +130,7 @@ def test_events_are_counted_before_the_join(spark, sf_dir):
 
 
 @pytest.mark.parametrize(
-    "name", sorted(n for n in entry_module.queries() if not n.startswith(("stream_", "publish_t")))
+    "name", sorted(n for n in entry_module.queries() if not n.startswith(("stream_", "publish_t", "lake_")))
 )
 def test_no_python_and_no_product_of_tables(spark, sf_dir, name):
     text = plan(entry_module.queries()[name](spark, sf_dir))
