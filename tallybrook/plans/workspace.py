@@ -3,11 +3,17 @@
 from __future__ import annotations
 
 import tempfile
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="tallybrook-")
+
+
 def fresh_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under ``spark.checkpoint.dir``.
 
@@ -17,6 +23,5 @@ def fresh_folder(spark: SparkSession, purpose: str) -> str:
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="tallybrook-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{purpose}-{uuid4().hex}"

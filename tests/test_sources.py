@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from decimal import Decimal
+from types import SimpleNamespace
 
 import pytest
 
@@ -52,28 +53,32 @@ def test_catalogue(spark):
     assert max(row.price for row in rows) == Decimal("129.99")
 
 
-def test_folders_are_under_the_shared_one(spark):
-    shared = spark.conf.get("spark.checkpoint.dir")
+def test_folders_are_fresh(spark):
     one, two = fresh_folder(spark, "x"), fresh_folder(spark, "x")
     assert one != two
-    assert one.startswith(f"{shared}/x-")
 
 
-class Cluster:
-    """A session on a cluster that names no shared folder."""
+class Session:
+    """What a folder depends on: where the session runs, and its shared folder."""
 
-    class sparkContext:
-        master = "yarn"
+    def __init__(self, master, shared):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda name, default: shared or default)
 
-    class conf:
-        @staticmethod
-        def get(name, default=None):
-            return default
+
+@pytest.mark.parametrize("master", ["yarn", "local[4]", "spark://host:7077"])
+def test_the_shared_folder_is_used_where_named(master):
+    assert fresh_folder(Session(master, "s3a://b/shared/"), "x").startswith("s3a://b/shared/x-")
+
+
+def test_a_local_session_may_use_its_own_folder():
+    folders = [fresh_folder(Session("local[4]", None), "x") for _ in range(2)]
+    assert len({folder.rsplit("/", 1)[0] for folder in folders}) == 1
 
 
 def test_no_local_folder_on_a_cluster():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        fresh_folder(Cluster, "x")
+        fresh_folder(Session("yarn", None), "x")
 
 
 def test_arguments(monkeypatch):
