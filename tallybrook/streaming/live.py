@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,7 +39,13 @@ def _write_slot(result: DataFrame, batch_id: int, path: str) -> None:
 def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
     # A slot that is being replaced may lose files between listing and reading.
     reader = spark.read.schema(schema).option("ignoreMissingFiles", "true")
-    return reader.parquet(path).select(*[part.split()[0] for part in schema.split(", ")])
+    try:
+        return reader.parquet(path).drop("slot")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        # No micro-batch has ended yet.
+        return spark.createDataFrame([], schema)
 
 
 def start_totals(
@@ -105,6 +112,16 @@ def cycle_series(spark: SparkSession, path: str, seconds: int = POLL_SECONDS) ->
     return M.last_cycles(M.cycle_points(recorded, seconds, "cycle_at"), seconds)
 
 
+def event_time_points(messages: DataFrame, seconds: int, delay: str) -> DataFrame:
+    """Orders and revenue per cycle of event time, for cycles the watermark can close."""
+    on_time = M.facts(messages).withWatermark("event_ts", delay)
+    window = F.window("event_ts", f"{seconds} seconds").alias("cycle")
+    sums = on_time.groupBy(window).agg(
+        F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue")
+    )
+    return sums.select(F.col("cycle.start").alias("cycle_start"), "orders", "revenue")
+
+
 def start_event_time_cycles(
     messages: DataFrame,
     path: str,
@@ -113,17 +130,13 @@ def start_event_time_cycles(
     delay: str = "10 minutes",
     trigger: Mapping[str, object] = EVERY_CYCLE,
 ) -> StreamingQuery:
-    """Orders and revenue per cycle of event time, appended once the cycle is final.
+    """The event-time series, each cycle appended once it is final.
 
     Events later than ``delay`` behind the newest are missing from this series only; the
     watermark is what lets finished cycles leave the state.
     """
-    on_time = M.facts(messages).withWatermark("event_ts", delay)
-    points = on_time.groupBy(F.window("event_ts", f"{seconds} seconds").alias("cycle")).agg(
-        F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue")
-    )
     return (
-        points.select(F.col("cycle.start").alias("cycle_start"), "orders", "revenue")
+        event_time_points(messages, seconds, delay)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)

@@ -111,6 +111,14 @@ def batch(spark, *values):
     return messages(spark, list(values))
 
 
+def test_before_the_first_batch(spark, at):
+    current = live.read_totals(spark, at("out"))
+    assert tuple(M.kpi_totals(current).first()) == (0, 0, 0, 0.0, 0, 100.0)
+    assert M.breakdowns(current).count() == 0
+    assert live.read_cycles(spark, at("out")).count() == 0
+    assert live.cycle_series(spark, at("out")).count() == 0
+
+
 def test_event_time_series(spark, at):
     """Cycles leave once the watermark passes them; an event older than that is not in it."""
 
@@ -132,6 +140,14 @@ def test_event_time_series(spark, at):
     assert run() == [(0, 2, 3.5), (3, 1, 7.0), (4, 1, 0.01)]
 
 
+def test_event_time_series_parses_once(spark, at, capsys):
+    """Although a window leaves out events without a time."""
+    append(spark, at, event("order"))
+    points = live.event_time_points(stream(spark, at), 60, "2 minutes")
+    points.explain()
+    assert capsys.readouterr().out.count("from_json(") == 1
+
+
 def test_series_of_the_table_adds_up(spark, sf_dir, at):
     messages = tables.stream_of_messages(spark, sf_dir)
     ingest.finish([live.start_cycles(messages, at("out"), at("state"), ONCE)])

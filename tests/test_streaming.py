@@ -128,6 +128,31 @@ def test_clustering_keeps_every_row_and_saves_files(spark, sf_dir, folders):
     assert files[True][1] == hours < files[False][1]
 
 
+def test_a_hot_hour_is_split_over_tasks(spark, folders):
+    """A third of the events in one hour, a third unreadable: neither becomes one task."""
+    n = F.col("n")
+    hour = F.when(n % 3 == 0, 14).otherwise((n % 24).cast("int"))
+    text = F.col("value").cast("string")
+    text = F.replace(text, F.lit("T14:05:06.123456"), F.format_string("T%02d:00:00", hour))
+    text = F.replace(text, F.lit("e1"), F.sha2(n.cast("string"), 256))
+    broken = F.when(n % 3 == 1, F.concat(F.lit("x"), text)).otherwise(text)
+    one = raw(spark, [event("order")])
+    many = one.withColumn("n", F.explode(F.sequence(F.lit(0), F.lit(59_999))))
+    log = many.withColumn("value", broken.cast("binary")).drop("n")
+    log.repartition(8).write.parquet(folders["log"])
+    setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "128KB")
+    try:
+        land(spark, folders, [ORDER], mixed_hours=True)
+    finally:
+        spark.conf.unset(setting)
+    rows = read_lake(spark, folders["lake"], ORDER)
+    assert rows.count() == 60000
+    files = rows.select("hour", F.input_file_name().alias("file")).distinct()
+    counts = dict(files.groupBy("hour").count().collect())
+    assert counts[14] > 1 and counts[None] > 1
+
+
 def test_message_files_may_have_another_format(spark, folders):
     text = raw(spark, [ORDER_EVENT]).select(
         F.base64("key").alias("key"), F.base64("value").alias("value"), "topic", "timestamp"
