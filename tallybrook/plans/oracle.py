@@ -57,7 +57,7 @@ _TOPIC = """CASE WHEN event_type = 'purchase' THEN 'ecommerce.orders'
 
 _KNOWN = "event_type IN ('purchase', 'click', 'view', 'signup', 'error')"
 
-_TIMES = """ts AS event_ts, CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour,
+_TIMES = """ts AS event_ts, strftime(ts, '%Y-%m-%d') AS date, CAST(hour(ts) AS INTEGER) AS hour,
   dayofweek(ts) IN (0, 6) AS is_weekend"""
 
 _CITY = """['New York','Los Angeles','Chicago','Houston','Phoenix','Philadelphia',
@@ -186,14 +186,14 @@ SELECT engagement, count(*) AS clicks FROM c GROUP BY 1""",
 SELECT status, status = 'success' AS is_successful, failure_reason, count(*) AS payments
 FROM p GROUP BY ALL""",
     "partition_counts": f"""
-SELECT CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n
+SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n
 FROM events WHERE {_KNOWN} GROUP BY 1, 2""",
     "weekend_activity": f"""{_WITH_ORDERS}
 SELECT dayofweek(ts) IN (0, 6) AS is_weekend, count(*) AS orders,
   CAST(sum(total_d) AS DOUBLE) AS revenue
 FROM o GROUP BY 1""",
     "late_event_partitions": f"""{_WITH_ORDERS}
-SELECT CAST(ts AS DATE) AS date, count(*) AS events,
+SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS events,
   count(*) FILTER (CAST(ts + to_hours(CAST(id % 49 AS INTEGER)) AS DATE) > CAST(ts AS DATE))
     AS late_events
 FROM o GROUP BY 1""",
@@ -265,7 +265,7 @@ GROUP BY 1""",
     "stream_ingest_all": f"""
 SELECT CASE WHEN event_type = 'purchase' THEN 'orders'
     WHEN event_type IN ('click', 'view') THEN 'clicks' ELSE 'payments' END AS table_name,
-  CAST(ts AS DATE) AS date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n
+  strftime(ts, '%Y-%m-%d') AS date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n
 FROM events WHERE {_KNOWN} GROUP BY 1, 2, 3""",
     "lake_kpi_totals": f"{_KPIS} SELECT * FROM kpi",
     "publish_then_ingest": _TIERS,

@@ -53,6 +53,11 @@ def _plain_time(name: str) -> Column:
     return F.col(name).cast("timestamp_ntz").alias(name)
 
 
+def _day_text(name: str = "date") -> Column:
+    """Days as text: engines hand dates over as different types."""
+    return F.col(name).cast("string").alias(name)
+
+
 def _revenue(amount: str) -> Column:
     return F.sum(C.money(F.col(amount))).cast("double").alias("revenue")
 
@@ -114,28 +119,25 @@ def throughput(spark, sf_dir):
 # Lake rows
 
 
+def _comparable(rows: DataFrame) -> DataFrame:
+    """Lake rows without the two times of the run, and times without a zone."""
+    settled = rows.drop("ingest_ts", "kafka_timestamp")
+    return settled.withColumns({"event_ts": _plain_time("event_ts"), "date": _day_text()})
+
+
 @query
 def orders_enriched(spark, sf_dir):
-    rows = _batch_lake_rows(spark, sf_dir, ORDER)
-    return rows.drop("ingest_ts", "kafka_timestamp").withColumn(
-        "event_ts", _plain_time("event_ts")
-    )
+    return _comparable(_batch_lake_rows(spark, sf_dir, ORDER))
 
 
 @query
 def clicks_enriched(spark, sf_dir):
-    rows = _batch_lake_rows(spark, sf_dir, CLICK)
-    return rows.drop("ingest_ts", "kafka_timestamp").withColumn(
-        "event_ts", _plain_time("event_ts")
-    )
+    return _comparable(_batch_lake_rows(spark, sf_dir, CLICK))
 
 
 @query
 def payments_enriched(spark, sf_dir):
-    rows = _batch_lake_rows(spark, sf_dir, PAYMENT)
-    return rows.drop("ingest_ts", "kafka_timestamp").withColumn(
-        "event_ts", _plain_time("event_ts")
-    )
+    return _comparable(_batch_lake_rows(spark, sf_dir, PAYMENT))
 
 
 @query
@@ -163,7 +165,8 @@ def partition_counts(spark, sf_dir):
     stamped = parse(tables.messages(spark, sf_dir), {"timestamp": "string"})
     event_ts = C.event_time(F.col("timestamp"))
     placed = stamped.select(F.to_date(event_ts).alias("date"), F.hour(event_ts).alias("hour"))
-    return placed.groupBy(*PARTITION_FIELDS).agg(F.count(F.lit(1)).alias("n"))
+    counted = placed.groupBy(*PARTITION_FIELDS).agg(F.count(F.lit(1)).alias("n"))
+    return counted.withColumn("date", _day_text())
 
 
 @query
@@ -182,9 +185,10 @@ def late_event_partitions(spark, sf_dir):
     late = tables.as_messages(rows.withColumn("arrival", F.col("arrival") + lag), (ORDER,))
     landed = lake_rows(late, ORDER)
     arrived_later = F.to_date("kafka_timestamp") > F.col("date")
-    return landed.groupBy("date").agg(
+    counted = landed.groupBy("date").agg(
         F.count(F.lit(1)).alias("events"), F.count_if(arrived_later).alias("late_events")
     )
+    return counted.withColumn("date", _day_text())
 
 
 def _damaged(raw_json: Column, variant: Column) -> Column:
@@ -346,13 +350,12 @@ def payment_pricing(spark, sf_dir):
     events = tables.read_events(spark, sf_dir)
     payments = events.where(F.col("event_type").isin(*tables.ROW_TYPES[PAYMENT]))
     k = F.regexp_extract("props", "([0-9]+)", 1).cast("int")
-    reasons = F.array(*[F.lit(reason) for reason in tables.FAILURE_REASONS])
     counted = payments.select(
         "event_id",
         "value",
         (F.col("event_id") % 3 + 1).alias("units"),
         F.when(F.col("event_type") == "error", "failed").otherwise("success").alias("status"),
-        reasons[k % len(tables.FAILURE_REASONS)].alias("reason"),
+        tables.pick(tables.FAILURE_REASONS, k).alias("reason"),
     )
     return pricing.price_payments(counted, "value", "units").select(
         "event_id",
@@ -411,7 +414,7 @@ def stream_ingest_all(spark, sf_dir):
         read_lake(spark, lake, kind)
         .groupBy(*PARTITION_FIELDS)
         .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.lit(kind.table).alias("table_name"), *PARTITION_FIELDS, "n")
+        .select(F.lit(kind.table).alias("table_name"), _day_text(), "hour", "n")
         for kind in KINDS
     ]
     return counts[0].unionByName(counts[1]).unionByName(counts[2])

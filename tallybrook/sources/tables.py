@@ -51,7 +51,7 @@ PAGES = ("home", "search", "category", "product", "cart")
 FAILURE_REASONS = ("insufficient_funds", "card_expired", "declined")
 
 
-def _pick(values: tuple[str, ...], number: Column) -> Column:
+def pick(values: tuple[str, ...], number: Column) -> Column:
     return F.array(*[F.lit(value) for value in values])[F.pmod(number, F.lit(len(values)))]
 
 
@@ -81,7 +81,7 @@ def event_rows(events: DataFrame, kinds: Iterable[EventKind] = KINDS) -> DataFra
         F.concat(F.lit("PAY-"), "event_id").alias("payment_id"),
         F.concat(F.lit("P"), "k").alias("product_id"),
         F.concat(F.lit("Product "), "k").alias("product_name"),
-        _pick(CATEGORIES, F.col("k")).alias("category"),
+        pick(CATEGORIES, F.col("k")).alias("category"),
         units.alias("quantity"),
         value.alias("unit_price"),
         off.cast("double").alias("discount"),
@@ -89,16 +89,16 @@ def event_rows(events: DataFrame, kinds: Iterable[EventKind] = KINDS) -> DataFra
         pricing.discounted(subtotal, off).cast("double").alias("total_amount"),
         pricing.amount(value, event_id % 3 + 1).cast("double").alias("amount"),
         F.lit("USD").alias("currency"),
-        status.otherwise(_pick(ORDER_STATUSES, F.col("k"))).alias("status"),
+        status.otherwise(pick(ORDER_STATUSES, F.col("k"))).alias("status"),
         pricing.failure_reason(
-            F.when(row_type == "error", "failed"), _pick(FAILURE_REASONS, F.col("k"))
+            F.when(row_type == "error", "failed"), pick(FAILURE_REASONS, F.col("k"))
         ).alias("failure_reason"),
-        _pick(PAYMENT_METHODS, F.col("k")).alias("payment_method"),
-        _pick(CITIES, F.col("k")).alias("city"),
-        _pick(DEVICES, F.col("k")).alias("device"),
-        _pick(PAGES, F.col("k")).alias("page"),
-        _pick(SYSTEMS, F.col("k")).alias("os"),
-        _pick(BROWSERS, F.col("k")).alias("browser"),
+        pick(PAYMENT_METHODS, F.col("k")).alias("payment_method"),
+        pick(CITIES, F.col("k")).alias("city"),
+        pick(DEVICES, F.col("k")).alias("device"),
+        pick(PAGES, F.col("k")).alias("page"),
+        pick(SYSTEMS, F.col("k")).alias("os"),
+        pick(BROWSERS, F.col("k")).alias("browser"),
         F.floor(value).cast("int").alias("time_on_page"),
         F.col("ts").cast("timestamp").alias("arrival"),
     )

@@ -20,7 +20,6 @@ SAME_TYPE = {
     "double": "DOUBLE",
     "string": "VARCHAR",
     "boolean": "BOOLEAN",
-    "date": "DATE",
     "timestamp_ntz": "TIMESTAMP",
 }
 
