@@ -48,6 +48,28 @@ def test_totals_carry_on_after_a_restart(spark, at):
     assert tuple(M.kpi_totals(current).first()) == (3, 1, 2, 15.75, 1, 50.0)
 
 
+def test_live_queries_keep_running(spark, at):
+    """With a clock instead of a single pass, new files show up by themselves."""
+    append(spark, at, event("order", total_amount=2.0))
+    tick = {"processingTime": "200 milliseconds"}
+    queries = [
+        live.start_totals(stream(spark, at), at("totals"), at("totals-state"), tick),
+        live.start_cycles(stream(spark, at), at("cycles"), at("cycles-state"), tick),
+    ]
+    try:
+        for count in (1, 2):
+            for query in queries:
+                query.processAllAvailable()
+            totals = M.kpi_totals(live.read_totals(spark, at("totals"))).first()
+            assert (totals.total_orders, totals.total_revenue) == (count, 2.0 * count)
+            points = live.read_cycles(spark, at("cycles")).collect()
+            assert [row.orders for row in points] == [1] * count
+            append(spark, at, event("order", total_amount=2.0))
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def test_one_point_per_batch_and_zero_without_orders(spark, at):
     append(spark, at, event("order", total_amount=1.1), event("order", total_amount=2.2))
     append(spark, at, event("click"))

@@ -83,6 +83,25 @@ def test_salted_join_is_the_plain_join(spark, broadcast_limit):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_stream_of_events_with_their_products(spark, tmp_path):
+    """Streams may join the catalogue too, salted where adaptive execution is off."""
+    source, out, state = (str(tmp_path / name) for name in ("in", "out", "state"))
+    hot_events(spark).write.parquet(source)
+    events = spark.readStream.schema("event_id bigint, product_id string").parquet(source)
+    joined = P.attach_products(events, product_catalog(spark), salts=4)
+    query = (
+        joined.writeStream.format("parquet")
+        .option("checkpointLocation", state)
+        .trigger(availableNow=True)
+        .start(out)
+    )
+    query.awaitTermination()
+    expected = P.attach_products(hot_events(spark), product_catalog(spark))
+    landed = spark.read.parquet(out).select(*expected.columns)
+    assert landed.count() == 3000
+    assert landed.exceptAll(expected).count() == 0
+
+
 def test_events_per_attribute_is_join_then_count(spark):
     events, products = hot_events(spark), product_catalog(spark)
     counted = P.events_per_attribute(events, products, "category")
