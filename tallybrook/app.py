@@ -16,6 +16,7 @@ from tallybrook.sources import messages as source
 from tallybrook.streaming import ingest, live
 
 APP_NAME = "tallybrook"
+FORMAT = source.KAFKA
 LIVE_SHUFFLE_PARTITIONS = "4"
 
 
@@ -36,7 +37,7 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
             max_per_trigger=args.max_per_trigger,
             max_per_task=args.max_per_task,
         )
-        return source.stream_messages(spark, source.KAFKA, options)
+        return source.stream_messages(spark, FORMAT, options)
 
     queries = ingest.land_all(
         messages_of,
@@ -57,7 +58,7 @@ def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
         max_per_trigger=args.max_per_trigger or source.POLL_LIMIT,
         max_per_task=args.max_per_task,
     )
-    arriving = source.stream_messages(spark, source.KAFKA, options)
+    arriving = source.stream_messages(spark, FORMAT, options)
     queries = [
         start(arriving, f"{args.base}/live/{name}", f"{args.base}/checkpoints/live-{name}")
         for name, start in (("totals", live.start_totals), ("cycles", live.start_cycles))
@@ -67,7 +68,7 @@ def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
     frame = publish_frame(spark.read.parquet(args.events))
-    frame.write.format(source.KAFKA).options(**source.kafka_sink_options(args.servers)).save()
+    frame.write.format(FORMAT).options(**source.kafka_sink_options(args.servers)).save()
 
 
 def _default_base() -> str | None:

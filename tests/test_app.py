@@ -1,0 +1,129 @@
+"""The jobs, wired to a message log of files instead of a broker."""
+
+from __future__ import annotations
+
+from types import SimpleNamespace
+
+import pytest
+
+from support import CLICK_EVENT, ORDER_EVENT, PAYMENT_EVENT, event, raw
+from tallybrook import app
+from tallybrook.operators import metrics as M
+from tallybrook.operators.decode import decode
+from tallybrook.schemas import KINDS, ORDER, PAYMENT, ddl
+from tallybrook.sources.lake import read_lake
+from tallybrook.sources.messages import batch_messages
+from tallybrook.streaming import live
+
+
+@pytest.fixture
+def at(tmp_path):
+    return lambda name: str(tmp_path / name)
+
+
+@pytest.fixture
+def subscribed(monkeypatch, at):
+    """Options the jobs ask the broker for; reads and writes go to files."""
+    asked = []
+    wanted = app.source.kafka_source_options
+
+    def options(servers, *args, **kwargs):
+        asked.append(wanted(servers, *args, **kwargs))
+        return {"path": at("log")}
+
+    monkeypatch.setattr(app, "FORMAT", "parquet")
+    monkeypatch.setattr(app.source, "kafka_source_options", options)
+    return asked
+
+
+@pytest.fixture
+def until_idle(monkeypatch):
+    """Instead of running for ever: take what is there, then stop."""
+
+    def supervise(queries):
+        for query in queries:
+            query.processAllAvailable()
+            query.stop()
+
+    monkeypatch.setattr(app.ingest, "supervise", supervise)
+    for trigger in (app.ingest.EVERY_30_SECONDS, app.live.EVERY_CYCLE):
+        monkeypatch.setitem(trigger, "processingTime", "100 milliseconds")
+
+
+def parse(*words):
+    return app.arguments().parse_args(["--servers", "broker:9092", *words])
+
+
+def test_ingest(spark, at, subscribed, until_idle):
+    raw(spark, [ORDER_EVENT, CLICK_EVENT, PAYMENT_EVENT]).write.parquet(at("log"))
+    args = parse("ingest", "--base", at("base"), "--max-per-trigger", "9", "--max-per-task", "3")
+    args.run(spark, args)
+    assert [options["subscribe"] for options in subscribed] == [kind.topic for kind in KINDS]
+    for options in subscribed:
+        assert options["kafka.bootstrap.servers"] == "broker:9092"
+        assert options["maxOffsetsPerTrigger"] == "9"
+        assert options["maxRecordsPerPartition"] == "3"
+    for kind in KINDS:
+        assert read_lake(spark, at("base/processed"), kind).count() == 1
+    # A second run goes on where the first one stopped.
+    raw(spark, [event("order", event_id="e7")]).write.mode("append").parquet(at("log"))
+    args.run(spark, args)
+    landed = read_lake(spark, at("base/processed"), ORDER)
+    assert sorted(row.event_id for row in landed.collect()) == ["e1", "e7"]
+
+
+def test_live(spark, at, subscribed, until_idle):
+    raw(spark, [ORDER_EVENT, CLICK_EVENT, PAYMENT_EVENT]).write.parquet(at("log"))
+    args = parse("live", "--base", at("base"))
+    args.run(spark, args)
+    assert subscribed[0]["maxOffsetsPerTrigger"] == "500"
+    assert subscribed[0]["subscribe"].count(",") == 2
+    totals = M.kpi_totals(live.read_totals(spark, at("base/live/totals"))).first()
+    assert (totals.total_orders, totals.total_clicks, totals.total_payments) == (1, 1, 1)
+    assert live.read_cycles(spark, at("base/live/cycles")).first().revenue == 161.98
+
+
+def test_publish(spark, at, monkeypatch):
+    monkeypatch.setattr(app, "FORMAT", "parquet")
+    monkeypatch.setattr(app.source, "kafka_sink_options", lambda servers: {"path": at("out")})
+    mixed = [
+        spark.createDataFrame([tuple(body[name] for name in kind.fields)], ddl(kind.fields))
+        for kind, body in ((ORDER, ORDER_EVENT), (PAYMENT, PAYMENT_EVENT))
+    ]
+    mixed[0].unionByName(mixed[1], allowMissingColumns=True).write.parquet(at("events"))
+    args = parse("publish", "--events", at("events"))
+    args.run(spark, args)
+    published = spark.read.parquet(at("out"))
+    assert published.columns == ["key", "value", "topic"]
+    log = published.selectExpr(
+        "CAST(key AS BINARY) key", "CAST(value AS BINARY) value", "topic", "now() timestamp"
+    )
+    log.write.parquet(at("log"))
+    arrived = batch_messages(spark, "parquet", path=at("log"))
+    for kind, body in ((ORDER, ORDER_EVENT), (PAYMENT, PAYMENT_EVENT)):
+        back = decode(arrived, kind).drop("kafka_timestamp").collect()
+        assert [row.asDict() for row in back] == [body]
+
+
+def test_triggers():
+    assert app.ingest.EVERY_30_SECONDS == {"processingTime": "30 seconds"}
+    assert app.live.EVERY_CYCLE == {"processingTime": "3 seconds"}
+
+
+def test_session_settings(monkeypatch):
+    """The jobs read event times as UTC and log warnings only."""
+    calls = {}
+    fake = SimpleNamespace(
+        sparkContext=SimpleNamespace(setLogLevel=lambda level: calls.update(level=level)),
+        conf=SimpleNamespace(set=lambda name, value: calls.update({name: value})),
+    )
+    builder = SimpleNamespace(
+        appName=lambda name: SimpleNamespace(getOrCreate=lambda: calls.update(app=name) or fake)
+    )
+    monkeypatch.setattr(app, "SparkSession", SimpleNamespace(builder=builder))
+    assert app.session() is fake
+    assert calls == {
+        "app": "tallybrook",
+        "level": "WARN",
+        "spark.sql.session.timeZone": "UTC",
+    }

@@ -9,7 +9,8 @@ import __spark_entry__ as entry_module
 from support import CLICK_EVENT, ORDER_EVENT, PAYMENT_EVENT, raw
 from tallybrook.operators import metrics as M
 from tallybrook.operators import pricing as P
-from tallybrook.operators.enrich import lake_rows
+from tallybrook.operators.decode import decode_with_rejects
+from tallybrook.operators.enrich import enrich, lake_rows
 from tallybrook.schemas import KINDS, ORDER
 from tallybrook.sources import tables
 from tallybrook.sources.lake import read_lake
@@ -42,6 +43,12 @@ def test_ingest_shuffles_nothing_and_parses_once(spark, log, kind):
     assert "ReadSchema: struct<value:binary,topic:string,timestamp:timestamp>" in plan(rows)
 
 
+def test_marking_rejects_parses_once(spark, log):
+    rows = enrich(decode_with_rejects(batch_messages(spark, "parquet", path=log), ORDER), ORDER)
+    assert plan(rows).count("from_json(") == 1
+    assert "Exchange" not in plan(rows)
+
+
 METRICS = {
     "kpi_totals": M.kpi_totals,
     "orders_by_category": M.orders_by_category,
