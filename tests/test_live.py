@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from support import event, raw
@@ -141,6 +142,27 @@ def test_before_the_first_batch(spark, at):
     assert live.cycle_series(spark, at("out")).count() == 0
 
 
+def test_a_batch_that_dies_before_its_mark_counts_once(spark, at, monkeypatch):
+    append(spark, at, event("order", total_amount=4.0))
+    write = live._write_slot
+
+    def die(result, batch_id, path):
+        result.select(F.lit(batch_id).cast("long").alias("batch_id"), "*").write.parquet(
+            f"{path}/rows/slot={batch_id}"
+        )
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(live, "_write_slot", die)
+    with pytest.raises(StreamingQueryException):
+        ingest.finish([live.start_totals(stream(spark, at), at("out"), at("state"), ONCE)])
+    assert M.kpi_totals(live.read_totals(spark, at("out"))).first().total_orders == 0
+
+    monkeypatch.setattr(live, "_write_slot", write)
+    ingest.finish([live.start_totals(stream(spark, at), at("out"), at("state"), ONCE)])
+    totals = M.kpi_totals(live.read_totals(spark, at("out"))).first()
+    assert (totals.total_orders, totals.total_revenue) == (1, 4.0)
+
+
 def test_event_time_series(spark, at):
     """Cycles leave once the watermark passes them; an event older than that is not in it."""
 

@@ -23,10 +23,6 @@ def plan(frame):
     return frame._jdf.queryExecution().executedPlan().toString()
 
 
-def optimized(frame):
-    return frame._jdf.queryExecution().optimizedPlan().toString()
-
-
 @pytest.fixture(scope="module")
 def log(spark, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("plans") / "log")
@@ -136,8 +132,11 @@ def test_events_are_counted_before_the_join(spark, sf_dir):
     assert "HashAggregate" in text[join:]
 
 
+STREAMED = ("stream_", "publish_then_", "lake_")
+
+
 @pytest.mark.parametrize(
-    "name", sorted(n for n in entry_module.queries() if not n.startswith(("stream_", "publish_t", "lake_")))
+    "name", sorted(name for name in entry_module.queries() if not name.startswith(STREAMED))
 )
 def test_no_python_and_no_product_of_tables(spark, sf_dir, name):
     text = plan(entry_module.queries()[name](spark, sf_dir))

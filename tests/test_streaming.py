@@ -89,6 +89,31 @@ def test_restart_neither_loses_nor_repeats(spark, folders):
     assert ids(spark, folders) == ["e1", "e2", "e2"]
 
 
+def test_a_batch_that_dies_half_way_is_repeated_cleanly(spark, folders):
+    append(spark, folders, [ORDER_EVENT])
+    land(spark, folders, [ORDER])
+    for number in range(2, 8):
+        append(spark, folders, [event("order", event_id=f"e{number}")])
+    # One task of the second batch fails; the others have written their files by then.
+    poisoned = F.col("raw_json").contains('"e4"')
+    failing = stream_messages(spark, "parquet", path=folders["log"]).withColumn(
+        "raw_json",
+        F.when(poisoned, F.raise_error(F.lit("lost"))).otherwise(F.col("raw_json")),
+    )
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(1 << 30))
+    try:
+        options = {"trigger": ONCE}
+        dying = ingest.land(failing, ORDER, folders["lake"], folders["checkpoints"], **options)
+        with pytest.raises(StreamingQueryException):
+            ingest.finish([dying])
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert ids(spark, folders) == ["e1"]
+    land(spark, folders, [ORDER])
+    assert ids(spark, folders) == [f"e{number}" for number in range(1, 8)]
+
+
 def test_late_event_lands_where_it_happened(spark, folders):
     append(spark, folders, [ORDER_EVENT])
     land(spark, folders, [ORDER])
