@@ -53,13 +53,17 @@ def lake_facts(*lake_tables: DataFrame) -> DataFrame:
 
     Filter the tables by ``date`` and ``hour`` first to read those directories only.
     """
-    needed = [*(name for name in FACT_FIELDS if name != "timestamp"), "event_ts"]
-    carried = [
-        table.select(*[name for name in (*needed, "kafka_timestamp") if name in table.columns])
-        for table in lake_tables
-    ]
-    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), carried)
-    return _measure(rows)
+    needed = {name: dtype for name, dtype in FACT_FIELDS.items() if name != "timestamp"}
+    times = ("event_ts", "kafka_timestamp")
+
+    def narrowed(table: DataFrame) -> DataFrame:
+        fields = [
+            F.col(name) if name in table.columns else F.lit(None).cast(dtype).alias(name)
+            for name, dtype in needed.items()
+        ]
+        return table.select(*fields, *times)
+
+    return _measure(reduce(DataFrame.unionByName, map(narrowed, lake_tables)))
 
 
 def _measure(events: DataFrame) -> DataFrame:
