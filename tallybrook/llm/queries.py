@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import mixing, sharding
+from tallybrook.llm import bpe, lengths, mixing, sharding, winnow
 from tallybrook.llm.common import table
 
 
@@ -13,6 +13,18 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.code_digest(bpe.encode_decode(table(spark, sf_dir, "documents")))
+
+
+def op5_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lengths.histogram(lengths.with_length(table(spark, sf_dir, "documents")))
+
+
+def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edited_likeness(table(spark, sf_dir, "documents"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
@@ -21,6 +33,9 @@ QUERIES = {
     run.__name__: run
     for run in (
         op2_mix_sources,
+        op3_byte_bpe,
+        op5_token_lengths,
+        op8_winnowing,
         op10_shards,
     )
 }
