@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import bpe, lengths, mixing, sharding, winnow
+from tallybrook.llm import bpe, lengths, mixing, neardup, oracle, sharding, winnow
 from tallybrook.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.code_digest(bpe.encode_decode(table(spark, sf_dir, "documents")))
 
 
+def op4_minhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.duplicate_groups(table(spark, sf_dir, "documents"), width=3, percent=85)
+
+
 def op5_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.histogram(lengths.with_length(table(spark, sf_dir, "documents")))
 
@@ -34,10 +38,11 @@ QUERIES = {
     for run in (
         op2_mix_sources,
         op3_byte_bpe,
+        op4_minhash_groups,
         op5_token_lengths,
         op8_winnowing,
         op10_shards,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES = {"op4_minhash_groups": oracle.OP4}
