@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import bpe, lengths, mixing, neardup, oracle, sharding, winnow
+from tallybrook.llm import bpe, langid, lengths, mixing, neardup, oracle, ranking, sharding, winnow
 from tallybrook.llm.common import table
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.taken_words(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -29,6 +33,10 @@ def op8_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edited_likeness(table(spark, sf_dir, "documents"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
@@ -36,11 +44,13 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     run.__name__: run
     for run in (
+        op1_language,
         op2_mix_sources,
         op3_byte_bpe,
         op4_minhash_groups,
         op5_token_lengths,
         op8_winnowing,
+        op9_quality,
         op10_shards,
     )
 }
