@@ -207,19 +207,22 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     return Model.fit(x, np.array([r["lang"] for r in rows]))
 
 
-def predict(docs: DataFrame, model: Model | None) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``score``; columns of those names are replaced.
+NAMES = ("lang_pred", "score")
+
+
+def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = NAMES) -> DataFrame:
+    """``docs`` with a language and its score; columns of those ``names`` are replaced.
 
     NULL texts and those without a letter are undetermined, with score 0; so is every text if
     there was nothing to learn from. Only the text is looked at.
     """
-    kept = docs.select(*without(docs, ("lang_pred", "score")))
-    added = [StructField("lang_pred", StringType()), StructField("score", DoubleType())]
+    kept = docs.select(*without(docs, names))
+    added = [StructField(names[0], StringType()), StructField(names[1], DoubleType())]
     schema = StructType([*kept.schema, *added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names, scores = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
+            languages, scores = [UNDETERMINED] * batch.num_rows, np.zeros(batch.num_rows)
             column = batch["text"]
             for start in range(0, batch.num_rows if model else 0, 1024):
                 texts = column.slice(start, 1024).to_pylist()
@@ -228,10 +231,10 @@ def predict(docs: DataFrame, model: Model | None) -> DataFrame:
                     x = np.stack([features(texts[i]) for i in rows])
                     found, score = model.predict(x)
                     for i, name, s in zip(rows, found, score):
-                        names[start + i], scores[start + i] = name, s
+                        languages[start + i], scores[start + i] = name, s
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(names, pa.string()), pa.array(scores)],
-                names=[*batch.schema.names, "lang_pred", "score"],
+                [*batch.columns, pa.array(languages, pa.string()), pa.array(scores)],
+                names=[*batch.schema.names, *names],
             )
 
     return kept.mapInArrow(run, schema)

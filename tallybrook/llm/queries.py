@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import bpe, curves, langid, lengths, mixing, neardup, oracle, ranking, sharding, winnow
+from tallybrook.llm import bpe, curves, langid, lengths, maxent, mixing, neardup, oracle, ranking, sharding, winnow
 from tallybrook.llm.common import table
 
 
@@ -29,6 +29,10 @@ def op5_token_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lengths.histogram(lengths.with_length(table(spark, sf_dir, "documents")))
 
 
+def op6_maxent_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents"))
+
+
 def op7_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return curves.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
@@ -54,6 +58,7 @@ QUERIES = {
         op3_byte_bpe,
         op4_minhash_groups,
         op5_token_lengths,
+        op6_maxent_scores,
         op7_hilbert_neighbours,
         op8_winnowing,
         op9_quality,

@@ -152,13 +152,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking | N
     return fit_ranking(np.stack(found[1]), np.stack(found[0]), bad_share)
 
 
-def score(docs: DataFrame, model: Ranking | None) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``; columns of those names are replaced.
+NAMES = ("score", "predicted")
+
+
+def score(docs: DataFrame, model: Ranking | None, names: tuple[str, str] = NAMES) -> DataFrame:
+    """``docs`` with a score and the label it predicts; columns of those ``names`` are replaced.
 
     Every text gets a score; NULL counts as empty. Without a model all have 0.5.
     """
-    kept = docs.select(*without(docs, ("score", "predicted")))
-    schema = StructType([*kept.schema, StructField("score", DoubleType())])
+    kept = docs.select(*without(docs, names))
+    schema = StructType([*kept.schema, StructField(names[0], DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,11 +170,11 @@ def score(docs: DataFrame, model: Ranking | None) -> DataFrame:
                 scores = model.score(np.stack([features(t.as_py()) for t in batch["text"]]))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(scores, pa.float64())],
-                names=[*batch.schema.names, "score"],
+                names=[*batch.schema.names, names[0]],
             )
 
     scored = kept.mapInArrow(run, schema)
-    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+    return scored.withColumn(names[1], F.when(F.col(names[0]) >= 0.5, 1).otherwise(0))
 
 
 def quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
