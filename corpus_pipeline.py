@@ -1,13 +1,87 @@
-"""Documents to token ids, one operator a stage."""
+"""Documents to token ids in five stages, one operator each.
+
+Every stage but the last returns the columns it was given. Each is written as Parquet and read
+back by the next, so a lost executor costs at most a stage's own work.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from tallybrook.llm import bpe, langid, mixing, neardup, ranking
 from tallybrook.llm.common import settled, table
 
-STAGES: list = []
+#: Below this the language is too uncertain to keep a text.
+LEAST_LANGUAGE_SCORE = 0.4
+SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts in a language: with a letter, and a language that is certain enough.
+
+    NULL and empty texts go. Without any known language to learn from all texts go.
+    """
+    found = langid.predict(docs, langid.fit(docs), ("_language", "_language_score"))
+    kept = (F.col("_language") != langid.UNDETERMINED) & (
+        F.col("_language_score") >= LEAST_LANGUAGE_SCORE
+    )
+    return found.where(kept).select(*docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts that score as good ones, by the labels' judgement; all if it can't be learned."""
+    model = ranking.fit(docs, table(spark, sf_dir, "labels"))
+    scored = ranking.score(docs, model, ("_quality_score", "_quality"))
+    return scored.where("_quality = 1").select(*docs.columns)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, that with the least id; of equal rows one."""
+    groups = neardup.duplicate_groups(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    kept = groups.where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    unique = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    return unique.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes their words, rounded to whole documents.
+
+    A text is left out where its source has more than its target, and comes up to three times
+    where it has less. Texts without words go.
+    """
+    taken = (
+        mixing.taken_words(docs)
+        .groupBy(F.col("doc_id").alias("_id"), F.col("text_crc32").alias("_crc"))
+        .agg(F.sum("taken").alias("_taken"), F.sum("size").alias("_size"))
+        .where("_taken * 2 >= _size AND _size > 0")
+        .withColumn("_times", F.round(F.col("_taken") / F.col("_size")).cast("int"))
+    )
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")))
+    own = docs.withColumn("_own_crc", crc)
+    met = own.join(
+        taken, own["doc_id"].eqNullSafe(taken["_id"]) & (own["_own_crc"] == taken["_crc"])
+    )
+    return met.withColumn("_time", F.explode(F.sequence(F.lit(1), "_times"))).select(*docs.columns)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, the token ids, their number and hash, and the hash of the decoded text."""
+    encoded = bpe.encode_decode(docs)
+    return bpe.code_digest(encoded, "ids")
+
+
+STAGES = [
+    ("language_id", language_id),
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("mix_sources", mix_sources),
+    ("encode", encode),
+]
 
+#: Trained models, hashes and tokenizers: not for SQL. Tested against brute force instead.
 ORACLE_SQL = None
 
 
@@ -15,5 +89,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each reads what the one before has written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = settled(stage(spark, docs, sf_dir), name)
+        docs = settled(stage(spark, docs, sf_dir), f"stage-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
