@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,6 +34,23 @@ def words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").translate(LOWER).split() if text else []
 
 
+_SHIPPED: set[str] = set()
+
+
+def shipped(frame: DataFrame) -> DataFrame:
+    """The same frame, after this package was sent to the executors, once an application.
+
+    Python workers import it there, wherever the driver was started.
+    """
+    context = frame.sparkSession.sparkContext
+    package = Path(__file__).resolve().parents[1]
+    if context.applicationId not in _SHIPPED and package.is_dir():
+        target = f"{tempfile.mkdtemp(prefix='package-')}/{package.name}"
+        context.addPyFile(shutil.make_archive(target, "zip", package.parent, package.name))
+        _SHIPPED.add(context.applicationId)
+    return frame
+
+
 def settled(frame: DataFrame, purpose: str) -> DataFrame:
     """Written to the shared folder and read back: computed once, safe from lost executors."""
     path = fresh_folder(frame.sparkSession, purpose)

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tallybrook.llm.common import settled, with_starts
+from tallybrook.llm.common import settled, shipped, with_starts
 
 CURVES = 16
 #: Rows that a window sees on either side, as a share of all and at least.
@@ -137,7 +137,7 @@ def distinct_vectors(rows: DataFrame, keep: int) -> DataFrame:
                 }
             )
 
-    per_batch = rows.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(
+    per_batch = rows.select(F.col("vec_id").cast("long"), "embedding").transform(shipped).mapInArrow(
         run, "node long, ids array<long>, vector binary"
     )
     least = F.slice(F.array_sort(F.flatten(F.collect_list("ids"))), 1, keep)
@@ -161,7 +161,7 @@ def query_nodes(rows: DataFrame) -> DataFrame:
                 }
             )
 
-    return rows.select(F.col("vec_id").cast("long"), "embedding").mapInArrow(
+    return rows.select(F.col("vec_id").cast("long"), "embedding").transform(shipped).mapInArrow(
         run, "query_id long, node long"
     )
 
@@ -185,7 +185,7 @@ def ranked(nodes: DataFrame, curves: int) -> DataFrame:
                 }
             )
 
-    placed = nodes.select("node", "vector").mapInArrow(run, "curve int, place long, node long")
+    placed = nodes.select("node", "vector").transform(shipped).mapInArrow(run, "curve int, place long, node long")
     ordered = placed.repartitionByRange("curve", "place", "node").sortWithinPartitions(
         "curve", "place", "node"
     )

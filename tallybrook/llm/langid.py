@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from tallybrook.llm.common import fold, without
+from tallybrook.llm.common import fold, shipped, without
 
 #: Hashed features of a text.
 FEATURES = 2048
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
                 }
             )
 
-    rows = learning_sample(docs, sample).mapInArrow(run, "lang string, features binary").collect()
+    rows = learning_sample(docs, sample).transform(shipped).mapInArrow(run, "lang string, features binary").collect()
     if not rows:
         return None
     rows.sort(key=lambda r: (r["lang"], bytes(r["features"])))
@@ -237,7 +237,7 @@ def predict(docs: DataFrame, model: Model | None, names: tuple[str, str] = NAMES
                 names=[*batch.schema.names, *names],
             )
 
-    return kept.mapInArrow(run, schema)
+    return kept.transform(shipped).mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:

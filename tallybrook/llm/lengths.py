@@ -18,7 +18,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import settled, with_starts
+from tallybrook.llm.common import settled, shipped, with_starts
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -59,7 +59,7 @@ def with_length(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
             counts = [token_count(codec, text) if text else 0 for text in texts]
             yield pd.Series(counts, dtype="int64")
 
-    return docs.select("doc_id", length("text").alias("length"))
+    return shipped(docs).select("doc_id", length("text").alias("length"))
 
 
 def histogram(lengths: DataFrame) -> DataFrame:

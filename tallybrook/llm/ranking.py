@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tallybrook.llm.common import fold, without
+from tallybrook.llm.common import fold, shipped, without
 
 #: Labelled rows of each label that the model is fitted on: a bounded sample, drawn by a hash.
 SAMPLE = 4000
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking | N
         docs.select("doc_id", "text")
         .join(F.broadcast(drawn), "doc_id")
         .select("quality", "text")
-        .mapInArrow(run, "quality int, features binary")
+        .transform(shipped).mapInArrow(run, "quality int, features binary")
         .collect()
     )
     found = {
@@ -173,7 +173,7 @@ def score(docs: DataFrame, model: Ranking | None, names: tuple[str, str] = NAMES
                 names=[*batch.schema.names, names[0]],
             )
 
-    scored = kept.mapInArrow(run, schema)
+    scored = kept.transform(shipped).mapInArrow(run, schema)
     return scored.withColumn(names[1], F.when(F.col(names[0]) >= 0.5, 1).otherwise(0))
 
 

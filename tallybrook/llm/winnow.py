@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallybrook.llm.common import shipped
+
 K = 32
 WINDOW = 64
 ROWS_A_RANGE = 2000
@@ -107,7 +109,7 @@ def fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame
 
     named = docs.select("doc_id", "text")
     kind = named.schema["doc_id"].dataType.simpleString()
-    return named.mapInArrow(run, f"doc_id {kind}, hashes array<long>, positions array<long>")
+    return named.transform(shipped).mapInArrow(run, f"doc_id {kind}, hashes array<long>, positions array<long>")
 
 
 def _range_no(value: Column, bounds: list[int]) -> Column:
@@ -212,7 +214,7 @@ def edited_likeness(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFr
             arrays = [pa.array(v, t) for v, t in zip(values, types)]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return with_next(docs).mapInArrow(
+    return with_next(docs).transform(shipped).mapInArrow(
         run,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
         " edited_fingerprint string, near_edited double, near_next double, n_prints long",
