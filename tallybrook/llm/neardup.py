@@ -13,7 +13,8 @@ A table's bucket may hold thousands of nodes, so its pairs are never listed. Ins
    disjoint differences mean D(x, y) = D(x, r) + D(y, r), and so a similarity of x and y of at
    most that of y and r. From the sizes follows how large the overlap is at least; prefixes of
    the differences (what r lacks first, in a fixed order) then have an element in common. So
-   pairs that share such an element, and are not yet connected, are compared too.
+   only nodes that share such an element with a node of another component are still open.
+   Each open y is held against the open nodes of its centre, block by block.
 
 Together that decides every candidate pair up to connection. What bands miss is bounded by the
 number of bands: at the threshold about one pair in 7,000 with the defaults.
@@ -31,11 +32,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.llm.common import settled, words
+from tallybrook.llm.common import settled, shipped, words
 from tallybrook.llm.graph import components
 
 #: Min-hashes in a band; a table's key has two bands.
 BAND = 3
+#: Nodes of a centre that are compared with others at a time.
+BLOCK = 512
 #: A collection misses a pair at the threshold with this chance.
 MISS = 1e-4
 SEED = 97
@@ -113,7 +116,7 @@ def signatures(docs: DataFrame, width: int, count: int) -> DataFrame:
             arrays = [batch["doc_id"], *map(pa.array, (sizes, nodes, keys), schema.types[1:])]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return docs.select(F.col("doc_id").cast("long"), "text").transform(shipped).mapInArrow(
         run, "doc_id long, n_shingles long, node long, keys array<long>"
     )
 
@@ -153,10 +156,8 @@ def _prefix(own: np.ndarray, centre: np.ndarray, linked: bool, percent: int) ->
     return np.concatenate((added, removed))[: max(keep, 0)]
 
 
-def verified(
-    pairs: DataFrame, texts: DataFrame, width: int, percent: int, prefixes: bool
-) -> DataFrame:
-    """node, centre, ``linked`` by their full sets, and ``prefix`` where asked for.
+def verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """node, centre, ``linked`` by their full sets, and ``prefix`` of their difference.
 
     ``texts`` has a node and a text of it. Both texts come by joins on the node, so a common
     centre is a skewed join that Spark splits, and no group is gathered.
@@ -175,9 +176,7 @@ def verified(
                 shared = len(np.intersect1d(own, centre, assume_unique=True))
                 union = len(own) + len(centre) - shared
                 linked.append(100 * shared >= percent * union)
-                prefix.append(
-                    _prefix(own, centre, linked[-1], percent).view(np.int64) if prefixes else None
-                )
+                prefix.append(_prefix(own, centre, linked[-1], percent).view(np.int64))
             yield pa.record_batch(
                 {
                     "node": batch["node"],
@@ -187,7 +186,7 @@ def verified(
                 }
             )
 
-    return left.join(right, "centre").mapInArrow(
+    return left.join(right, "centre").transform(shipped).mapInArrow(
         run, "node long, centre long, linked boolean, prefix array<long>"
     )
 
@@ -198,17 +197,23 @@ def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def unresolved(checked: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of nodes with a common centre that may be linked and are not connected yet."""
+def open_blocks(checked: DataFrame, labels: DataFrame) -> DataFrame:
+    """Nodes that may be linked with another one of their centre but aren't connected with it.
+
+    centre, block, node, component and ``asks``. All such nodes of a centre are dealt out over
+    blocks of about ``BLOCK``; those not linked with the centre also ask in each of its blocks.
+    """
     loose = checked.groupBy("centre").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("linked")).alias("rest")
     )
-    open_ = checked.join(loose.where("n > 1 AND rest > 0"), "centre")
-    marked = _with_component(open_, labels).select(
-        "centre", "node", "component", "linked", F.explode("prefix").alias("element")
+    open_ = checked.join(loose.where("n > 1 AND rest > 0").select("centre"), "centre")
+    marked = settled(
+        _with_component(open_, labels).select(
+            "centre", "node", "component", "linked", F.explode("prefix").alias("element")
+        ),
+        "differences",
     )
-    marked = settled(marked, "differences")
-    mixed = (
+    met = (
         marked.groupBy("centre", "element")
         .agg(
             F.min("component").alias("_least"),
@@ -218,17 +223,86 @@ def unresolved(checked: DataFrame, labels: DataFrame) -> DataFrame:
         .where("_least <> _most AND _rest > 0")
         .select("centre", "element")
     )
-    several = marked.join(mixed, ["centre", "element"])
-    loose_side = several.where("NOT linked").select(
-        "centre", "element", "node", F.col("component").alias("_own")
+    active = (
+        marked.join(met, ["centre", "element"])
+        .select("centre", "node", "component", "linked")
+        .distinct()
     )
-    other = several.select(
-        "centre", "element", F.col("node").alias("_other"), "component", "linked"
+    blocks = active.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    dealt = settled(active.join(blocks, "centre"), "open-nodes")
+    members = dealt.select(
+        "centre",
+        F.pmod(F.xxhash64("node"), "blocks").alias("block"),
+        "node",
+        "component",
+        F.lit(False).alias("asks"),
     )
-    met = loose_side.join(other, ["centre", "element"]).where(
-        "_own <> component AND (linked OR node < _other)"
+    asking = dealt.where("NOT linked").select(
+        "centre",
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"),
+        "node",
+        "component",
+        F.lit(True).alias("asks"),
     )
-    return met.select("node", F.col("_other").alias("centre")).distinct()
+    return members.unionByName(asking)
+
+
+class _Block:
+    """The sets of a block's members, by shingle."""
+
+    def __init__(self, members: list[tuple[int, int, np.ndarray]]) -> None:
+        self.nodes = np.array([node for node, _, _ in members])
+        self.components = np.array([component for _, component, _ in members])
+        self.sizes = np.array([len(values) for _, _, values in members])
+        every = np.concatenate([values for _, _, values in members])
+        order = np.argsort(every, kind="stable")
+        self.values = every[order]
+        self.owner = np.repeat(np.arange(len(members)), self.sizes)[order]
+
+    def linked(self, component: int, values: np.ndarray, percent: int) -> np.ndarray:
+        """A member of each other component that is linked with this set."""
+        low = np.searchsorted(self.values, values, "left")
+        high = np.searchsorted(self.values, values, "right")
+        lengths = high - low
+        starts = np.repeat(low - (np.cumsum(lengths) - lengths), lengths)
+        shared = np.bincount(
+            self.owner[starts + np.arange(len(starts))], minlength=len(self.nodes)
+        )
+        union = self.sizes + len(values) - shared
+        found = (100 * shared >= percent * union) & (self.components != component)
+        _, first = np.unique(self.components[found], return_index=True)
+        return self.nodes[found][first]
+
+
+def links_in_blocks(rows: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links ``a`` and ``b`` of asking nodes, one for each other component of a block.
+
+    A block's members come first and are indexed; the asking nodes pass by one at a time. No
+    pair is listed that isn't a link.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, members, block = None, [], None
+        for batch in batches:
+            a, b = [], []
+            names = ("centre", "block", "node", "component", "asks")
+            columns = [batch[name].to_pylist() for name in names]
+            for i, (centre, no, node, component, asks) in enumerate(zip(*columns)):
+                if at != (centre, no):
+                    at, members, block = (centre, no), [], None
+                values = shingles(batch["text"][i].as_py(), width)
+                if not asks:
+                    members.append((node, component, values))
+                    continue
+                if members:
+                    block = block or _Block(members)
+                    found = block.linked(component, values, percent)
+                    a.extend([node] * len(found))
+                    b.extend(found.tolist())
+            yield pa.record_batch({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+    spread = rows.join(texts, "node").repartition("centre", "block")
+    return spread.sortWithinPartitions("centre", "block", "asks").transform(shipped).mapInArrow(run, "a long, b long")
 
 
 def duplicate_groups(docs: DataFrame, width: int = 3, percent: int = 85) -> DataFrame:
@@ -256,16 +330,15 @@ def duplicate_groups(docs: DataFrame, width: int = 3, percent: int = 85) -> Data
         return _of_node(by_id.select("node", "text"), width)
 
     texts = settled(texts_of(pairs), "texts")
-    checked = settled(verified(pairs, texts, width, percent, True), "checked")
+    checked = settled(verified(pairs, texts, width, percent), "checked")
     links = checked.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
     labels = components(links)
-    more = settled(unresolved(checked, labels), "more-pairs")
-    if more.head(1):
-        again = settled(verified(more, texts, width, percent, False), "checked-more")
-        found = again.where("linked").select(F.col("node").alias("a"), F.col("centre").alias("b"))
-        labels = components(
-            found.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        )
+    found = settled(
+        links_in_blocks(open_blocks(checked, labels), texts, width, percent), "more-links"
+    )
+    if found.head(1):
+        known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        labels = components(found.unionByName(known))
     grouped = _with_component(copies, labels)
     least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
     by_node = grouped.join(least, "component").select("node", "component_id")
@@ -290,4 +363,4 @@ def _of_node(rows: DataFrame, width: int) -> DataFrame:
             ]
             yield batch.filter(pa.array(right, pa.bool_()))
 
-    return rows.mapInArrow(run, "node long, text string").dropDuplicates(["node"])
+    return rows.transform(shipped).mapInArrow(run, "node long, text string").dropDuplicates(["node"])
