@@ -9,24 +9,28 @@ aggregation of the tokens' bytes decodes the ids again.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import duckdb
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallybrook.llm.common import shipped
+
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 #: Bytes of pieces in one recursive query, and characters of text cut into pieces at a time.
 QUERY_BYTES = 1 << 18
-TEXT_CHARS = 1 << 21
+TEXT_CHARS = 1 << 22
 #: Pieces that a worker remembers, twice over: the newer and the older half.
-REMEMBERED = 200_000
+REMEMBERED = 350_000
 #: Longer pieces contract many pairs a round, in queries of some rounds each.
 LONG_PIECE = 64
 ROUNDS = 12
@@ -34,26 +38,33 @@ ROUNDS = 12
 # Keys are piece << 32 | position; a candidate is token << 32 | position, so the least one is the
 # leftmost pair of least rank (a token's number is its rank).
 NEIGHBOURS = """
-  n AS (SELECT k, tok, lead(k) OVER o AS nk, lead(tok) OVER o AS ntok
-        FROM s WHERE NOT done {also} WINDOW o AS (ORDER BY k)),
+  n AS (SELECT k, tok, lead(k) OVER {order} AS nk, lead(tok) OVER {order} AS ntok
+        FROM s WHERE NOT done {also}),
   p AS (SELECT n.k, n.tok, m.made, m.made << 32 | (n.k & 4294967295) AS candidate
         FROM n LEFT JOIN merges m
-        ON m.pair = CASE WHEN n.k >> 32 = n.nk >> 32 THEN n.tok << 20 | n.ntok END),
+        ON m.pair = CASE WHEN n.nk < n.k THEN error('rows out of order')
+                         WHEN n.k >> 32 = n.nk >> 32 THEN n.tok << 20 | n.ntok END),
   b AS (SELECT k >> 32 AS piece, min(candidate) AS best FROM p GROUP BY ALL)
 """
 
-CONTRACT = f"""
+# One thread keeps rows in the order of ``start``, so windows needn't sort; a row out of order is
+# an error, and the query then runs with sorting windows.
+CONTRACT_BY = """
 WITH RECURSIVE s(k, tok, done) AS (
   SELECT k, tok, false FROM start
   UNION ALL
-  (WITH {NEIGHBOURS.format(also="")},
-   x AS (SELECT p.k, p.tok, p.made, b.best, coalesce(p.candidate = b.best, false) AS hit,
-                lag(hit) OVER (ORDER BY p.k) AS gone
-         FROM p JOIN b ON b.piece = p.k >> 32)
+  (WITH {neighbours},
+   h AS (SELECT p.k, p.tok, p.made, b.best, coalesce(p.candidate = b.best, false) AS hit
+         FROM p LEFT JOIN b ON b.piece = p.k >> 32),
+   x AS (SELECT *, lag(hit) OVER {order} AS gone FROM h)
    SELECT k, CASE WHEN hit THEN made ELSE tok END, best IS NULL FROM x WHERE gone IS NOT true)
 )
 SELECT k, tok, done FROM s WHERE done
 """
+CONTRACT, CONTRACT_SORTED = (
+    CONTRACT_BY.format(neighbours=NEIGHBOURS.format(order=order, also=""), order=order)
+    for order in ("()", "(ORDER BY k)")
+)
 
 # The same for long pieces. All pairs of the least rank are contracted from the left, each second
 # one in a run of overlapping pairs, up to the first whose new token makes a pair of lower rank
@@ -62,7 +73,7 @@ CONTRACT_LONG = f"""
 WITH RECURSIVE s(k, tok, done, round) AS (
   SELECT k, tok, false, 0 FROM start
   UNION ALL
-  (WITH {NEIGHBOURS.format(also="AND round < " + str(ROUNDS))},
+  (WITH {NEIGHBOURS.format(order="(ORDER BY k)", also="AND round < " + str(ROUNDS))},
    h AS (SELECT p.k, p.tok, p.made, b.best, coalesce(p.made = b.best >> 32, false) AS fits,
                 row_number() OVER (ORDER BY p.k) AS nth
          FROM p JOIN b ON b.piece = p.k >> 32),
@@ -89,11 +100,16 @@ WITH RECURSIVE s(k, tok, done, round) AS (
 SELECT k, tok, done FROM s WHERE done OR round = {ROUNDS}
 """
 
-DECODE = """
-SELECT k >> 32 AS piece, string_agg(tok, ',' ORDER BY k) AS ids,
-       from_hex(string_agg(v.bytes, '' ORDER BY k)) AS decoded
-FROM codes JOIN vocabulary v ON v.id = codes.tok GROUP BY ALL ORDER BY piece
+# A piece's tokens in order. Aggregates take the rows as they come: sorted before, or, should
+# that fail to decode to the piece, sorted by the aggregate itself.
+DECODE_BY = """
+SELECT piece, string_agg(number, ',' {each}) AS ids,
+       from_hex(string_agg(bytes, '' {each})) AS decoded
+FROM (SELECT k, k >> 32 AS piece, v.number, v.bytes
+      FROM codes JOIN vocabulary v ON v.id = codes.tok ORDER BY k)
+GROUP BY piece ORDER BY piece
 """
+DECODE, DECODE_SORTED = (DECODE_BY.format(each=each) for each in ("", "ORDER BY k"))
 
 
 def merge_table(ranks: dict[bytes, int]) -> pa.Table:
@@ -118,11 +134,18 @@ class Codec:
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": memory})
         self.db.register("_merges", merge_table(self.ranks))
         self.db.execute("CREATE TABLE merges AS FROM _merges")
-        vocabulary = {"id": list(self.ranks.values()), "bytes": [t.hex() for t in self.ranks]}
+        vocabulary = {
+            "id": list(self.ranks.values()),
+            "number": list(map(str, self.ranks.values())),
+            "bytes": [token.hex() for token in self.ranks],
+        }
         self.db.register("_vocabulary", pa.table(vocabulary))
         self.db.execute("CREATE TABLE vocabulary AS FROM _vocabulary")
-        self.newer: dict[str, tuple[str, bytes]] = {}
-        self.older: dict[str, tuple[str, bytes]] = {}
+        # What is remembered of a piece: its ids, and the bytes that they decode to.
+        self.ids: dict[str, str] = {}
+        self.decoded: dict[str, bytes] = {}
+        self.older_ids: dict[str, str] = {}
+        self.older_decoded: dict[str, bytes] = {}
 
     def _run(self, sql: str, start: pa.Table) -> pa.Table:
         self.db.register("start", start)
@@ -137,7 +160,12 @@ class Codec:
         keys = np.repeat(np.arange(len(pieces)), lengths) << 32 | at
         start = pa.table({"k": keys, "tok": codes})
         if lengths.max() <= LONG_PIECE:
-            return self._run(CONTRACT, start)
+            try:
+                return self._run(CONTRACT, start)
+            except duckdb.Error as error:
+                if "rows out of order" not in str(error):
+                    raise
+                return self._run(CONTRACT_SORTED, start)
         found = []
         while start.num_rows:
             rows = self._run(CONTRACT_LONG, start)
@@ -146,55 +174,61 @@ class Codec:
             start = rows.filter(pa.array(~done))
         return pa.concat_tables(found)
 
-    def _query(self, pieces: list[bytes]) -> list[tuple[str, bytes]]:
+    def _query(self, pieces: list[bytes]) -> tuple[list[str], list[bytes]]:
         """Ids and decoded bytes of each piece."""
-        whole = [(i << 32, self.ranks[p]) for i, p in enumerate(pieces) if p in self.ranks]
-        others = [i for i, piece in enumerate(pieces) if piece not in self.ranks]
-        parts = [
-            pa.table(
-                {
-                    "k": pa.array([k for k, _ in whole], pa.int64()),
-                    "tok": pa.array([t for _, t in whole], pa.int64()),
-                }
-            )
-        ]
-        if others:
-            codes = self._codes([pieces[i] for i in others])
-            k = codes["k"].to_numpy()
-            k = np.array(others, np.int64)[k >> 32] << 32 | (k & 0xFFFFFFFF)
-            parts.append(pa.table({"k": k, "tok": codes["tok"]}))
-        self.db.register("codes", pa.concat_tables(parts))
-        rows = self.db.sql(DECODE).to_arrow_table()
-        return list(zip(rows["ids"].to_pylist(), rows["decoded"].to_pylist()))
-
-    def _learn(self, texts: list[str]) -> None:
+        self.db.register("codes", self._codes(pieces))
+        for sql in (DECODE, DECODE_SORTED):
+            rows = self.db.sql(sql).to_arrow_table()
+            decoded = rows["decoded"].to_pylist()
+            if decoded == pieces:
+                break
+        return rows["ids"].to_pylist(), decoded
+
+    def _learn(self, texts: Iterable[str]) -> None:
         """Encode pieces that aren't remembered, so many bytes a query, long ones apart."""
-        encoded = [(text, text.encode("utf-8", "surrogatepass")) for text in texts]
-        encoded.sort(key=lambda pair: len(pair[1]) > LONG_PIECE)
-        start, size = 0, 0
-        for i, (_, piece) in enumerate(encoded):
-            size += len(piece)
-            last = i + 1 == len(encoded)
-            turns = not last and len(encoded[i + 1][1]) > LONG_PIECE >= len(piece)
-            if size >= QUERY_BYTES or last or turns:
-                part = encoded[start : i + 1]
-                results = self._query([p for _, p in part])
-                self.newer.update((text, r) for (text, _), r in zip(part, results))
-                start, size = i + 1, 0
-
-    def encode(self, pieces: list[list[str]]) -> list[tuple[str, bytes]]:
+        short, long = [], []
+        for text in texts:
+            piece = text.encode("utf-8", "surrogatepass")
+            if piece in self.ranks:
+                self.ids[text], self.decoded[text] = str(self.ranks[piece]), piece
+            else:
+                (short if len(piece) <= LONG_PIECE else long).append((text, piece))
+        for encoded in (short, long):
+            start, size = 0, 0
+            for i, (_, piece) in enumerate(encoded):
+                size += len(piece)
+                if size >= QUERY_BYTES or i + 1 == len(encoded):
+                    part, pieces = zip(*encoded[start : i + 1])
+                    ids, decoded = self._query(list(pieces))
+                    self.ids.update(zip(part, ids))
+                    self.decoded.update(zip(part, decoded))
+                    start, size = i + 1, 0
+
+    def _remembered(self, pieces: list[str]) -> tuple[pa.Array, pa.Array]:
+        if len(self.ids) > REMEMBERED:
+            self.older_ids, self.older_decoded = self.ids, self.decoded
+            self.ids, self.decoded = {}, {}
+        new = [piece for piece in pieces if piece not in self.ids]
+        for piece in new:
+            if piece in self.older_ids:
+                self.ids[piece], self.decoded[piece] = self.older_ids[piece], self.older_decoded[piece]
+        self._learn([piece for piece in new if piece not in self.ids])
+        return (
+            pa.array(list(map(self.ids.__getitem__, pieces)), pa.string()),
+            pa.array(list(map(self.decoded.__getitem__, pieces)), pa.binary()),
+        )
+
+    def encode(self, texts: list[list[str]]) -> tuple[pa.Array, pa.Array]:
         """For each list of pieces the ids, joined by commas, and the bytes they decode to."""
-        distinct = set().union(*pieces) if pieces else set()
-        if len(self.newer) > REMEMBERED:
-            self.older, self.newer = self.newer, {}
-        for piece in distinct & self.older.keys():
-            self.newer[piece] = self.older[piece]
-        self._learn(sorted(distinct - self.newer.keys()))
-        known = self.newer
-        return [
-            (",".join([known[p][0] for p in ps]), b"".join([known[p][1] for p in ps]))
-            for ps in pieces
-        ]
+        counts = [0, *map(len, texts)]
+        pieces = pa.array(chain.from_iterable(texts), pa.string(), size=sum(counts))
+        coded = pieces.dictionary_encode()
+        offsets = pa.array(np.cumsum(counts), pa.int32())
+        ids, decoded = (
+            pa.ListArray.from_arrays(offsets, of_piece.take(coded.indices))
+            for of_piece in self._remembered(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        )
+        return pc.binary_join(ids, ","), pc.binary_join(decoded, b"")
 
 
 @lru_cache(maxsize=2)
@@ -224,9 +258,8 @@ def encode_decode(
         codec, cut = _codec(public_tokenizers.path(vocabulary)), _pattern(pattern)
 
         def encoded(doc_ids: pa.Array, texts: list[str]) -> pa.RecordBatch:
-            results = codec.encode([cut.findall(text) for text in texts])
-            ids, decoded = zip(*results)
-            arrays = [doc_ids, pa.array(ids, pa.string()), pa.array(decoded, pa.binary())]
+            ids, decoded = codec.encode([cut.findall(text) for text in texts])
+            arrays = [doc_ids, ids, decoded]
             return pa.RecordBatch.from_arrays(arrays, names=["doc_id", "ids", "decoded"])
 
         for batch in batches:
@@ -238,15 +271,16 @@ def encode_decode(
                     yield encoded(batch["doc_id"].slice(start, len(texts)), texts)
                     start, size, texts = i + 1, 0, []
 
-    return named.mapInArrow(run, f"doc_id {kind}, ids string, decoded binary")
+    return named.transform(shipped).mapInArrow(run, f"doc_id {kind}, ids string, decoded binary")
 
 
-def code_digest(encoded: DataFrame) -> DataFrame:
-    """Counts and hashes of what ``encode_decode`` returns."""
+def code_digest(encoded: DataFrame, *more: str) -> DataFrame:
+    """Counts and hashes of what ``encode_decode`` returns, and ``more`` of its columns."""
     commas = F.length("ids") - F.length(F.replace("ids", F.lit(","), F.lit("")))
     return encoded.select(
         "doc_id",
         F.when(F.col("ids") == "", 0).otherwise(commas + 1).cast("long").alias("n_tokens"),
         F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
+        *more,
     )
