@@ -1,4 +1,4 @@
-"""The three jobs, for ``spark-submit``: land events, keep the dashboard current, publish.
+"""The jobs, for ``spark-submit``: land events, settle them, keep the dashboard, publish.
 
 The broker connector and the object-store filesystem come with the submit command
 (``--packages``), credentials with the environment.
@@ -11,13 +11,14 @@ import os
 
 from pyspark.sql import SparkSession
 
-from tallybrook.operators.publish import publish_frame
+from tallybrook.operators.publish import publish_frame, unpublishable
+from tallybrook.schemas import KINDS, TOPICS, ddl
+from tallybrook.sources import lake
 from tallybrook.sources import messages as source
-from tallybrook.streaming import ingest, live
+from tallybrook.streaming import ingest, live, publish
 
 APP_NAME = "tallybrook"
 FORMAT = source.KAFKA
-LIVE_SHUFFLE_PARTITIONS = "4"
 
 
 def session() -> SparkSession:
@@ -28,47 +29,55 @@ def session() -> SparkSession:
     return spark
 
 
-def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
-    def messages_of(kind):
-        options = source.kafka_source_options(
-            args.servers,
-            [kind.topic],
-            starting=args.starting,
-            max_per_trigger=args.max_per_trigger,
-            max_per_task=args.max_per_task,
-        )
-        return source.stream_messages(spark, FORMAT, options)
+def _subscribed(args: argparse.Namespace, topics=TOPICS) -> dict[str, str]:
+    return source.kafka_source_options(
+        args.servers,
+        topics,
+        starting=args.starting,
+        max_per_trigger=args.max_per_trigger,
+        max_per_task=args.max_per_task,
+        fail_on_data_loss=args.fail_on_data_loss,
+    )
+
 
+def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     queries = ingest.land_all(
-        messages_of,
+        lambda kind: source.stream_messages(spark, FORMAT, _subscribed(args, [kind.topic])),
         f"{args.base}/processed",
         f"{args.base}/checkpoints",
-        mixed_hours=args.mixed_hours,
+        rejects=f"{args.base}/rejected" if args.keep_rejects else None,
+        gather_hours=not args.scatter_hours,
+        retention=args.retention,
     )
     ingest.supervise(queries)
 
 
 def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
-    # The state is a few hundred rows; a checkpoint keeps the number it started with.
-    if not spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions"):
-        spark.conf.set("spark.sql.shuffle.partitions", LIVE_SHUFFLE_PARTITIONS)
-    options = source.kafka_source_options(
-        args.servers,
-        starting=args.starting,
-        max_per_trigger=args.max_per_trigger or source.POLL_LIMIT,
-        max_per_task=args.max_per_task,
-    )
-    arriving = source.stream_messages(spark, FORMAT, options)
-    queries = [
-        start(arriving, f"{args.base}/live/{name}", f"{args.base}/checkpoints/live-{name}")
-        for name, start in (("totals", live.start_totals), ("cycles", live.start_cycles))
-    ]
-    ingest.supervise(queries)
+    arriving = source.stream_messages(spark, FORMAT, _subscribed(args))
+    path, checkpoint = f"{args.base}/live", f"{args.base}/checkpoints/live"
+    ingest.supervise([live.start_live(arriving, path, checkpoint)])
+
+
+def run_settle(spark: SparkSession, args: argparse.Namespace) -> None:
+    for kind in KINDS:
+        lake.settle(spark, f"{args.base}/processed", kind)
 
 
 def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    frame = publish_frame(spark.read.parquet(args.events))
-    frame.write.format(FORMAT).options(**source.kafka_sink_options(args.servers)).save()
+    sink = source.kafka_sink_options(args.servers)
+    if not args.checkpoints:
+        events = spark.read.parquet(args.events)
+        publish_frame(events).write.format(FORMAT).options(**sink).save()
+        if args.rejects:
+            unpublishable(events).write.mode("append").parquet(args.rejects)
+        return
+    fields = {name: dtype for kind in KINDS for name, dtype in kind.fields.items()}
+    events = spark.readStream.schema(ddl(fields)).parquet(args.events)
+    queries = [publish.start_publishing(events, FORMAT, sink, f"{args.checkpoints}/sent")]
+    if args.rejects:
+        kept = f"{args.checkpoints}/rejected"
+        queries.append(publish.start_rejecting(events, args.rejects, kept))
+    ingest.supervise(queries)
 
 
 def _default_base() -> str | None:
@@ -90,11 +99,19 @@ def arguments() -> argparse.ArgumentParser:
         job.add_argument("--starting", default="latest")
         job.add_argument("--max-per-trigger", type=int)
         job.add_argument("--max-per-task", type=int)
+        job.add_argument("--fail-on-data-loss", action="store_true")
         job.set_defaults(run=run)
-    jobs.choices["ingest"].add_argument("--mixed-hours", action="store_true")
-    publish = jobs.add_parser("publish")
-    publish.add_argument("--events", required=True)
-    publish.set_defaults(run=run_publish)
+    jobs.choices["ingest"].add_argument("--scatter-hours", action="store_true")
+    jobs.choices["ingest"].add_argument("--keep-rejects", action="store_true")
+    jobs.choices["ingest"].add_argument("--retention")
+    settling = jobs.add_parser("settle")
+    settling.add_argument("--base", default=_default_base(), required=_default_base() is None)
+    settling.set_defaults(run=run_settle)
+    sending = jobs.add_parser("publish")
+    sending.add_argument("--events", required=True)
+    sending.add_argument("--rejects")
+    sending.add_argument("--checkpoints", help="publish continuously, from a folder of events")
+    sending.set_defaults(run=run_publish)
     return parser
 
 

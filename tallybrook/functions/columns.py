@@ -7,7 +7,9 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+# An event's amount, and sums of them: exact, wide, and without rounding to cents.
+MONEY = "decimal(30,9)"
+MONEY_SUM = "decimal(38,9)"
 
 # Upper bounds (exclusive) and their labels, then the label above them all.
 PRICE_BANDS = ((25, "budget"), (75, "mid"))
@@ -65,13 +67,19 @@ def or_unknown(value: Column) -> Column:
 
 
 def money(amount: Column) -> Column:
-    """Exact cents, so that sums do not depend on arrival order.
+    """An exact amount, so that sums do not depend on arrival order.
 
-    NULL, NaN and amounts too large for the type count as zero instead of raising.
+    NULL counts as zero. So do NaN, infinity and amounts of 1e21 or more, which
+    ``unusable_amount`` tells apart, instead of ending a stream.
     """
     return F.coalesce(amount.try_cast(MONEY), F.lit(0).cast(MONEY))
 
 
+def unusable_amount(amount: Column) -> Column:
+    """There is an amount, but none that ``money`` can add up."""
+    return amount.isNotNull() & amount.try_cast(MONEY).isNull()
+
+
 def success_rate(failed: Column, total: Column) -> Column:
     """Percentage of payments that did not fail, to one decimal; 100.0 without payments.
 

@@ -12,6 +12,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallybrook.functions import columns as C
 from tallybrook.operators.decode import parse
@@ -30,11 +31,16 @@ FACT_FIELDS = {
 }
 
 DIMENSIONS = ("category", "city", "device", "payment_method")
-COUNTS = ("orders", "clicks", "payments", "failed")
+COUNTS = ("orders", "clicks", "payments", "failed", "unusable")
+TOTAL = "total"
 HISTORY = 60
 TOP_CITIES = 10
 
-_CENTS = "decimal(38,2)"
+PANELS_DDL = (
+    "panel string, label string, "
+    + "".join(f"{name} bigint, " for name in COUNTS)
+    + f"revenue {C.MONEY_SUM}"
+)
 
 
 def facts(messages: DataFrame) -> DataFrame:
@@ -83,6 +89,7 @@ def _measure(events: DataFrame) -> DataFrame:
         is_click.cast("long").alias("clicks"),
         is_payment.cast("long").alias("payments"),
         failed.cast("long").alias("failed"),
+        (is_order & C.unusable_amount(F.col("total_amount"))).cast("long").alias("unusable"),
         F.when(is_order, C.money(F.col("total_amount")))
         .otherwise(F.lit(0).cast(C.MONEY))
         .alias("revenue"),
@@ -97,10 +104,46 @@ def _total(measure: str, dtype: str = "long") -> Column:
 
 
 def cube(measured: DataFrame) -> DataFrame:
-    """Measures per combination of dimensions: one pass, one small shuffle."""
+    """Measures per combination of dimensions: one pass, one shuffle.
+
+    Its size is the product of the label counts; ``panels`` is their sum.
+    """
+    return measured.groupBy(*DIMENSIONS).agg(*_sums())
+
+
+def _sums() -> list[Column]:
     counts = [F.sum(name).alias(name) for name in COUNTS]
-    revenue = F.sum("revenue").cast(_CENTS).alias("revenue")
-    return measured.groupBy(*DIMENSIONS).agg(*counts, revenue)
+    return [*counts, F.sum("revenue").cast(C.MONEY_SUM).alias("revenue")]
+
+
+def add_up(parts: DataFrame) -> DataFrame:
+    """One row per panel and label from several such rows."""
+    return parts.groupBy("panel", "label").agg(*_sums())
+
+
+def panels(measured: DataFrame) -> DataFrame:
+    """All that a dashboard shows: measures per label of each dimension, and in total.
+
+    One row per label, whichever labels occur together, and one of panel ``total``, always.
+    Rows are fanned out before they are added up in each task. What has no label is left out
+    after adding up: a filter before would move below the parser.
+    """
+    whole = F.struct(F.lit(TOTAL).alias("panel"), F.lit(None).cast("string").alias("label"))
+    each = [F.struct(F.lit(d).alias("panel"), F.col(d).alias("label")) for d in DIMENSIONS]
+    fanned = measured.select(F.explode(F.array(whole, *each)).alias("at"), *COUNTS, "revenue")
+    labelled = fanned.select("at.panel", "at.label", *COUNTS, "revenue")
+    return add_up(labelled).where(F.col("label").isNotNull() | (F.col("panel") == TOTAL))
+
+
+def totals_of(summed: DataFrame) -> DataFrame:
+    """The one row of all events, for ``kpi_totals`` and ``cycle_total``."""
+    return summed.where(F.col("panel") == TOTAL)
+
+
+def labels_of(summed: DataFrame, dimension: str) -> DataFrame:
+    """The rows of one dimension, for the breakdowns by it."""
+    rows = summed.where(F.col("panel") == dimension)
+    return rows.withColumnRenamed("label", dimension).drop("panel")
 
 
 def kpi_totals(measured: DataFrame) -> DataFrame:
@@ -151,32 +194,42 @@ def top_cities_by_revenue(measured: DataFrame, n: int = TOP_CITIES) -> DataFrame
     return ranked.withColumn("revenue", F.col("revenue").cast("double"))
 
 
-def breakdowns(measured: DataFrame) -> DataFrame:
-    """All breakdowns at once: panel, label, events, revenue.
-
-    Meant for a cube, whose few rows are cheap to fan out; one pass over the events.
-    """
-    panels = F.array(
-        *[F.struct(F.lit(d).alias("panel"), F.col(d).alias("label")) for d in DIMENSIONS]
-    )
+def breakdowns(summed: DataFrame) -> DataFrame:
+    """All breakdowns at once: panel, label, events, revenue."""
     counted = (F.col("orders") + F.col("payments")).alias("events")
-    fanned = measured.select(F.explode(panels).alias("at"), counted, "revenue")
-    labelled = fanned.where(F.col("at.label").isNotNull())
-    return labelled.groupBy("at.panel", "at.label").agg(
-        F.sum("events").alias("events"), F.sum("revenue").cast("double").alias("revenue")
+    shown = summed.where(F.col("panel") != TOTAL)
+    return shown.select(
+        "panel", "label", counted, F.col("revenue").cast("double").alias("revenue")
+    )
+
+
+def amount_quality(measured: DataFrame) -> DataFrame:
+    """Orders, their revenue, and how many had an amount that can't be added up."""
+    return measured.agg(
+        _total("orders").alias("orders"),
+        _total("revenue", "double").alias("revenue"),
+        _total("unusable").alias("unusable_amounts"),
     )
 
 
+def ranked(rows: DataFrame, *order: Column | str) -> DataFrame:
+    """Adds ``rank``, from 1: the order of a short list as a column."""
+    return rows.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
 def cycle_total(measured: DataFrame) -> DataFrame:
     """Orders and revenue of one cycle's events, zero for a cycle without orders."""
     return measured.agg(
-        _total("orders").alias("orders"), _total("revenue", _CENTS).alias("revenue")
+        _total("orders").alias("orders"), _total("revenue", C.MONEY_SUM).alias("revenue")
     )
 
 
-def cycle_points(measured: DataFrame, seconds: int, at: str = "event_ts") -> DataFrame:
+def cycle_points(measured: DataFrame, seconds: int, at: str = "kafka_timestamp") -> DataFrame:
     """Orders and revenue per cycle of time; a cycle exists once any message falls in it.
 
+    Cycles of arrival by default: one wrong clock among the senders can't move them. By
+    ``event_ts`` a series may end with an event of the far future; see ``not_ahead``.
+
     Per cycle, not per minute. Messages without a time belong to none. They are left out
     after counting: ``window`` would filter on the time before, and so parse twice.
     """
@@ -184,11 +237,30 @@ def cycle_points(measured: DataFrame, seconds: int, at: str = "event_ts") -> Dat
     sums = measured.groupBy(start).agg(
         F.count(at).alias("timed"),
         F.sum("orders").alias("orders"),
-        F.sum("revenue").cast(_CENTS).alias("revenue"),
+        F.sum("revenue").cast(C.MONEY_SUM).alias("revenue"),
     )
     return sums.where(F.col("timed") > 0).drop("timed")
 
 
+def not_ahead(measured: DataFrame, tolerance: str = "1 hour") -> DataFrame:
+    """Facts whose event time, if any, is at most ``tolerance`` after their arrival.
+
+    Others keep their measures but lose their event time, so that they are in no cycle;
+    ``ahead`` counts them.
+    """
+    return measured.withColumn("event_ts", F.when(~_ahead(tolerance), F.col("event_ts")))
+
+
+def ahead(measured: DataFrame, tolerance: str = "1 hour") -> DataFrame:
+    """How many events are dated more than ``tolerance`` after their arrival."""
+    return measured.agg(F.count_if(_ahead(tolerance)).alias("ahead"))
+
+
+def _ahead(tolerance: str) -> Column:
+    latest = F.col("kafka_timestamp") + F.expr(f"INTERVAL {tolerance}")
+    return F.coalesce(F.col("event_ts") > latest, F.lit(False))
+
+
 def last_cycles(points: DataFrame, seconds: int, n: int = HISTORY) -> DataFrame:
     """The last n cycles up to the latest point, in order, zero where nothing happened.
 

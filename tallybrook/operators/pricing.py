@@ -43,21 +43,13 @@ def failure_reason(status: Column, reason: Column) -> Column:
     return F.when(status == "failed", reason)
 
 
-def attach_products(
-    events: DataFrame, products: DataFrame, on: str = "product_id", salts: int = 1
-) -> DataFrame:
+def attach_products(events: DataFrame, products: DataFrame, on: str = "product_id") -> DataFrame:
     """Every event with the attributes of its product, NULL where the product is unknown.
 
     Whether the catalogue is broadcast is left to Spark's own size check; a larger one is
-    shuffled, and adaptive execution splits the partition of a hot product. Streams plan
-    without adaptive execution: ``salts`` spreads each product (and the events without
-    one) over that many groups there, for as many copies of the catalogue.
+    shuffled, and adaptive execution splits the partition of a hot product.
     """
-    if salts == 1:
-        return events.join(products, on, "left")
-    salt = F.pmod(F.xxhash64(*events.columns), F.lit(salts)).cast("int")
-    copies = products.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return events.withColumn("_salt", salt).join(copies, [on, "_salt"], "left").drop("_salt")
+    return events.join(products, on, "left")
 
 
 def events_per_attribute(

@@ -33,18 +33,32 @@ def _by_kind(event_type: Column, kinds: tuple[EventKind, ...], result) -> Column
     )
 
 
+def publishable(events: DataFrame, kinds: tuple[EventKind, ...] = KINDS) -> Column:
+    """Events of a known kind; only those have a topic to go to."""
+    names = [kind.name for kind in kinds]
+    return F.coalesce(F.col("event_type").isin(*names), F.lit(False))
+
+
 def publish_frame(
     events: DataFrame, *carry: str, kinds: tuple[EventKind, ...] = KINDS
 ) -> DataFrame:
-    """Key, value and topic of every event in a table of mixed kinds.
+    """Key, value and topic of every event of a known kind in a table of mixed kinds.
 
     Each event is written with the fields of its own kind, and keyed by user, so that one
-    user's events keep their order.
+    user's events keep their order. Other events are left to ``unpublishable``: a message
+    without a topic would end the whole job.
     """
     event_type = F.col("event_type")
-    return events.select(
+    return events.where(publishable(events, kinds)).select(
         F.coalesce("user_id", F.lit(NO_USER)).alias("key"),
         _by_kind(event_type, kinds, lambda kind: payload_json(events, kind)).alias("value"),
         _by_kind(event_type, kinds, lambda kind: F.lit(kind.topic)).alias("topic"),
         *carry,
     )
+
+
+def unpublishable(
+    events: DataFrame, kinds: tuple[EventKind, ...] = KINDS
+) -> DataFrame:
+    """The events that ``publish_frame`` leaves out, whole."""
+    return events.where(~publishable(events, kinds))

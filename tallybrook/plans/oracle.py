@@ -113,6 +113,24 @@ series AS (
   FROM line LEFT JOIN o ON date_trunc('hour', o.ts) = line.cycle_start
   GROUP BY line.cycle_start)"""
 
+def _top_cities(city: str) -> str:
+    return f"""{_WITH_ORDERS}
+SELECT city, revenue, CAST(row_number() OVER (ORDER BY total DESC, city) AS INTEGER) AS rank
+FROM (SELECT {city} AS city, sum(total_d) AS total, CAST(sum(total_d) AS DOUBLE) AS revenue
+  FROM o GROUP BY ALL)
+ORDER BY total DESC, city LIMIT 10"""
+
+
+_HOURLY = f"""{_WITH_ORDERS}
+SELECT strftime(ts, '%Y-%m-%d') AS date, CAST(hour(ts) AS INTEGER) AS hour, count(*) AS n
+FROM o GROUP BY 1, 2"""
+
+_PER_PART = f"""{_WITH_ORDERS},
+part AS (
+  SELECT CAST(id % 4 AS BIGINT) AS batch_id, count(*) AS orders,
+    CAST(sum(total_d) AS DOUBLE) AS revenue
+  FROM o GROUP BY 1)"""
+
 ORACLE_SQL: dict[str, str] = {
     "envelope_topic_counts": f"""
 SELECT {_TOPIC} AS topic, count(*) AS n FROM events WHERE {_KNOWN} GROUP BY 1""",
@@ -210,15 +228,20 @@ SELECT variant, count(*) AS n,
 FROM (SELECT *, CAST(id % 8 AS INTEGER) AS variant FROM o) GROUP BY variant""",
     "kpi_totals": f"{_KPIS} SELECT * FROM kpi",
     "orders_by_category": f"""{_WITH_ORDERS}
-SELECT category, count(*) AS orders FROM o GROUP BY 1 ORDER BY orders DESC, category""",
-    "top_cities_by_revenue": f"""{_WITH_ORDERS}
-SELECT city, CAST(sum(total_d) AS DOUBLE) AS revenue FROM o GROUP BY 1
-ORDER BY sum(total_d) DESC, city LIMIT 10""",
+SELECT *, CAST(row_number() OVER (ORDER BY orders DESC, category) AS INTEGER) AS rank
+FROM (SELECT category, count(*) AS orders FROM o GROUP BY 1)""",
+    "top_cities_by_revenue": _top_cities("city"),
+    "top_of_many_cities": _top_cities("city || ' ' || CAST(id % 4 AS VARCHAR)"),
+    "amounts_of_every_size": f"""{_WITH_ORDERS}
+SELECT count(*) AS orders, count(*) FILTER (id % 4 = 2) AS unusable_amounts,
+  CAST(sum(CASE id % 4 WHEN 0 THEN 50000000000000000 WHEN 1 THEN 0.004::DECIMAL(38,9)
+    WHEN 2 THEN 0 ELSE total_d END) AS DOUBLE) AS revenue
+FROM o""",
     "orders_by_device": f"""{_WITH_ORDERS}
 SELECT device, count(*) AS orders FROM o GROUP BY 1""",
     "payments_by_method": f"""{_WITH_PAYMENTS}
-SELECT payment_method, count(*) AS payments FROM p GROUP BY 1
-ORDER BY payments DESC, payment_method""",
+SELECT *, CAST(row_number() OVER (ORDER BY payments DESC, payment_method) AS INTEGER) AS rank
+FROM (SELECT payment_method, count(*) AS payments FROM p GROUP BY 1)""",
     "dashboard_breakdowns": _BREAKDOWNS,
     "missing_field_defaults": _breakdowns(
         "if(id % 3 = 0, 'Unknown', category)",
@@ -271,17 +294,28 @@ FROM events WHERE {_KNOWN} GROUP BY 1, 2, 3""",
     "publish_then_ingest": _TIERS,
     "stream_kpi_totals": f"{_KPIS} SELECT * FROM kpi",
     "stream_breakdowns": _BREAKDOWNS,
-    "stream_cycles": f"""{_WITH_ORDERS}
-SELECT CAST(0 AS BIGINT) AS batch_id, count(*) AS orders,
-  CAST(sum(total_d) AS DOUBLE) AS revenue
-FROM o""",
+    "stream_cycles": f"{_PER_PART} SELECT * FROM part",
+    "stream_cycle_series": f"""{_PER_PART},
+point(second, batch_id) AS (
+  VALUES (2, 0), (12, 1), (15, NULL), (18, NULL), (21, NULL), (24, NULL), (27, NULL),
+    (30, NULL), (31, 2), (33, 3), (36, NULL), (39, NULL))
+SELECT CAST(make_timestamp(CAST(second * 1000000 AS BIGINT)) AS TIMESTAMP) AS cycle_at,
+  coalesce(orders, 0) AS orders, coalesce(revenue, 0.0) AS revenue
+FROM point LEFT JOIN part USING (batch_id)""",
     "stream_orders_per_cycle": f"""{_WITH_ORDERS}
 SELECT seen.cycle_start, count(o.id) AS orders,
   coalesce(CAST(sum(o.total_d) AS DOUBLE), 0.0) AS revenue
 FROM (
   SELECT DISTINCT date_trunc('hour', ts) AS cycle_start FROM events WHERE {_KNOWN}) seen
 LEFT JOIN o ON date_trunc('hour', o.ts) = seen.cycle_start
-WHERE seen.cycle_start + INTERVAL 1 HOUR <=
-  (SELECT max(ts) - INTERVAL 1 HOUR FROM events WHERE {_KNOWN})
 GROUP BY 1""",
+    "lake_settled_read": _HOURLY,
+    "stream_ingest_stamps": f"{_WITH_PAYMENTS} SELECT count(*) AS n, count(*) AS stamped FROM p",
+    "stream_rejects": f"""{_WITH_ORDERS}
+SELECT 'ecommerce.orders' AS topic, count(*) AS n, count(*) FILTER (id % 8 <> 4) AS with_text
+FROM o WHERE id % 8 BETWEEN 1 AND 6""",
+    "publish_rejects": f"""
+SELECT CASE WHEN event_id % 5 = 0 OR event_id % 7 = 0 THEN 'rejected' ELSE {_TOPIC} END AS topic,
+  count(*) AS n
+FROM events WHERE {_KNOWN} GROUP BY 1""",
 }

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
+from datetime import datetime, timezone
 from functools import wraps
+from itertools import count
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,14 +14,15 @@ from pyspark.sql import functions as F
 from tallybrook.functions import columns as C
 from tallybrook.operators import display, pricing, publish
 from tallybrook.operators import metrics as M
-from tallybrook.operators.decode import decode_with_rejects, parse
+from tallybrook.operators.decode import REJECTED, decode_with_rejects, envelope, parse
 from tallybrook.operators.enrich import enrich, lake_rows
 from tallybrook.plans.workspace import fresh_folder
 from tallybrook.schemas import CLICK, KINDS, ORDER, PAYMENT, PARTITION_FIELDS, EventKind
 from tallybrook.sources import tables
-from tallybrook.sources.lake import read_lake
+from tallybrook.sources.lake import read_lake, settle
 from tallybrook.sources.messages import stream_messages
 from tallybrook.streaming import ingest, live
+from tallybrook.streaming import publish as publishing
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -26,11 +30,15 @@ REGISTRY: dict[str, Query] = {}
 ALL_AT_ONCE = {"availableNow": True}
 HOUR = 3600
 
-# Landing needs no other rows, so a backfill may take a terabyte at a time and resume in
-# between. Totals and series take their input as one batch: files come in no order of time,
-# and a later batch would find its hours closed.
+# A backfill may take a terabyte at a time and resume in between.
 BOUNDED = {"maxBytesPerTrigger": str(1 << 40)}
-SERIES_DELAY = "1 hour"
+
+# Streams get their messages in parts, and are started anew for each: so what they carry from
+# one batch to the next, and over a restart, is in their results.
+PARTS = 4
+# Seconds at which the parts of the live series begin and end, and when it is read.
+SPANS = ((0.0, 2.0), (3.0, 12.0), (30.0, 31.0), (31.5, 33.0))
+READ_AT = 40.0
 
 # The range of the pruned read.
 PRUNED_DAYS = ("2024-01-08", "2024-01-14")
@@ -42,8 +50,13 @@ def query(build: Query) -> Query:
 
     @wraps(build)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        zone = spark.conf.get("spark.sql.session.timeZone")
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        return build(spark, sf_dir)
+        try:
+            # Plans keep the zone that they were made with.
+            return build(spark, sf_dir)
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", zone)
 
     REGISTRY[build.__name__] = run
     return run
@@ -251,12 +264,40 @@ def kpi_totals(spark, sf_dir):
 
 @query
 def orders_by_category(spark, sf_dir):
-    return M.orders_by_category(_facts(spark, sf_dir, ORDER))
+    counted = M.orders_by_category(_facts(spark, sf_dir, ORDER))
+    return M.ranked(counted, F.desc("orders"), "category")
 
 
 @query
 def top_cities_by_revenue(spark, sf_dir):
-    return M.top_cities_by_revenue(_facts(spark, sf_dir, ORDER))
+    top = M.top_cities_by_revenue(_facts(spark, sf_dir, ORDER))
+    return M.ranked(top, F.desc("revenue"), "city")
+
+
+@query
+def top_of_many_cities(spark, sf_dir):
+    """Ten of forty labels."""
+    rows = tables.event_rows(tables.read_events(spark, sf_dir), (ORDER,))
+    district = (F.col("event_id").cast("long") % 4).cast("string")
+    many = rows.withColumn("city", F.concat("city", F.lit(" "), district))
+    top = M.top_cities_by_revenue(M.facts(tables.as_messages(many, (ORDER,))))
+    return M.ranked(top, F.desc("revenue"), "city")
+
+
+def _odd_amounts(rows: DataFrame) -> DataFrame:
+    """Amounts of every size: huge ones, parts of a cent, and ones that can't be added up."""
+    number = F.col("event_id").cast("long") % 4
+    amount = (
+        F.when(number == 0, F.lit(5e16)).when(number == 1, F.lit(0.004)).when(number == 2, 1e300)
+    )
+    return rows.withColumn("total_amount", amount.otherwise(F.col("total_amount")))
+
+
+@query
+def amounts_of_every_size(spark, sf_dir):
+    rows = tables.event_rows(tables.read_events(spark, sf_dir), (ORDER,))
+    odd = tables.as_messages(_odd_amounts(rows), (ORDER,))
+    return M.amount_quality(M.facts(odd))
 
 
 @query
@@ -266,13 +307,14 @@ def orders_by_device(spark, sf_dir):
 
 @query
 def payments_by_method(spark, sf_dir):
-    return M.payments_by_method(_facts(spark, sf_dir, PAYMENT))
+    counted = M.payments_by_method(_facts(spark, sf_dir, PAYMENT))
+    return M.ranked(counted, F.desc("payments"), "payment_method")
 
 
 @query
 def dashboard_breakdowns(spark, sf_dir):
     """All breakdowns in one pass over the events."""
-    return M.breakdowns(M.cube(_facts(spark, sf_dir)))
+    return M.breakdowns(M.panels(_facts(spark, sf_dir)))
 
 
 @query
@@ -286,7 +328,7 @@ def missing_field_defaults(spark, sf_dir):
 
     gaps = {"category": 3, "city": 4, "device": 5, "payment_method": 6, "total_amount": 7}
     holed = rows.withColumns({name: gap(name, every) for name, every in gaps.items()})
-    return M.breakdowns(M.cube(M.facts(tables.as_messages(holed))))
+    return M.breakdowns(M.panels(M.facts(tables.as_messages(holed))))
 
 
 @query
@@ -374,28 +416,66 @@ def catalog_denormalise(spark, sf_dir):
 # Streams: each runs to the end of its input, then reads back what it wrote
 
 
+def _append_part(
+    spark: SparkSession, sf_dir: str, log: str, part: int, parts: int, kinds=KINDS
+) -> None:
+    events = tables.read_events(spark, sf_dir).where(F.col("event_id") % parts == part)
+    rows = tables.event_rows(events, kinds)
+    tables.as_raw_messages(rows, kinds).write.mode("append").parquet(log)
+
+
+def _logged(spark: SparkSession, log: str) -> DataFrame:
+    return stream_messages(spark, "parquet", BOUNDED, log)
+
+
+def _in_parts(spark: SparkSession, sf_dir: str, start, kinds=KINDS, parts: int = PARTS) -> None:
+    """After each part of the log start queries and let them take what is new.
+
+    ``start`` gets messages and gives queries; their checkpoints carry on.
+    """
+    log = fresh_folder(spark, "log")
+    for part in range(parts):
+        _append_part(spark, sf_dir, log, part, parts, kinds)
+        ingest.finish(start(lambda kind=None: _logged(spark, log)))
+
+
+def _land(spark: SparkSession, sf_dir: str, lake: str, kinds=KINDS, parts: int = 2) -> None:
+    checkpoints = fresh_folder(spark, "land-checkpoint")
+
+    def start(messages_of):
+        return ingest.land_all(messages_of, lake, checkpoints, kinds=kinds, trigger=ALL_AT_ONCE)
+
+    _in_parts(spark, sf_dir, start, kinds, parts)
+
+
 @query
 def lake_pruned_read(spark, sf_dir):
     """Price tiers of one week's working hours, from the lake's directories alone."""
     lake = fresh_folder(spark, "lake")
     _land(spark, sf_dir, lake, (ORDER,))
+    settle(spark, lake, ORDER)
     hours = F.col("hour").between(*PRUNED_HOURS)
     days = F.col("date").between(*[F.lit(day).cast("date") for day in PRUNED_DAYS])
     rows = read_lake(spark, lake, ORDER).where(days & hours)
     return rows.groupBy("price_tier").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _land(spark: SparkSession, sf_dir: str, lake: str, kinds=KINDS) -> None:
-    ingest.finish(
-        ingest.land_all(
-            lambda kind: tables.stream_of_messages(spark, sf_dir, kind, **BOUNDED),
-            lake,
-            fresh_folder(spark, "land-checkpoint"),
-            kinds=kinds,
-            trigger=ALL_AT_ONCE,
-            mixed_hours=True,
-        )
-    )
+@query
+def lake_settled_read(spark, sf_dir):
+    """Rows per hour of a table that is settled between two parts, with late events after it."""
+    lake = fresh_folder(spark, "lake")
+    checkpoints = fresh_folder(spark, "land-checkpoint")
+
+    runs = count()
+
+    def start(messages_of):
+        if next(runs):
+            settle(spark, lake, ORDER)
+        return [ingest.land(messages_of(), ORDER, lake, checkpoints, trigger=ALL_AT_ONCE)]
+
+    _in_parts(spark, sf_dir, start, (ORDER,))
+    counted = read_lake(spark, lake, ORDER).groupBy(*PARTITION_FIELDS)
+    return counted.agg(F.count(F.lit(1)).alias("n")).withColumn("date", _day_text())
 
 
 @query
@@ -405,11 +485,22 @@ def stream_ingest_orders(spark, sf_dir):
     return _tier_totals(read_lake(spark, lake, ORDER))
 
 
+@query
+def stream_ingest_stamps(spark, sf_dir):
+    """Every landed row is stamped with a time of the run."""
+    lake, began = fresh_folder(spark, "lake"), datetime.now(timezone.utc)
+    _land(spark, sf_dir, lake, (PAYMENT,))
+    inside = F.col("ingest_ts").between(F.lit(began), F.lit(datetime.now(timezone.utc)))
+    return read_lake(spark, lake, PAYMENT).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(inside).alias("stamped")
+    )
+
+
 @query
 def stream_ingest_all(spark, sf_dir):
     """Three queries side by side; rows per table and partition."""
     lake = fresh_folder(spark, "lake")
-    _land(spark, sf_dir, lake)
+    _land(spark, sf_dir, lake, parts=PARTS)
     counts = [
         read_lake(spark, lake, kind)
         .groupBy(*PARTITION_FIELDS)
@@ -429,85 +520,126 @@ def lake_kpi_totals(spark, sf_dir):
 
 
 @query
-def publish_then_ingest(spark, sf_dir):
-    """Publish as a stream to a message log, then read the log and land the orders."""
-    log, lake = fresh_folder(spark, "log"), fresh_folder(spark, "lake")
-    rows = tables.event_rows(tables.stream_events(spark, sf_dir, **BOUNDED))
-    frame = publish.publish_frame(rows, "arrival").select(
-        F.col("key").cast("binary").alias("key"),
-        F.col("value").cast("binary").alias("value"),
+def stream_rejects(spark, sf_dir):
+    """The texts of damaged messages, kept by a stream of their own."""
+    sound = tables.messages(spark, sf_dir, ORDER)
+    number = F.regexp_extract("raw_json", '"event_id":"([0-9]+)"', 1).cast("long")
+    damaged = sound.select(
+        F.col("user_id_key").cast("binary").alias("key"),
+        _damaged(F.col("raw_json"), (number % 8).cast("int")).cast("binary").alias("value"),
         "topic",
-        F.col("arrival").alias("timestamp"),
+        F.col("kafka_timestamp").alias("timestamp"),
+    )
+    log, rejects = fresh_folder(spark, "log"), fresh_folder(spark, "rejects")
+    damaged.write.parquet(log)
+    checkpoints = fresh_folder(spark, "reject-checkpoint")
+    ingest.finish(
+        [ingest.quarantine(_logged(spark, log), ORDER, rejects, checkpoints, trigger=ALL_AT_ONCE)]
     )
-    publishing = (
-        frame.writeStream.format("parquet")
-        .option("path", log)
-        .option("checkpointLocation", fresh_folder(spark, "publish-checkpoint"))
-        .trigger(**ALL_AT_ONCE)
-        .start()
+    kept = spark.read.parquet(f"{rejects}/{ORDER.table}")
+    return kept.groupBy("topic").agg(
+        F.count(F.lit(1)).alias("n"), F.count(REJECTED).alias("with_text")
     )
-    ingest.finish([publishing])
-    landing = ingest.land(
-        stream_messages(spark, "parquet", BOUNDED, log),
-        ORDER,
-        lake,
-        fresh_folder(spark, "land-checkpoint"),
+
+
+def _publish(spark: SparkSession, rows: DataFrame, log: str):
+    """A streamed publish job whose sink is a message log of files."""
+    return publishing.start_publishing(
+        rows,
+        "parquet",
+        {"path": log},
+        fresh_folder(spark, "publish-checkpoint"),
+        F.col("arrival").alias("timestamp"),
         trigger=ALL_AT_ONCE,
-        mixed_hours=True,
     )
-    ingest.finish([landing])
+
+
+@query
+def publish_then_ingest(spark, sf_dir):
+    """Publish as a stream to a message log, then read the log and land the orders."""
+    log, lake = fresh_folder(spark, "log"), fresh_folder(spark, "lake")
+    rows = tables.event_rows(tables.stream_events(spark, sf_dir, **BOUNDED))
+    ingest.finish([_publish(spark, rows, log)])
+    sent = spark.readStream.schema("key string, value string, topic string, timestamp timestamp")
+    checkpoints = fresh_folder(spark, "land-checkpoint")
+    arriving = envelope(sent.options(**BOUNDED).parquet(log))
+    ingest.finish([ingest.land(arriving, ORDER, lake, checkpoints, trigger=ALL_AT_ONCE)])
     return _tier_totals(read_lake(spark, lake, ORDER))
 
 
-def _live_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = fresh_folder(spark, "totals")
-    running = live.start_totals(
-        tables.stream_of_messages(spark, sf_dir),
-        path,
-        fresh_folder(spark, "totals-checkpoint"),
-        ALL_AT_ONCE,
+@query
+def publish_rejects(spark, sf_dir):
+    """Events of unknown types and of none stop nothing: sent per topic, and kept apart."""
+    rows = tables.event_rows(tables.stream_events(spark, sf_dir, **BOUNDED))
+    number = F.col("event_id").cast("long")
+    event_type = F.when(number % 5 == 0, "refund").when(number % 7 != 0, F.col("event_type"))
+    odd = rows.withColumn("event_type", event_type)
+    log, kept = fresh_folder(spark, "log"), fresh_folder(spark, "kept")
+    checkpoint = fresh_folder(spark, "reject-checkpoint")
+    ingest.finish(
+        [
+            _publish(spark, odd, log),
+            publishing.start_rejecting(odd, kept, checkpoint, ALL_AT_ONCE),
+        ]
     )
-    ingest.finish([running])
-    return live.read_totals(spark, path)
+    sent = spark.read.parquet(log).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
+    left = spark.read.parquet(kept).agg(F.count(F.lit(1)).alias("n"))
+    return sent.unionByName(left.select(F.lit("rejected").alias("topic"), "n"))
+
+
+class _Clock:
+    """Gives the times of ``SPANS`` one after the other."""
+
+    def __init__(self) -> None:
+        self.times = iter([at for span in SPANS for at in span])
+
+    def __call__(self) -> float:
+        return next(self.times)
+
+
+def _run_live(spark: SparkSession, sf_dir: str, clock=time.time) -> str:
+    path, checkpoint = fresh_folder(spark, "live"), fresh_folder(spark, "live-checkpoint")
+
+    def start(messages_of):
+        return [live.start_live(messages_of(), path, checkpoint, ALL_AT_ONCE, clock)]
+
+    _in_parts(spark, sf_dir, start)
+    return path
 
 
 @query
 def stream_kpi_totals(spark, sf_dir):
-    return M.kpi_totals(_live_cube(spark, sf_dir))
+    return M.kpi_totals(M.totals_of(live.read_totals(spark, _run_live(spark, sf_dir))))
 
 
 @query
 def stream_breakdowns(spark, sf_dir):
-    return M.breakdowns(_live_cube(spark, sf_dir))
+    return M.breakdowns(live.read_totals(spark, _run_live(spark, sf_dir)))
 
 
 @query
 def stream_cycles(spark, sf_dir):
-    """Orders and revenue of each micro-batch; a table of one file is one batch."""
-    path = fresh_folder(spark, "cycles")
-    running = live.start_cycles(
-        tables.stream_of_messages(spark, sf_dir),
-        path,
-        fresh_folder(spark, "cycles-checkpoint"),
-        ALL_AT_ONCE,
-    )
-    ingest.finish([running])
-    return live.read_cycles(spark, path).select("batch_id", "orders", "revenue")
+    """Orders and revenue of each micro-batch."""
+    rows = live.read_cycles(spark, _run_live(spark, sf_dir))
+    return rows.select("batch_id", "orders", "revenue")
+
+
+@query
+def stream_cycle_series(spark, sf_dir):
+    """A point for each batch however long it took, zeros while nothing arrived until READ_AT."""
+    path = _run_live(spark, sf_dir, _Clock())
+    series = live.cycle_series(spark, path, READ_AT)
+    return series.withColumn("cycle_at", _plain_time("cycle_at"))
 
 
 @query
 def stream_orders_per_cycle(spark, sf_dir):
-    """The hours the watermark has closed: all that ended before the newest event's delay."""
-    path = fresh_folder(spark, "series")
-    running = live.start_event_time_cycles(
-        tables.stream_of_messages(spark, sf_dir),
-        path,
-        fresh_folder(spark, "series-checkpoint"),
-        HOUR,
-        SERIES_DELAY,
-        ALL_AT_ONCE,
-    )
-    ingest.finish([running])
-    return spark.read.parquet(path).select(
-        _plain_time("cycle_start"), "orders", F.col("revenue").cast("double").alias("revenue")
-    )
+    """All hours of event time; every part brings events of all of them."""
+    path, checkpoint = fresh_folder(spark, "series"), fresh_folder(spark, "series-checkpoint")
+
+    def start(messages_of):
+        return [live.start_event_time_cycles(messages_of(), path, checkpoint, HOUR, ALL_AT_ONCE)]
+
+    _in_parts(spark, sf_dir, start)
+    points = live.read_event_time_cycles(spark, path)
+    return points.withColumn("cycle_start", _plain_time("cycle_start"))

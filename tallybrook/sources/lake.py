@@ -1,19 +1,98 @@
-"""Reading the lake tables."""
+"""Reading the lake tables, and settling what a stream has written.
+
+A stream writes many files, and its table is read through the sink's list of all of them.
+``settle`` copies rows that arrived before a cutoff into few large files of a second table,
+which is read by its directories. Readers take both: settled rows, and live ones from the
+cutoff on.
+"""
 
 from __future__ import annotations
 
+from datetime import datetime
+from functools import reduce
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallybrook.schemas import PARTITION_FIELDS, EventKind, ddl
 
-from tallybrook.schemas import EventKind, ddl
+MARK_DDL = "part string, cutoff timestamp"
 
 
 def table_path(lake: str, kind: EventKind) -> str:
     return f"{lake.rstrip('/')}/{kind.table}"
 
 
+def _settled_path(lake: str, kind: EventKind) -> str:
+    return f"{lake.rstrip('/')}/settled/{kind.table}"
+
+
+def _marks(spark: SparkSession, lake: str, kind: EventKind) -> list:
+    """Whole parts of the settled table, oldest first."""
+    try:
+        marks = spark.read.schema(MARK_DDL).parquet(f"{_settled_path(lake, kind)}/marks")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    return sorted(marks.distinct().collect(), key=lambda row: row["cutoff"])
+
+
+def _live(spark: SparkSession, lake: str, kind: EventKind) -> DataFrame:
+    return spark.read.schema(ddl(kind.lake_fields)).parquet(table_path(lake, kind))
+
+
+def settled(spark: SparkSession, lake: str, kind: EventKind) -> DataFrame:
+    """The settled rows, by their directories alone."""
+    schema = ddl(kind.lake_fields)
+    base = f"{_settled_path(lake, kind)}/parts"
+    parts = [
+        spark.read.schema(schema).parquet(f"{base}/{mark['part']}")
+        for mark in _marks(spark, lake, kind)
+    ]
+    if not parts:
+        return spark.createDataFrame([], schema)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def read_lake(spark: SparkSession, lake: str, kind: EventKind) -> DataFrame:
     """One lake table. Filters on ``date`` and ``hour`` skip whole directories.
 
     The schema is given, so no file is opened to find it; ``date`` and ``hour`` come last.
     """
-    return spark.read.schema(ddl(kind.lake_fields)).parquet(table_path(lake, kind))
+    live, marks = _live(spark, lake, kind), _marks(spark, lake, kind)
+    if not marks:
+        return live
+    # Rows carry the time of their batch, and batches end one after the other.
+    tail = live.where(F.col("ingest_ts") >= F.lit(marks[-1]["cutoff"]))
+    return settled(spark, lake, kind).unionByName(tail)
+
+
+def settle(
+    spark: SparkSession, lake: str, kind: EventKind, cutoff: datetime | None = None
+) -> datetime | None:
+    """Copy the rows that arrived before ``cutoff`` into the settled table; the actual cutoff.
+
+    That is the newest batch's time at most, for an unfinished batch may still add rows of
+    its own time or later, but none of an earlier one. A run that dies writes no mark, and
+    the next one copies the same rows again. Late events need no rewriting: they are settled
+    into their hour with the other rows that arrived when they did.
+    """
+    marks = _marks(spark, lake, kind)
+    live = _live(spark, lake, kind)
+    newest = live.agg(F.max("ingest_ts").alias("at")).first()["at"]
+    if newest is None:
+        return marks[-1]["cutoff"] if marks else None
+    until = min(newest, cutoff) if cutoff else newest
+    rows = live.where(F.col("ingest_ts") < F.lit(until))
+    if marks:
+        if until <= marks[-1]["cutoff"]:
+            return marks[-1]["cutoff"]
+        rows = rows.where(F.col("ingest_ts") >= F.lit(marks[-1]["cutoff"]))
+    base, part = _settled_path(lake, kind), f"until-{int(until.timestamp() * 1_000_000)}"
+    gathered = rows.hint("rebalance", *PARTITION_FIELDS)
+    gathered.write.mode("overwrite").partitionBy(*PARTITION_FIELDS).parquet(f"{base}/parts/{part}")
+    done = spark.createDataFrame([(part, until)], MARK_DDL).coalesce(1)
+    done.write.mode("append").parquet(f"{base}/marks")
+    return until

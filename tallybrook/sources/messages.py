@@ -14,8 +14,8 @@ from tallybrook.schemas import MESSAGE_FIELDS, TOPICS, ddl
 
 KAFKA = "kafka"
 
-# How much a live view takes per cycle, and how often it looks.
-POLL_LIMIT = 500
+# How often a live view looks. A limit to what it takes each time is an option;
+# a topic that is busier than such a limit falls behind for good.
 POLL_SECONDS = 3
 
 
@@ -26,19 +26,20 @@ def kafka_source_options(
     starting: str = "latest",
     max_per_trigger: int | None = None,
     max_per_task: int | None = None,
+    fail_on_data_loss: bool = False,
 ) -> dict[str, str]:
     """Subscribe to the topics.
 
     ``starting`` holds for the first start only; later ones follow the checkpoint. Lost
-    offsets are skipped. ``max_per_trigger`` bounds a micro-batch; the rest comes with the
-    next ones. ``max_per_task`` splits a broker partition that holds a busy user's events
+    offsets are skipped unless ``fail_on_data_loss``. ``max_per_trigger`` bounds a micro-batch,
+    if given; the rest comes with the next ones. ``max_per_task`` splits a broker partition that holds a busy user's events
     over several tasks.
     """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
     }
     if max_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)

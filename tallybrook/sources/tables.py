@@ -104,6 +104,16 @@ def event_rows(events: DataFrame, kinds: Iterable[EventKind] = KINDS) -> DataFra
     )
 
 
+def as_raw_messages(rows: DataFrame, kinds: tuple[EventKind, ...] = KINDS) -> DataFrame:
+    """Published rows as a message log holds them: key, value, topic, timestamp."""
+    return publish_frame(rows, "arrival", kinds=kinds).select(
+        F.col("key").cast("binary").alias("key"),
+        F.col("value").cast("binary").alias("value"),
+        "topic",
+        F.col("arrival").alias("timestamp"),
+    )
+
+
 def as_messages(rows: DataFrame, kinds: tuple[EventKind, ...] = KINDS) -> DataFrame:
     """Publish typed rows and read the messages back, without a broker in between."""
     published = publish_frame(rows, "arrival", kinds=kinds)
@@ -115,19 +125,12 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_events(spark: SparkSession, sf_dir: str, **options: str) -> DataFrame:
-    """The same rows as a stream of files. The glob covers one file and a directory."""
+    """The same rows as a stream of files: a pattern that this one table matches."""
     reader = spark.readStream.schema(EVENTS_DDL).options(**options)
-    return reader.parquet(f"{sf_dir}/events*.parquet")
+    return reader.parquet(f"{sf_dir}/events[.]parquet")
 
 
 def messages(spark: SparkSession, sf_dir: str, *kinds: EventKind) -> DataFrame:
     """Messages of the given kinds, of all kinds when none is given."""
     chosen = kinds or KINDS
     return as_messages(event_rows(read_events(spark, sf_dir), chosen), chosen)
-
-
-def stream_of_messages(
-    spark: SparkSession, sf_dir: str, *kinds: EventKind, **options: str
-) -> DataFrame:
-    chosen = kinds or KINDS
-    return as_messages(event_rows(stream_events(spark, sf_dir, **options), chosen), chosen)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallybrook.operators.decode import REJECTED, decode_with_rejects
 from tallybrook.operators.enrich import lake_rows
 from tallybrook.schemas import KINDS, EventKind
 from tallybrook.sources.lake import table_path
@@ -31,21 +33,25 @@ def land(
     checkpoints: str,
     *,
     trigger: Mapping[str, object] = EVERY_30_SECONDS,
-    mixed_hours: bool = False,
+    gather_hours: bool = True,
+    retention: str | None = None,
 ) -> StreamingQuery:
     """Append the events of one kind to its table, by event date and hour.
 
-    Late events go to the hour they belong to; nothing is dropped. By default no row is
-    shuffled: each task writes its own file per hour. ``mixed_hours`` trades one shuffle
-    for fewer files, for backfills where every task sees many hours.
+    Late events go to the hour they belong to; nothing is dropped. One shuffle brings the rows
+    of an hour together, so that a batch writes a file or two an hour; without
+    ``gather_hours`` each task writes its own. ``retention`` bounds the sink's list of files,
+    for tables whose rows are moved on by ``sources.lake.settle`` well before.
     """
     rows = lake_rows(messages, kind)
-    if mixed_hours:
+    if gather_hours:
         rows = by_hour(rows)
+    options = {"retention": retention} if retention else {}
     return (
         rows.writeStream.format("parquet")
         .option("path", table_path(lake, kind))
         .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{kind.table}")
+        .options(**options)
         .partitionBy(*PARTITIONS)
         .outputMode("append")
         .trigger(**trigger)
@@ -53,20 +59,63 @@ def land(
     )
 
 
+def quarantine(
+    messages: DataFrame,
+    kind: EventKind,
+    rejects: str,
+    checkpoints: str,
+    *,
+    trigger: Mapping[str, object] = EVERY_30_SECONDS,
+) -> StreamingQuery:
+    """Keep the text of one kind's unreadable messages, with topic and arrival time.
+
+    The lake keeps a row of them without their fields; here is what they were.
+    """
+    damaged = decode_with_rejects(messages, kind).where("is_rejected")
+    kept = damaged.select(F.lit(kind.topic).alias("topic"), "kafka_timestamp", REJECTED)
+    return (
+        kept.writeStream.format("parquet")
+        .option("path", f"{rejects.rstrip('/')}/{kind.table}")
+        .option("checkpointLocation", f"{checkpoints.rstrip('/')}/rejected-{kind.table}")
+        .outputMode("append")
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def land_all(
     messages_of: Callable[[EventKind], DataFrame],
     lake: str,
     checkpoints: str,
     *,
     kinds: Iterable[EventKind] = KINDS,
+    rejects: str | None = None,
+    trigger: Mapping[str, object] = EVERY_30_SECONDS,
     **options: object,
 ) -> list[StreamingQuery]:
-    """One independent query per kind.
+    """One independent query per kind, and one more for its rejects if a folder is given.
 
     ``messages_of`` gives each query its own source, so that it can subscribe to the one
-    topic it needs instead of reading all of them.
+    topic it needs instead of reading all of them. If one can't start, none is left running.
     """
-    return [land(messages_of(kind), kind, lake, checkpoints, **options) for kind in kinds]
+    started: list[StreamingQuery] = []
+    try:
+        for kind in kinds:
+            arriving = messages_of(kind)
+            started.append(land(arriving, kind, lake, checkpoints, trigger=trigger, **options))
+            if rejects:
+                started.append(
+                    quarantine(messages_of(kind), kind, rejects, checkpoints, trigger=trigger)
+                )
+    except BaseException:
+        _stop(started)
+        raise
+    return started
+
+
+def _stop(queries: Iterable[StreamingQuery]) -> None:
+    for query in queries:
+        query.stop()
 
 
 def supervise(queries: Iterable[StreamingQuery]) -> None:
@@ -79,17 +128,23 @@ def supervise(queries: Iterable[StreamingQuery]) -> None:
         while all(query.isActive for query in running):
             running[0].awaitTermination(timeout=1)
     finally:
-        for query in running:
-            query.stop()
+        _stop(running)
     for query in running:
         if query.exception() is not None:
             raise query.exception()
 
 
 def finish(queries: Iterable[StreamingQuery]) -> None:
-    """Wait for queries that end by themselves, as with ``availableNow``."""
-    for query in queries:
-        query.awaitTermination()
+    """Wait for queries that end by themselves, as with ``availableNow``.
+
+    If one fails the others are stopped, not left running unattended.
+    """
+    waiting = list(queries)
+    try:
+        for query in waiting:
+            query.awaitTermination()
+    finally:
+        _stop(waiting)
 
 
 def rates(query: StreamingQuery) -> list[dict[str, object]]:

@@ -1,125 +1,135 @@
 """Dashboards kept current by a stream.
 
-Each micro-batch writes a small result to one of 60 slots, so a restart repeats a batch
-without counting it twice and the tables never grow. A second, later write marks the slot
-as complete; readers ignore rows without a mark.
+One query reads every message once and keeps everything that the dashboard shows: running
+totals and breakdowns, and a point for each micro-batch. Nothing is kept in the engine's
+state: a batch adds its own sums to those of the batch before and writes them to the next
+slot (see ``slots``), so the number of shuffle partitions may change at any restart.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import time
+from collections.abc import Callable, Mapping
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.window import Window
 
+from tallybrook.functions import columns as C
 from tallybrook.operators import metrics as M
 from tallybrook.sources.messages import POLL_SECONDS
+from tallybrook.streaming import slots
 
 EVERY_CYCLE = {"processingTime": f"{POLL_SECONDS} seconds"}
-SLOTS = M.HISTORY
+SLOTS = slots.MARKS
 
-TOTALS_DDL = (
-    "batch_id bigint, category string, city string, device string, payment_method string, "
-    "orders bigint, clicks bigint, payments bigint, failed bigint, revenue decimal(38,2)"
-)
-CYCLES_DDL = "batch_id bigint, cycle_at timestamp, orders bigint, revenue decimal(38,2)"
-MARK_DDL = "batch_id bigint"
+POINT_DDL = f"began double, ended double, orders bigint, revenue {C.MONEY_SUM}"
+CYCLE_DDL = f"cycle_start timestamp, orders bigint, revenue {C.MONEY_SUM}"
+#: Event-time sums are folded together after so many batches.
+FOLD = 60
 
 
-def _write_slot(result: DataFrame, batch_id: int, path: str) -> None:
-    slot = f"slot={batch_id % SLOTS}"
-    stamped = result.select(F.lit(batch_id).cast("long").alias("batch_id"), "*")
-    stamped.write.mode("overwrite").parquet(f"{path}/rows/{slot}")
-    mark = result.sparkSession.range(batch_id, batch_id + 1, 1, 1).toDF("batch_id")
-    mark.write.mode("overwrite").parquet(f"{path}/marks/{slot}")
-
-
-def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    # A slot that is being replaced may lose files between listing and reading.
-    reader = spark.read.schema(schema).option("ignoreMissingFiles", "true")
-    try:
-        return reader.parquet(path).drop("slot")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        # No micro-batch has ended yet.
-        return spark.createDataFrame([], schema)
+def _start(messages: DataFrame, checkpoint: str, trigger, record) -> StreamingQuery:
+    return (
+        messages.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .foreachBatch(record)
+        .start()
+    )
 
 
-def start_totals(
+def start_live(
     messages: DataFrame,
     path: str,
     checkpoint: str,
     trigger: Mapping[str, object] = EVERY_CYCLE,
+    clock: Callable[[], float] = time.time,
 ) -> StreamingQuery:
-    """Running totals and breakdowns since the first start, surviving restarts.
+    """Totals, breakdowns and a point for each batch, from the same pass over its messages.
 
-    The state is the cube: one row per combination of a few short lists, already summed
-    within each task before the shuffle.
+    What is kept is a row per label and one of totals, not a row per combination of labels.
     """
-    totals = M.cube(M.facts(messages))
-    return (
-        totals.writeStream.outputMode("complete")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .foreachBatch(lambda batch, batch_id: _write_slot(batch, batch_id, path))
-        .start()
-    )
-
-
-def read_totals(spark: SparkSession, path: str) -> DataFrame:
-    """The latest complete cube; any metric can be computed from it."""
-    latest = _read(spark, f"{path}/marks", MARK_DDL).agg(F.max("batch_id").alias("batch_id"))
-    rows = _read(spark, f"{path}/rows", TOTALS_DDL)
-    return rows.join(latest, "batch_id", "left_semi").drop("batch_id")
 
+    def record(batch: DataFrame, batch_id: int) -> None:
+        began, spark = clock(), batch.sparkSession
+        run = slots.run_of(spark, checkpoint)
+        folder, slot = f"{path}/{run}", f"slot={batch_id % SLOTS}"
+        slots.write(M.panels(M.facts(batch)), f"{folder}/own/{slot}", batch_id)
+        own = slots.read(spark, f"{folder}/own/{slot}", M.PANELS_DDL, batch_id)
+        sums = own
+        if batch_id:
+            before = f"{folder}/totals/slot={(batch_id - 1) % SLOTS}"
+            earlier = slots.read(spark, before, M.PANELS_DDL, batch_id - 1)
+            sums = M.add_up(earlier.unionByName(own))
+        slots.write(sums.coalesce(1), f"{folder}/totals/{slot}", batch_id)
+        span = [F.lit(float(at)).alias(name) for name, at in (("began", began), ("ended", clock()))]
+        point = M.cycle_total(M.totals_of(own)).select(*span, "orders", "revenue")
+        slots.write(point, f"{folder}/points/{slot}", batch_id)
+        slots.mark(spark, path, run, batch_id)
+
+    return _start(messages, checkpoint, trigger, record)
 
-def _write_cycle(batch: DataFrame, batch_id: int, path: str) -> None:
-    point = M.cycle_total(batch).select(F.current_timestamp().alias("cycle_at"), "*")
-    _write_slot(point, batch_id, path)
 
-
-def start_cycles(
-    messages: DataFrame,
-    path: str,
-    checkpoint: str,
-    trigger: Mapping[str, object] = EVERY_CYCLE,
-) -> StreamingQuery:
-    """Orders and revenue of each micro-batch, the last 60 of them."""
-    return (
-        M.facts(messages)
-        .writeStream.option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .foreachBatch(lambda batch, batch_id: _write_cycle(batch, batch_id, path))
-        .start()
-    )
+def read_totals(spark: SparkSession, path: str) -> DataFrame:
+    """The latest sums, a row per panel and label (see ``metrics.panels``)."""
+    folder, done = slots.marks(spark, path)
+    if not done:
+        return spark.createDataFrame([], M.PANELS_DDL)
+    latest = f"{folder}/totals/slot={done[-1] % SLOTS}"
+    return slots.read(spark, latest, M.PANELS_DDL, done[-1])
 
 
 def read_cycles(spark: SparkSession, path: str) -> DataFrame:
-    """One row per recorded micro-batch: batch_id, cycle_at, orders, revenue."""
-    marks = _read(spark, f"{path}/marks", MARK_DDL)
-    rows = _read(spark, f"{path}/rows", CYCLES_DDL)
-    return rows.join(marks, "batch_id", "left_semi").withColumn(
-        "revenue", F.col("revenue").cast("double")
+    """A row for each of the last 60 batches: batch_id, began, ended, orders, revenue."""
+    folder, done = slots.marks(spark, path)
+    schema = f"{POINT_DDL}, {slots.MARK_DDL}"
+    if not done:
+        rows = spark.createDataFrame([], schema)
+    else:
+        paths = [f"{folder}/points/slot={batch_id % SLOTS}" for batch_id in done]
+        rows = spark.read.schema(schema).parquet(*paths).where(F.col("batch_id").isin(done))
+    return rows.select(
+        "batch_id", "began", "ended", "orders", F.col("revenue").cast("double").alias("revenue")
     )
 
 
-def cycle_series(spark: SparkSession, path: str, seconds: int = POLL_SECONDS) -> DataFrame:
-    """The last 60 cycles by the clock; cycles without a micro-batch show zero."""
-    recorded = read_cycles(spark, path)
-    return M.last_cycles(M.cycle_points(recorded, seconds, "cycle_at"), seconds)
-
+def cycle_series(
+    spark: SparkSession, path: str, now: float | None = None, seconds: int = POLL_SECONDS
+) -> DataFrame:
+    """The last 60 points up to ``now``: one per batch, however long it took.
 
-def event_time_points(messages: DataFrame, seconds: int, delay: str) -> DataFrame:
-    """Orders and revenue per cycle of event time, for cycles the watermark can close."""
-    on_time = M.facts(messages).withWatermark("event_ts", delay)
-    window = F.window("event_ts", f"{seconds} seconds").alias("cycle")
-    sums = on_time.groupBy(window).agg(
-        F.sum("orders").alias("orders"), F.sum("revenue").alias("revenue")
+    Between batches, and from the last one to ``now``, nothing arrived: a point of zero for
+    each whole cycle of it.
+    """
+    until = F.lit(float(time.time() if now is None else now))
+    recorded = read_cycles(spark, path)
+    following = F.lead("began").over(Window.orderBy("batch_id"))
+    idle = F.coalesce(following, until) - F.col("ended")
+    # Of a long silence only the last zeros can be among the last points.
+    zeros = F.greatest(F.floor(idle / seconds), F.lit(0))
+    oldest = F.greatest(zeros - M.HISTORY, F.lit(0)) + 1
+    silent = F.when(zeros > 0, F.sequence(oldest, zeros))
+    spans = recorded.withColumn("silent", silent)
+    quiet = spans.select("ended", F.explode("silent").alias("nth")).select(
+        (F.col("ended") + F.col("nth") * seconds).alias("at"),
+        F.lit(0).cast("long").alias("orders"),
+        F.lit(0.0).alias("revenue"),
+    )
+    points = recorded.select(F.col("ended").alias("at"), "orders", "revenue").unionByName(quiet)
+    last = points.orderBy(F.desc("at")).limit(M.HISTORY)
+    return last.select(
+        F.timestamp_millis((F.col("at") * 1000).cast("long")).alias("cycle_at"),
+        "orders",
+        "revenue",
+    ).orderBy("cycle_at")
+
+
+def _cycle_sums(points: DataFrame) -> DataFrame:
+    return points.groupBy("cycle_start").agg(
+        F.sum("orders").alias("orders"),
+        F.sum("revenue").cast(C.MONEY_SUM).alias("revenue"),
     )
-    return sums.select(F.col("cycle.start").alias("cycle_start"), "orders", "revenue")
 
 
 def start_event_time_cycles(
@@ -127,20 +137,56 @@ def start_event_time_cycles(
     path: str,
     checkpoint: str,
     seconds: int = POLL_SECONDS,
-    delay: str = "10 minutes",
     trigger: Mapping[str, object] = EVERY_CYCLE,
 ) -> StreamingQuery:
-    """The event-time series, each cycle appended once it is final.
+    """Orders and revenue per cycle of event time, of all events ever.
 
-    Events later than ``delay`` behind the newest are missing from this series only; the
-    watermark is what lets finished cycles leave the state.
+    No event is too late, and none can close another's cycle: a batch writes its own sums per
+    cycle, and every ``FOLD`` batches they are added to those of all batches before.
     """
-    return (
-        event_time_points(messages, seconds, delay)
-        .writeStream.format("parquet")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(**trigger)
-        .start()
-    )
+
+    def record(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        run = slots.run_of(spark, checkpoint)
+        folder = f"{path}/{run}"
+        points = M.cycle_points(M.facts(batch), seconds, "event_ts")
+        slots.write(points, _recent(folder, batch_id), batch_id)
+        if batch_id % FOLD == FOLD - 1:
+            parts = _parts(spark, folder, batch_id, batch_id - FOLD)
+            slots.write(_cycle_sums(parts), _folded(folder, batch_id), batch_id)
+        slots.mark(spark, path, run, batch_id)
+
+    return _start(messages, checkpoint, trigger, record)
+
+
+def _recent(folder: str, batch_id: int) -> str:
+    # Twice as many as are folded together, so that readers of the ones before can finish.
+    return f"{folder}/recent/slot={batch_id % (2 * FOLD)}"
+
+
+def _folded(folder: str, batch_id: int) -> str:
+    return f"{folder}/folded/slot={batch_id // FOLD % 2}"
+
+
+def _parts(spark: SparkSession, folder: str, batch_id: int, folded: int) -> DataFrame:
+    """Sums per cycle of the batches up to ``folded``, and of each one after it."""
+    found = [
+        slots.read(spark, _recent(folder, i), CYCLE_DDL, i)
+        for i in range(folded + 1, batch_id + 1)
+    ]
+    if folded >= 0:
+        found.append(slots.read(spark, _folded(folder, folded), CYCLE_DDL, folded))
+    parts = found[0]
+    for part in found[1:]:
+        parts = parts.unionByName(part)
+    return parts
+
+
+def read_event_time_cycles(spark: SparkSession, path: str) -> DataFrame:
+    """cycle_start, orders and revenue of every cycle with an event."""
+    folder, done = slots.marks(spark, path)
+    if not done:
+        parts = spark.createDataFrame([], CYCLE_DDL)
+    else:
+        parts = _parts(spark, folder, done[-1], (done[-1] + 1) // FOLD * FOLD - 1)
+    return _cycle_sums(parts).withColumn("revenue", F.col("revenue").cast("double"))

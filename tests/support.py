@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime, timezone
+from decimal import Decimal
 
 from tallybrook.operators.decode import envelope
 from tallybrook.schemas import MESSAGE_FIELDS, ddl
@@ -18,13 +19,13 @@ ORDER_EVENT = {
     "session_id": "s1",
     "order_id": "ORD-1",
     "product_id": "P001",
-    "product_name": "Wireless Headphones",
-    "category": "Electronics",
+    "product_name": "Brass Kettle",
+    "category": "Kitchen",
     "quantity": 2,
-    "unit_price": 89.99,
+    "unit_price": 95.25,
     "discount": 0.1,
-    "subtotal": 179.98,
-    "total_amount": 161.98,
+    "subtotal": 190.5,
+    "total_amount": 171.45,
     "currency": "USD",
     "status": "pending",
     "city": "Chicago",
@@ -37,8 +38,8 @@ CLICK_EVENT = {
     "user_id": "U1001",
     "session_id": "s2",
     "product_id": "P002",
-    "product_name": "Running Shoes",
-    "category": "Sports",
+    "product_name": "Canvas Tent",
+    "category": "Outdoors",
     "page": "home",
     "device": "tablet",
     "os": "iOS",
@@ -53,7 +54,7 @@ PAYMENT_EVENT = {
     "user_id": "U1002",
     "order_id": "ORD-9",
     "payment_id": "PAY-9",
-    "amount": 59.99,
+    "amount": 41.25,
     "currency": "USD",
     "payment_method": "paypal",
     "status": "success",
@@ -64,6 +65,28 @@ PAYMENT_EVENT = {
 BY_KIND = {"order": ORDER_EVENT, "click": CLICK_EVENT, "payment": PAYMENT_EVENT}
 
 
+# Product id, name, category, price.
+PRODUCTS = (
+    ("P001", "Brass Kettle", "Kitchen", "95.25"),
+    ("P002", "Canvas Tent", "Outdoors", "118.40"),
+    ("P003", "Oak Stool", "Furniture", "64.95"),
+    ("P004", "Wool Blanket", "Home", "39.90"),
+    ("P005", "Field Lantern", "Outdoors", "27.35"),
+    ("P006", "Paper Lamp", "Home", "18.20"),
+    ("P007", "Tin Cup", "Kitchen", "6.75"),
+    ("P008", "Map Case", "Outdoors", "22.10"),
+    ("P009", "Clay Pot", "Kitchen", "13.60"),
+    ("P010", "Book Rest", "Furniture", "31.05"),
+)
+
+
+def product_catalog(spark):
+    rows = [(pid, name, category, Decimal(price)) for pid, name, category, price in PRODUCTS]
+    return spark.createDataFrame(
+        rows, "product_id string, product_name string, category string, price decimal(12,2)"
+    )
+
+
 def event(kind: str, **changes):
     return {**BY_KIND[kind], **changes}
 

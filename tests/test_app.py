@@ -5,13 +5,14 @@ from __future__ import annotations
 from types import SimpleNamespace
 
 import pytest
+from pyspark.sql import functions as F
 
 from support import CLICK_EVENT, ORDER_EVENT, PAYMENT_EVENT, event, raw
 from tallybrook import app
 from tallybrook.operators import metrics as M
 from tallybrook.operators.decode import decode
 from tallybrook.schemas import KINDS, ORDER, PAYMENT, ddl
-from tallybrook.sources.lake import read_lake
+from tallybrook.sources.lake import read_lake, settled
 from tallybrook.sources.messages import batch_messages
 from tallybrook.streaming import live
 
@@ -76,11 +77,38 @@ def test_live(spark, at, subscribed, until_idle):
     raw(spark, [ORDER_EVENT, CLICK_EVENT, PAYMENT_EVENT]).write.parquet(at("log"))
     args = parse("live", "--base", at("base"))
     args.run(spark, args)
-    assert subscribed[0]["maxOffsetsPerTrigger"] == "500"
+    # One subscription for all that is shown, without a limit nobody asked for.
+    assert len(subscribed) == 1
+    assert "maxOffsetsPerTrigger" not in subscribed[0]
+    assert subscribed[0]["failOnDataLoss"] == "false"
     assert subscribed[0]["subscribe"].count(",") == 2
-    totals = M.kpi_totals(live.read_totals(spark, at("base/live/totals"))).first()
+    totals = M.kpi_totals(M.totals_of(live.read_totals(spark, at("base/live")))).first()
     assert (totals.total_orders, totals.total_clicks, totals.total_payments) == (1, 1, 1)
-    assert live.read_cycles(spark, at("base/live/cycles")).first().revenue == 161.98
+    assert live.read_cycles(spark, at("base/live")).first().revenue == 171.45
+
+
+def test_live_with_a_limit(spark, at, subscribed, until_idle):
+    raw(spark, [ORDER_EVENT]).write.parquet(at("log"))
+    words = ("--max-per-trigger", "500", "--fail-on-data-loss")
+    args = parse("live", "--base", at("base"), *words)
+    args.run(spark, args)
+    assert subscribed[0]["maxOffsetsPerTrigger"] == "500"
+    assert subscribed[0]["failOnDataLoss"] == "true"
+
+
+def test_settle(spark, at, subscribed, until_idle):
+    args = parse("ingest", "--base", at("base"), "--keep-rejects")
+    for number in ("e1", "e2"):
+        bodies = [{**body, "event_id": number} for body in (ORDER_EVENT, CLICK_EVENT, PAYMENT_EVENT)]
+        raw(spark, bodies).write.mode("append").parquet(at("log"))
+        args.run(spark, args)
+    settling = parse("settle", "--base", at("base"))
+    settling.run(spark, settling)
+    for kind in KINDS:
+        rows = read_lake(spark, at("base/processed"), kind)
+        assert sorted(row.event_id for row in rows.collect()) == ["e1", "e2"]
+        assert settled(spark, at("base/processed"), kind).count() == 1
+    assert spark.read.schema("rejected_json string").parquet(at("base/rejected/orders")).count() == 0
 
 
 def test_publish(spark, at, monkeypatch):
@@ -90,9 +118,12 @@ def test_publish(spark, at, monkeypatch):
         spark.createDataFrame([tuple(body[name] for name in kind.fields)], ddl(kind.fields))
         for kind, body in ((ORDER, ORDER_EVENT), (PAYMENT, PAYMENT_EVENT))
     ]
-    mixed[0].unionByName(mixed[1], allowMissingColumns=True).write.parquet(at("events"))
-    args = parse("publish", "--events", at("events"))
+    odd = mixed[0].withColumn("event_type", F.lit("refund"))
+    every = mixed[0].unionByName(mixed[1], allowMissingColumns=True)
+    every.unionByName(odd, allowMissingColumns=True).write.parquet(at("events"))
+    args = parse("publish", "--events", at("events"), "--rejects", at("rejects"))
     args.run(spark, args)
+    assert [row.event_type for row in spark.read.parquet(at("rejects")).collect()] == ["refund"]
     published = spark.read.parquet(at("out"))
     assert published.columns == ["key", "value", "topic"]
     log = published.selectExpr(
@@ -105,6 +136,21 @@ def test_publish(spark, at, monkeypatch):
         assert [row.asDict() for row in back] == [body]
 
 
+def test_publish_continuously(spark, at, monkeypatch, until_idle):
+    monkeypatch.setattr(app, "FORMAT", "parquet")
+    monkeypatch.setattr(app.source, "kafka_sink_options", lambda servers: {"path": at("out")})
+    fields = ddl(ORDER.fields)
+    words = ("--rejects", at("rejects"), "--checkpoints", at("state"))
+    args = parse("publish", "--events", at("events"), *words)
+    for number, kind in (("e1", "order"), ("e2", "order"), ("e3", "refund")):
+        body = {**ORDER_EVENT, "event_id": number, "event_type": kind}
+        row = tuple(body[name] for name in ORDER.fields)
+        spark.createDataFrame([row], fields).write.mode("append").parquet(at("events"))
+        args.run(spark, args)
+    assert spark.read.parquet(at("out")).count() == 2
+    assert [row.event_id for row in spark.read.parquet(at("rejects")).collect()] == ["e3"]
+
+
 def test_triggers():
     assert app.ingest.EVERY_30_SECONDS == {"processingTime": "30 seconds"}
     assert app.live.EVERY_CYCLE == {"processingTime": "3 seconds"}

@@ -62,7 +62,9 @@ def test_is_weekend(spark):
 def test_money_never_raises(spark):
     amounts = [1.005, 2.5, None, float("nan"), float("inf"), 1e300]
     result = apply(spark, "double", amounts, C.money)
-    assert [float(v) for v in result] == [1.01, 2.5, 0.0, 0.0, 0.0, 0.0]
+    assert [float(v) for v in result] == [1.005, 2.5, 0.0, 0.0, 0.0, 0.0]
+    unusable = apply(spark, "double", amounts, C.unusable_amount)
+    assert unusable == [False, False, False, True, True, True]
 
 
 @pytest.mark.parametrize(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 
 from support import event, raw
 from tallybrook.operators import metrics as M
-from tallybrook.sources import tables
 from tallybrook.sources.messages import batch_messages, stream_messages
-from tallybrook.streaming import ingest, live
+from tallybrook.streaming import ingest, live, slots
 
 ONCE = {"availableNow": True}
 
@@ -30,6 +29,22 @@ def stream(spark, at, **options):
     return stream_messages(spark, "parquet", options, at("log"))
 
 
+def run(spark, at, state="state", clock=None, **options):
+    extra = {} if clock is None else {"clock": clock}
+    messages = stream(spark, at, **options)
+    ingest.finish([live.start_live(messages, at("out"), at(state), ONCE, **extra)])
+
+
+def totals(spark, at):
+    return M.kpi_totals(M.totals_of(live.read_totals(spark, at("out")))).first()
+
+
+def ticking(*times):
+    """A clock that gives these times one after the other."""
+    left = iter(times)
+    return lambda: float(next(left))
+
+
 def test_totals_carry_on_after_a_restart(spark, at):
     batches = [
         [event("order", total_amount=10.25, city="A"), event("click")],
@@ -38,163 +53,245 @@ def test_totals_carry_on_after_a_restart(spark, at):
     ]
     for values in batches:
         append(spark, at, *values)
-        query = live.start_totals(stream(spark, at), at("out"), at("state"), ONCE)
-        ingest.finish([query])
+        run(spark, at)
         logged = batch_messages(spark, "parquet", path=at("log"))
-        current = live.read_totals(spark, at("out"))
         now = M.facts(logged)
-        assert M.kpi_totals(current).first() == M.kpi_totals(now).first()
-        for metric in (M.breakdowns, M.orders_by_category, M.top_cities_by_revenue):
-            assert sorted(metric(current).collect()) == sorted(metric(now).collect())
-    assert tuple(M.kpi_totals(current).first()) == (3, 1, 2, 15.75, 1, 50.0)
+        current = live.read_totals(spark, at("out"))
+        assert totals(spark, at) == M.kpi_totals(now).first()
+        assert sorted(M.breakdowns(current).collect(), key=str) == sorted(
+            M.breakdowns(M.panels(now)).collect(), key=str
+        )
+        for dimension, metric in (
+            ("category", M.orders_by_category),
+            ("city", M.top_cities_by_revenue),
+        ):
+            assert metric(M.labels_of(current, dimension)).collect() == metric(now).collect()
+    assert tuple(totals(spark, at)) == (3, 1, 2, 15.75, 1, 50.0)
 
 
-def test_live_queries_keep_running(spark, at):
+def test_the_number_of_partitions_may_change_at_a_restart(spark, at):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for number in ("2", "9", "3"):
+            spark.conf.set("spark.sql.shuffle.partitions", number)
+            append(spark, at, event("order", total_amount=1.0))
+            run(spark, at)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert totals(spark, at).total_orders == 3
+
+
+def test_a_live_query_keeps_running(spark, at):
     """With a clock instead of a single pass, new files show up by themselves."""
     append(spark, at, event("order", total_amount=2.0))
     tick = {"processingTime": "200 milliseconds"}
-    queries = [
-        live.start_totals(stream(spark, at), at("totals"), at("totals-state"), tick),
-        live.start_cycles(stream(spark, at), at("cycles"), at("cycles-state"), tick),
-    ]
+    query = live.start_live(stream(spark, at), at("out"), at("state"), tick)
     try:
         for count in (1, 2):
-            for query in queries:
-                query.processAllAvailable()
-            totals = M.kpi_totals(live.read_totals(spark, at("totals"))).first()
-            assert (totals.total_orders, totals.total_revenue) == (count, 2.0 * count)
-            points = live.read_cycles(spark, at("cycles")).collect()
+            query.processAllAvailable()
+            now = totals(spark, at)
+            assert (now.total_orders, now.total_revenue) == (count, 2.0 * count)
+            points = live.read_cycles(spark, at("out")).collect()
             assert [row.orders for row in points] == [1] * count
             append(spark, at, event("order", total_amount=2.0))
     finally:
-        for query in queries:
-            query.stop()
+        query.stop()
 
 
 def test_one_point_per_batch_and_zero_without_orders(spark, at):
     append(spark, at, event("order", total_amount=1.1), event("order", total_amount=2.2))
     append(spark, at, event("click"))
     append(spark, at, event("order", total_amount=3.3))
-    messages = stream(spark, at, maxFilesPerTrigger="1")
-    ingest.finish([live.start_cycles(messages, at("out"), at("state"), ONCE)])
+    run(spark, at, maxFilesPerTrigger="1")
     rows = live.read_cycles(spark, at("out")).orderBy("batch_id").collect()
     assert [row.batch_id for row in rows] == [0, 1, 2]
     assert sum(row.orders for row in rows) == 3
     assert sorted(row.revenue for row in rows) == [0.0, 3.3, 3.3]
-    series = live.cycle_series(spark, at("out")).collect()
-    assert sum(point.orders for point in series) == 3
-    gaps = {
-        (b.cycle_start - a.cycle_start).total_seconds() for a, b in zip(series, series[1:])
-    }
-    assert gaps <= {3.0}
+    assert totals(spark, at).total_orders == 3
 
 
-def point(spark, orders):
-    return spark.createDataFrame(
-        [(datetime(2026, 3, 13), orders, None)], live.CYCLES_DDL.split(", ", 1)[1]
-    )
+def series(spark, at, now):
+    return [row.orders for row in live.cycle_series(spark, at("out"), now).collect()]
+
+
+def test_a_long_batch_makes_no_zeros(spark, at):
+    append(spark, at, *[event("order")] * 5)
+    run(spark, at, clock=ticking(0, 1))
+    append(spark, at, *[event("order")] * 4)
+    run(spark, at, clock=ticking(1, 10))
+    assert series(spark, at, 10) == [5, 4]
+    assert series(spark, at, 12.9) == [5, 4]
+
+
+def test_zeros_while_nothing_arrives_up_to_the_reading_time(spark, at):
+    append(spark, at, *[event("order")] * 5)
+    run(spark, at, clock=ticking(0, 1))
+    assert series(spark, at, 10) == [5, 0, 0, 0]
+    append(spark, at, *[event("order")] * 4)
+    run(spark, at, clock=ticking(8, 9))
+    assert series(spark, at, 13) == [5, 0, 0, 4, 0]
+    # A year later the last 60 points are all zero, and as many are made.
+    assert series(spark, at, 365 * 86400) == [0] * 60
+    rows = live.cycle_series(spark, at("out"), 13).collect()
+    assert [row.cycle_at for row in rows] == sorted(row.cycle_at for row in rows)
+
+
+def test_a_new_checkpoint_on_an_old_path_shows_its_own_totals(spark, at):
+    for _ in range(3):
+        append(spark, at, event("order", total_amount=1.0))
+        run(spark, at)
+    assert totals(spark, at).total_revenue == 3.0
+    append(spark, at, event("order", total_amount=96.0))
+    run(spark, at, state="another")
+    assert totals(spark, at).total_revenue == 99.0
+    assert live.read_cycles(spark, at("out")).count() == 1
+
+
+def result(spark, orders):
+    return spark.createDataFrame([(0.0, 1.0, orders, None)], live.POINT_DDL)
+
+
+def record(spark, at, batch_id, orders, run="r"):
+    slot = f"{at('out')}/{run}/points/slot={batch_id % live.SLOTS}"
+    slots.write(result(spark, orders), slot, batch_id)
+    return slot
 
 
 def test_a_repeated_batch_counts_once(spark, at):
     for batch_id, orders in ((0, 5), (1, 6), (1, 6)):
-        live._write_slot(point(spark, orders), batch_id, at("out"))
+        record(spark, at, batch_id, orders)
+        slots.mark(spark, at("out"), "r", batch_id)
     rows = live.read_cycles(spark, at("out")).collect()
     assert sorted((row.batch_id, row.orders) for row in rows) == [(0, 5), (1, 6)]
 
 
 def test_only_the_last_60_batches_are_kept(spark, at):
     for batch_id in (0, 1, 58, 59, 60, 61, 119, 120):
-        live._write_slot(point(spark, batch_id), batch_id, at("out"))
+        record(spark, at, batch_id, batch_id)
+        slots.mark(spark, at("out"), "r", batch_id)
     rows = live.read_cycles(spark, at("out")).collect()
     # 60 and 120 replaced 0; 61 replaced 1; 119 replaced 59.
     assert sorted(row.batch_id for row in rows) == [58, 61, 119, 120]
 
 
 def test_unfinished_writes_are_ignored(spark, at):
-    live._write_slot(point(spark, 1), 0, at("out"))
-    live._write_slot(point(spark, 2), 1, at("out"))
+    for batch_id in (0, 1):
+        record(spark, at, batch_id, batch_id)
+        slots.mark(spark, at("out"), "r", batch_id)
     # Batch 2 wrote its rows and died before marking them.
-    unmarked = point(spark, 3).select(F.lit(2).cast("long").alias("batch_id"), "*")
-    unmarked.write.parquet(at("out") + "/rows/slot=2")
+    record(spark, at, 2, 9)
     assert sorted(row.batch_id for row in live.read_cycles(spark, at("out")).collect()) == [0, 1]
 
 
-def test_latest_totals_ignore_unfinished_ones(spark, at):
-    cube = M.cube(M.facts(batch(spark, event("order", total_amount=1.0))))
-    live._write_slot(cube, 7, at("out"))
-    more = M.cube(M.facts(batch(spark, event("order", total_amount=9.0))))
-    torn = more.select(F.lit(8).cast("long").alias("batch_id"), "*")
-    torn.write.parquet(at("out") + "/rows/slot=8")
-    assert M.kpi_totals(live.read_totals(spark, at("out"))).first().total_revenue == 1.0
-
-
-def batch(spark, *values):
-    from support import messages
-
-    return messages(spark, list(values))
+def test_a_reader_that_was_overtaken_fails(spark, at):
+    """Rather than showing no orders at all."""
+    slot = record(spark, at, 60, 7)
+    rows = slots.read(spark, slot, live.POINT_DDL, 0)
+    with pytest.raises(Exception, match="batch 0 was replaced"):
+        rows.collect()
+    assert slots.read(spark, slot, live.POINT_DDL, 60).first().orders == 7
+    # Also where the files are gone.
+    stale = slots.read(spark, slot, live.POINT_DDL, 60)
+    record(spark, at, 120, 8)
+    with pytest.raises(Exception):
+        stale.collect()
 
 
 def test_before_the_first_batch(spark, at):
-    current = live.read_totals(spark, at("out"))
-    assert tuple(M.kpi_totals(current).first()) == (0, 0, 0, 0.0, 0, 100.0)
-    assert M.breakdowns(current).count() == 0
+    assert tuple(totals(spark, at)) == (0, 0, 0, 0.0, 0, 100.0)
+    assert M.breakdowns(live.read_totals(spark, at("out"))).count() == 0
     assert live.read_cycles(spark, at("out")).count() == 0
     assert live.cycle_series(spark, at("out")).count() == 0
+    assert live.read_event_time_cycles(spark, at("out")).count() == 0
 
 
-def test_a_batch_that_dies_before_its_mark_counts_once(spark, at, monkeypatch):
+@pytest.mark.parametrize("written", [True, False])
+def test_a_batch_that_dies_before_its_mark_counts_once(spark, at, monkeypatch, written):
+    append(spark, at, event("order", total_amount=1.0))
+    run(spark, at)
     append(spark, at, event("order", total_amount=4.0))
-    write = live._write_slot
+    mark, write = slots.mark, slots.write
 
-    def die(result, batch_id, path):
-        result.select(F.lit(batch_id).cast("long").alias("batch_id"), "*").write.parquet(
-            f"{path}/rows/slot={batch_id}"
-        )
+    def die(*args):
         raise RuntimeError("driver lost")
 
-    monkeypatch.setattr(live, "_write_slot", die)
+    monkeypatch.setattr(slots, "mark" if written else "write", die)
     with pytest.raises(StreamingQueryException):
-        ingest.finish([live.start_totals(stream(spark, at), at("out"), at("state"), ONCE)])
-    assert M.kpi_totals(live.read_totals(spark, at("out"))).first().total_orders == 0
+        run(spark, at)
+    monkeypatch.setattr(slots, "mark", mark)
+    monkeypatch.setattr(slots, "write", write)
+    assert totals(spark, at).total_revenue == 1.0
+    run(spark, at)
+    assert (totals(spark, at).total_orders, totals(spark, at).total_revenue) == (2, 5.0)
 
-    monkeypatch.setattr(live, "_write_slot", write)
-    ingest.finish([live.start_totals(stream(spark, at), at("out"), at("state"), ONCE)])
-    totals = M.kpi_totals(live.read_totals(spark, at("out"))).first()
-    assert (totals.total_orders, totals.total_revenue) == (1, 4.0)
 
+def order(time, cents=100):
+    return event("order", timestamp=time, total_amount=cents / 100)
 
-def test_event_time_series(spark, at):
-    """Cycles leave once the watermark passes them; an event older than that is not in it."""
 
-    def order(time, cents):
-        return event("order", timestamp=f"2026-03-13T{time}", total_amount=cents / 100)
+def by_event_time(spark, at, seconds=60, **options):
+    query = live.start_event_time_cycles(
+        stream(spark, at, **options), at("out"), at("state"), seconds, ONCE
+    )
+    ingest.finish([query])
+    rows = live.read_event_time_cycles(spark, at("out")).collect()
+    return {row.cycle_start.replace(tzinfo=None): (row.orders, row.revenue) for row in rows}
+
+
+def test_event_time_series_loses_nothing(spark, at):
+    """Not what comes days late, not what is behind one event of the far future."""
+    start = datetime(2026, 3, 13, 12)
+    append(spark, at, order("2026-03-13T12:00:10"), order("2126-01-01T00:00:00", 9))
+    first = by_event_time(spark, at)
+    assert first == {start: (1, 1.0), datetime(2126, 1, 1): (1, 0.09)}
+    append(spark, at, order("2026-03-10T08:00:00", 50), order("2026-03-13T12:00:59", 25))
+    append(spark, at, event("click", timestamp="2026-03-13T12:05:00"))
+    second = by_event_time(spark, at, maxFilesPerTrigger="1")
+    assert second == {
+        **first,
+        start: (2, 1.25),
+        datetime(2026, 3, 10, 8): (1, 0.5),
+        start + timedelta(minutes=5): (0, 0.0),
+    }
 
-    def run():
-        query = live.start_event_time_cycles(
-            stream(spark, at), at("out"), at("state"), 60, "2 minutes", ONCE
-        )
-        ingest.finish([query])
-        rows = spark.read.parquet(at("out")).select("cycle_start", "orders", "revenue")
-        return sorted((r.cycle_start.minute, r.orders, float(r.revenue)) for r in rows.collect())
 
-    append(spark, at, order("12:00:10", 100), order("12:00:50", 250), order("12:04:00", 1))
-    assert run() == [(0, 2, 3.5)]
-    # Behind the watermark (12:02): dropped here. Ahead of it: counted, though out of order.
-    append(spark, at, order("12:00:30", 999), order("12:03:10", 700), order("12:09:00", 1))
-    assert run() == [(0, 2, 3.5), (3, 1, 7.0), (4, 1, 0.01)]
+def test_event_time_sums_are_folded(spark, at, monkeypatch):
+    """Whatever number of batches came since the last folding."""
+    monkeypatch.setattr(live, "FOLD", 3)
+    hour = datetime(2026, 3, 13, 14)
+    for count in range(1, 9):
+        append(spark, at, order("2026-03-13T14:05:06"))
+        assert by_event_time(spark, at, 3600) == {hour: (count, float(count))}
+    folder, done = slots.marks(spark, at("out"))
+    assert done == list(range(8))
+    assert spark.read.parquet(f"{folder}/folded").select("batch_id").distinct().count() == 2
+
+
+def test_event_time_equals_batch_in_any_order(spark, at):
+    moments = [datetime(2026, 3, 13, tzinfo=timezone.utc) + timedelta(minutes=17 * n) for n in range(90)]
+    sent = [order(m.replace(tzinfo=None).isoformat(), 10 + i) for i, m in enumerate(moments)]
+    for part in range(4):
+        append(spark, at, *sent[part::4])
+    got = by_event_time(spark, at, 3600, maxFilesPerTrigger="1")
+    facts = M.facts(batch_messages(spark, "parquet", path=at("log")))
+    want = M.cycle_points(facts, 3600, "event_ts").collect()
+    assert got == {
+        row.cycle_start.replace(tzinfo=None): (row.orders, float(row.revenue)) for row in want
+    }
 
 
-def test_event_time_series_parses_once(spark, at, capsys):
-    """Although a window leaves out events without a time."""
+def test_each_batch_is_parsed_once(spark, at):
+    """One scan and one parse of the messages for all that is shown."""
     append(spark, at, event("order"))
-    points = live.event_time_points(stream(spark, at), 60, "2 minutes")
-    points.explain()
-    assert capsys.readouterr().out.count("from_json(") == 1
+    text = M.panels(M.facts(batch_messages(spark, "parquet", path=at("log"))))
+    plan = text._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("FileScan") == 1
 
 
-def test_series_of_the_table_adds_up(spark, sf_dir, at):
-    messages = tables.stream_of_messages(spark, sf_dir)
-    ingest.finish([live.start_cycles(messages, at("out"), at("state"), ONCE)])
-    totals = M.kpi_totals(M.facts(tables.messages(spark, sf_dir))).first()
-    sums = live.read_cycles(spark, at("out")).agg(F.sum("orders"), F.sum("revenue")).first()
-    assert tuple(sums) == (totals.total_orders, totals.total_revenue)
+def test_series_shows_amounts(spark, at):
+    append(spark, at, order("2026-03-13T14:05:06", 250))
+    run(spark, at, clock=ticking(100, 101))
+    row = live.cycle_series(spark, at("out"), 101).select(
+        F.unix_seconds("cycle_at").alias("at"), "orders", "revenue"
+    )
+    assert [tuple(r) for r in row.collect()] == [(101, 1, 2.5)]

@@ -121,7 +121,7 @@ def test_a_city_without_revenue_is_listed(spark):
 
 
 def test_all_breakdowns_at_once(either, expected):
-    rows = {(row.panel, row.label): row for row in M.breakdowns(either).collect()}
+    rows = {(row.panel, row.label): row for row in M.breakdowns(M.panels(either)).collect()}
     for panel, name in (("category", "category"), ("device", "device")):
         got = {label: row.events for (p, label), row in rows.items() if p == panel}
         assert got == expected[name]
@@ -131,9 +131,61 @@ def test_all_breakdowns_at_once(either, expected):
     assert methods == expected["method"]
 
 
-def test_cube_is_small(measured, expected):
-    combos = 4 * 3 * len(expected["city"]) + 3 + 1
-    assert M.cube(measured).count() <= combos
+def test_panels_hold_what_the_metrics_need(measured):
+    summed = M.panels(measured)
+    assert M.kpi_totals(M.totals_of(summed)).first() == M.kpi_totals(measured).first()
+    for dimension, metric in (
+        ("category", M.orders_by_category),
+        ("device", M.orders_by_device),
+        ("payment_method", M.payments_by_method),
+        ("city", M.top_cities_by_revenue),
+    ):
+        assert sorted(metric(M.labels_of(summed, dimension)).collect()) == sorted(
+            metric(measured).collect()
+        )
+
+
+def test_panels_are_as_many_as_labels_not_combinations(spark):
+    """99 categories, 3,999 cities and 9 devices: a row per label and one of totals."""
+    n = F.col("id")
+    many = spark.range(40_000).select(
+        F.concat(F.lit("c"), n % 99).alias("category"),
+        F.concat(F.lit("t"), n % 3999).alias("city"),
+        F.concat(F.lit("d"), n % 9).alias("device"),
+        F.lit(None).cast("string").alias("payment_method"),
+        *[F.lit(1).cast("long").alias(name) for name in M.COUNTS],
+        F.lit(1).cast("decimal(30,9)").alias("revenue"),
+    )
+    assert M.panels(many).count() == 99 + 3999 + 9 + 1
+    again = M.add_up(M.panels(many).unionByName(M.panels(many)))
+    assert M.totals_of(again).first().orders == 80_000
+
+
+def test_amounts_of_every_size(spark):
+    """Huge ones and parts of a cent count; what can't be added up is counted beside."""
+    sent = [event("order", total_amount=5e16), event("order", total_amount=1.0)]
+    sent += [event("order", total_amount=0.004)] * 1000
+    sent += [event("order", total_amount=1e300), event("order", total_amount=None)]
+    row = M.amount_quality(M.facts(messages(spark, sent))).first()
+    assert tuple(row) == (1004, 5e16 + 5.0, 1)
+
+
+def test_one_event_of_the_far_future_moves_nothing(spark):
+    """Cycles go by arrival; by event time it is told apart and counted."""
+    good = [event("order", timestamp=f"2026-03-13T14:04:{s:02d}") for s in range(30)]
+    facts = M.facts(messages(spark, [*good, event("order", timestamp="2126-01-01T00:00:00")]))
+    points = M.last_cycles(M.cycle_points(facts, 60), 60).collect()
+    assert sum(row.orders for row in points) == 31
+    by_event = M.last_cycles(M.cycle_points(M.not_ahead(facts), 60, "event_ts"), 60).collect()
+    assert [row.orders for row in by_event] == [30]
+    assert M.ahead(facts).first().ahead == 1
+    assert M.kpi_totals(M.not_ahead(facts)).first().total_orders == 31
+
+
+def test_ranks_are_a_column(measured):
+    rows = M.ranked(M.orders_by_category(measured), F.desc("orders"), "category").collect()
+    assert [row.rank for row in rows] == list(range(1, len(rows) + 1))
+    assert [row.orders for row in rows] == sorted((row.orders for row in rows), reverse=True)
 
 
 def test_no_events(spark):
@@ -144,9 +196,12 @@ def test_no_events(spark):
     for empty in (M.orders_by_category, M.orders_by_device, M.payments_by_method):
         assert empty(none).count() == 0
     assert M.top_cities_by_revenue(none).count() == 0
-    assert M.breakdowns(none).count() == 0
-    points = M.cycle_points(none, 60)
+    assert M.breakdowns(M.panels(none)).count() == 0
+    assert M.panels(none.limit(0)).count() == 0
+    points = M.cycle_points(none, 60, "event_ts")
     assert points.count() == 0
+    # It arrived, though: a point without orders.
+    assert [row.orders for row in M.cycle_points(none, 60).collect()] == [0]
     assert M.last_cycles(points, 60).count() == 0
 
 
@@ -165,7 +220,7 @@ def test_series_fills_gaps_and_ends_at_the_last_event(measured, expected, events
     ]
     # The two events of unknown type are a day ahead of the others and still count as time.
     last = max(times)
-    got = series(M.last_cycles(M.cycle_points(measured, 60), 60))
+    got = series(M.last_cycles(M.cycle_points(measured, 60, "event_ts"), 60))
     assert [start for start, *_ in got] == [last - timedelta(minutes=m) for m in range(59, -1, -1)]
     for start, orders, revenue in got:
         assert orders == expected["minute_orders"][start]
@@ -175,7 +230,7 @@ def test_series_fills_gaps_and_ends_at_the_last_event(measured, expected, events
 def test_short_series_starts_at_the_first_event(spark):
     times = ["2026-03-13T12:00:01", "2026-03-13T12:00:10"]
     sent = [event("order", timestamp=at, total_amount=1.25) for at in times]
-    got = series(M.last_cycles(M.cycle_points(M.facts(messages(spark, sent)), 3), 3))
+    got = series(M.last_cycles(M.cycle_points(M.facts(messages(spark, sent)), 3, "event_ts"), 3))
     assert [(start.second, orders, revenue) for start, orders, revenue in got] == [
         (0, 1, 1.25),
         (3, 0, 0.0),

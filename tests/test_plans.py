@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_module
 from support import CLICK_EVENT, ORDER_EVENT, PAYMENT_EVENT, raw
 from tallybrook.operators import metrics as M
 from tallybrook.operators import pricing as P
 from tallybrook.operators.decode import decode_with_rejects
 from tallybrook.operators.enrich import enrich, lake_rows
+from tallybrook.plans.queries import REGISTRY
 from tallybrook.schemas import KINDS, ORDER
 from tallybrook.sources import tables
-from tallybrook.sources.lake import read_lake
+from tallybrook.sources.lake import read_lake, settle, settled
 from tallybrook.sources.messages import batch_messages, stream_messages
 from tallybrook.streaming import ingest
 
@@ -51,7 +53,7 @@ METRICS = {
     "orders_by_device": M.orders_by_device,
     "payments_by_method": M.payments_by_method,
     "top_cities_by_revenue": M.top_cities_by_revenue,
-    "breakdowns": lambda facts: M.breakdowns(M.cube(facts)),
+    "breakdowns": lambda facts: M.breakdowns(M.panels(facts)),
     "last_cycles": lambda facts: M.last_cycles(M.cycle_points(facts, 60), 60),
 }
 
@@ -83,6 +85,24 @@ def test_table_filter_reaches_the_scan(spark, sf_dir):
     assert "EqualTo(event_type,purchase)" in text
 
 
+def test_settled_hours_are_read_by_their_directories(spark, tmp_path):
+    """Not through the sink's list of every file it ever wrote."""
+    lake, log = str(tmp_path / "lake"), str(tmp_path / "log")
+    raw(spark, [ORDER_EVENT]).write.parquet(log)
+    arrived = stream_messages(spark, "parquet", path=log)
+    options = {"trigger": {"availableNow": True}}
+    ingest.finish([ingest.land(arrived, ORDER, lake, str(tmp_path / "state"), **options)])
+    assert "MetadataLogFileIndex" in plan(read_lake(spark, lake, ORDER))
+    later = read_lake(spark, lake, ORDER).first().ingest_ts + timedelta(days=1)
+    assert settle(spark, lake, ORDER, later) < later
+    raw(spark, [ORDER_EVENT]).write.mode("append").parquet(log)
+    ingest.finish([ingest.land(arrived, ORDER, lake, str(tmp_path / "state"), **options)])
+    settle(spark, lake, ORDER)
+    text = plan(settled(spark, lake, ORDER).where("date = '2026-03-13'"))
+    assert "MetadataLogFileIndex" not in text and "FileScan" in text
+    assert "PartitionFilters: [isnotnull(date" in text
+
+
 def test_lake_read_prunes_directories(spark, log, tmp_path):
     lake = str(tmp_path / "lake")
     arrived = stream_messages(spark, "parquet", path=log)
@@ -114,7 +134,7 @@ def test_lake_facts_read_narrow_columns_and_parse_nothing(spark, log, tmp_path):
     for table, metric in zip(tables_, (M.orders_by_category, M.kpi_totals, M.payments_by_method)):
         assert metric(M.lake_facts(table)).count() == 1
     alone = M.top_cities_by_revenue(M.lake_facts(tables_[0])).first()
-    assert (alone.city, alone.revenue) == ("Chicago", 161.98)
+    assert (alone.city, alone.revenue) == ("Chicago", 171.45)
 
 
 def test_catalogue_is_broadcast_by_size_only(spark):
@@ -131,19 +151,19 @@ def test_catalogue_is_broadcast_by_size_only(spark):
 
 
 def test_events_are_counted_before_the_join(spark, sf_dir):
-    text = plan(entry_module.queries()["catalog_denormalise"](spark, sf_dir))
+    text = plan(REGISTRY["catalog_denormalise"](spark, sf_dir))
     join = text.index("Join")
     assert "HashAggregate" in text[join:]
 
 
-STREAMED = ("stream_", "publish_then_", "lake_")
+STREAMED = ("stream_", "publish_then_", "publish_rejects", "lake_")
 
 
 @pytest.mark.parametrize(
-    "name", sorted(name for name in entry_module.queries() if not name.startswith(STREAMED))
+    "name", sorted(name for name in REGISTRY if not name.startswith(STREAMED))
 )
 def test_no_python_and_no_product_of_tables(spark, sf_dir, name):
-    text = plan(entry_module.queries()[name](spark, sf_dir))
+    text = plan(REGISTRY[name](spark, sf_dir))
     for node in ("Python", "Pandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in text
 

@@ -1,8 +1,7 @@
-"""Options, folders, arguments and the catalogue."""
+"""Options, folders and arguments."""
 
 from __future__ import annotations
 
-from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
@@ -11,7 +10,6 @@ from tallybrook import app
 from tallybrook.plans.workspace import fresh_folder
 from tallybrook.schemas import CLICK, ORDER, PAYMENT, TOPICS
 from tallybrook.sources import messages as source
-from tallybrook.sources.catalog import product_catalog
 
 
 def test_topics():
@@ -33,6 +31,7 @@ def test_source_options():
     assert bounded["startingOffsets"] == "earliest"
     assert bounded["maxOffsetsPerTrigger"] == "500"
     assert bounded["maxRecordsPerPartition"] == "10"
+    assert source.kafka_source_options("b:1", fail_on_data_loss=True)["failOnDataLoss"] == "true"
 
 
 def test_sink_options():
@@ -45,14 +44,6 @@ def test_sink_options():
     }
 
 
-def test_catalogue(spark):
-    rows = product_catalog(spark).collect()
-    assert len(rows) == 10
-    assert {row.category for row in rows} == {"Electronics", "Sports", "Kitchen", "Home", "Health"}
-    assert min(row.price for row in rows) == Decimal("14.99")
-    assert max(row.price for row in rows) == Decimal("129.99")
-
-
 def test_folders_are_fresh(spark):
     one, two = fresh_folder(spark, "x"), fresh_folder(spark, "x")
     assert one != two
@@ -88,6 +79,7 @@ def test_arguments(monkeypatch):
     parsed = app.arguments().parse_args(["ingest"])
     assert (parsed.servers, parsed.base) == ("broker:9", "s3a://bucket/prefix")
     assert parsed.run is app.run_ingest and parsed.starting == "latest"
+    assert parsed.max_per_trigger is None and not parsed.fail_on_data_loss
     monkeypatch.delenv("S3_PREFIX")
     assert app.arguments().parse_args(["live"]).base == "s3a://bucket"
     monkeypatch.delenv("S3_BUCKET")

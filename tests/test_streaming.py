@@ -12,7 +12,7 @@ from support import CLICK_EVENT, ORDER_EVENT, PAYMENT_EVENT, event, raw
 from tallybrook.operators.enrich import lake_rows
 from tallybrook.schemas import KINDS, ORDER
 from tallybrook.sources import tables
-from tallybrook.sources.lake import read_lake, table_path
+from tallybrook.sources.lake import read_lake, settle, settled, table_path
 from tallybrook.sources.messages import batch_messages, stream_messages
 from tallybrook.streaming import ingest
 
@@ -62,13 +62,29 @@ def test_stream_equals_batch(spark, folders):
         assert landed.exceptAll(batch).count() == batch.exceptAll(landed).count() == 0
 
 
+def table_stream(spark, sf_dir, *kinds):
+    rows = tables.event_rows(tables.stream_events(spark, sf_dir), kinds)
+    return tables.as_messages(rows, kinds)
+
+
+def test_only_the_table_itself_is_streamed(spark, sf_dir, tmp_path, folders):
+    """Not another file beside it with a similar name."""
+    rows = tables.read_events(spark, sf_dir).coalesce(1)
+    for name in ("events", "events_old", "eventsX"):
+        rows.write.parquet(str(tmp_path / "sf" / f"{name}.parquet"))
+    arriving = table_stream(spark, str(tmp_path / "sf"), ORDER)
+    options = {"trigger": ONCE}
+    ingest.finish([ingest.land(arriving, ORDER, folders["lake"], folders["checkpoints"], **options)])
+    want = rows.where("event_type = 'purchase'").count()
+    assert read_lake(spark, folders["lake"], ORDER).count() == want
+
+
 def test_table_stream_equals_batch(spark, sf_dir, folders):
     queries = ingest.land_all(
-        lambda kind: tables.stream_of_messages(spark, sf_dir, kind),
+        lambda kind: table_stream(spark, sf_dir, kind),
         folders["lake"],
         folders["checkpoints"],
         trigger=ONCE,
-        mixed_hours=True,
     )
     ingest.finish(queries)
     for kind in KINDS:
@@ -138,12 +154,12 @@ def test_unreadable_events_have_their_own_partition(spark, folders):
 
 def test_clustering_keeps_every_row_and_saves_files(spark, sf_dir, folders):
     def split(kind):
-        return tables.stream_of_messages(spark, sf_dir, kind).repartition(6)
+        return table_stream(spark, sf_dir, kind).repartition(6)
 
     files = {}
     for mixed in (False, True):
         lake, state = f"{folders['lake']}-{mixed}", f"{folders['checkpoints']}-{mixed}"
-        options = {"kinds": [ORDER], "trigger": ONCE, "mixed_hours": mixed}
+        options = {"kinds": [ORDER], "trigger": ONCE, "gather_hours": mixed}
         ingest.finish(ingest.land_all(split, lake, state, **options))
         landed = read_lake(spark, lake, ORDER)
         files[mixed] = (landed.count(), len(landed.inputFiles()))
@@ -168,7 +184,7 @@ def test_a_hot_hour_is_split_over_tasks(spark, folders):
     setting = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
     spark.conf.set(setting, "128KB")
     try:
-        land(spark, folders, [ORDER], mixed_hours=True)
+        land(spark, folders, [ORDER])
     finally:
         spark.conf.unset(setting)
     rows = read_lake(spark, folders["lake"], ORDER)
@@ -220,6 +236,96 @@ def test_one_failure_ends_all(spark, folders):
     assert not steady.isActive and not broken.isActive
 
 
+def test_siblings_of_a_failed_query_are_stopped(spark, folders):
+    append(spark, folders, [ORDER_EVENT])
+    arrived = stream_messages(spark, "parquet", path=folders["log"])
+    broken = (
+        arrived.select(F.raise_error(F.lit("broken")).cast("string").alias("x"))
+        .writeStream.format("noop")
+        .option("checkpointLocation", folders["checkpoints"] + "-broken")
+        .trigger(**ONCE)
+        .start()
+    )
+    steady = ingest.land(arrived, ORDER, folders["lake"], folders["checkpoints"])
+    with pytest.raises(StreamingQueryException, match="broken"):
+        ingest.finish([broken, steady])
+    assert not steady.isActive
+
+
+def test_nothing_is_left_running_when_one_can_not_start(spark, folders):
+    append(spark, folders, [ORDER_EVENT])
+    before = {query.id for query in spark.streams.active}
+
+    def messages_of(kind):
+        if kind is not ORDER:
+            raise RuntimeError("no such topic")
+        return stream_messages(spark, "parquet", path=folders["log"])
+
+    with pytest.raises(RuntimeError):
+        ingest.land_all(messages_of, folders["lake"], folders["checkpoints"])
+    assert {query.id for query in spark.streams.active} == before
+
+
+def test_rejects_keep_their_text(spark, folders, tmp_path):
+    append(spark, folders, ["not json", None, '{"quantity": "x"}'], topic="ecommerce.orders")
+    append(spark, folders, [ORDER_EVENT])
+    rejects = str(tmp_path / "rejects")
+    land(spark, folders, [ORDER], rejects=rejects)
+    assert read_lake(spark, folders["lake"], ORDER).count() == 4
+    kept = spark.read.parquet(f"{rejects}/orders").collect()
+    assert sorted(str(row.rejected_json) for row in kept) == ["None", "not json", '{"quantity": "x"}']
+    assert {row.topic for row in kept} == {"ecommerce.orders"}
+
+
+def test_settled_and_live_rows_are_each_read_once(spark, folders):
+    """Before, between and after settling, with a late event for a settled hour."""
+
+    def found():
+        return ids(spark, folders)
+
+    def add(name, **changes):
+        append(spark, folders, [event("order", event_id=name, **changes)])
+        land(spark, folders, [ORDER])
+
+    assert settle_or_none(spark, folders) is None
+    add("a")
+    # The newest batch may not have ended: it stays live.
+    settle(spark, folders["lake"], ORDER)
+    assert (settled(spark, folders["lake"], ORDER).count(), found()) == (0, ["a"])
+    add("b")
+    settle(spark, folders["lake"], ORDER)
+    assert (settled(spark, folders["lake"], ORDER).count(), found()) == (1, ["a", "b"])
+    add("c", timestamp="2026-03-13T14:00:00")
+    add("d")
+    assert found() == ["a", "b", "c", "d"]
+    settle(spark, folders["lake"], ORDER)
+    settle(spark, folders["lake"], ORDER)
+    assert (settled(spark, folders["lake"], ORDER).count(), found()) == (3, ["a", "b", "c", "d"])
+
+
+def settle_or_none(spark, folders):
+    append(spark, folders, [CLICK_EVENT])
+    land(spark, folders, [ORDER])
+    return settle(spark, folders["lake"], ORDER)
+
+
+def test_a_settling_that_died_is_repeated(spark, folders, monkeypatch):
+    for name in ("a", "b"):
+        append(spark, folders, [event("order", event_id=name)])
+        land(spark, folders, [ORDER])
+    read = spark.createDataFrame
+    monkeypatch.setattr(
+        type(spark), "createDataFrame", lambda *a, **k: (_ for _ in ()).throw(RuntimeError("lost"))
+    )
+    with pytest.raises(RuntimeError):
+        settle(spark, folders["lake"], ORDER)
+    monkeypatch.undo()
+    assert spark.createDataFrame == read and ids(spark, folders) == ["a", "b"]
+    settle(spark, folders["lake"], ORDER)
+    assert ids(spark, folders) == ["a", "b"]
+    assert settled(spark, folders["lake"], ORDER).count() == 1
+
+
 def test_lake_schema_is_what_the_files_hold(spark, folders):
     append(spark, folders, [ORDER_EVENT, CLICK_EVENT, PAYMENT_EVENT])
     land(spark, folders)
