@@ -58,15 +58,16 @@ def has_letter(text: str | None) -> bool:
 
 def features(text: str) -> np.ndarray:
     """Hashed 2- and 3-grams of letters, square roots of their counts, of length 1."""
-    codes = text.encode("utf-8", "surrogatepass").translate(_LETTERS)
+    codes = b" " + text.encode("utf-8", "surrogatepass").translate(_LETTERS)
     counts = np.zeros(FEATURES)
     for start in range(0, len(codes), _CHUNK):
-        # Two bytes more, so that no n-gram is lost between chunks.
-        part = np.frombuffer(b" " + codes[start : start + _CHUNK + 1], np.uint8)
-        part = part.astype(np.uint32)
+        # Two bytes more than n-grams begin in a chunk, so that none is lost between chunks.
+        part = np.frombuffer(codes[start : start + _CHUNK + 2], np.uint8).astype(np.uint32)
         pairs = part[:-1] << np.uint32(8) | part[1:]
         triples = pairs[:-1] << np.uint32(8) | part[2:]
-        hashed = np.concatenate((pairs * np.uint32(2654435761), triples * np.uint32(2246822519)))
+        hashed = np.concatenate(
+            (pairs[:_CHUNK] * np.uint32(2654435761), triples[:_CHUNK] * np.uint32(2246822519))
+        )
         counts += np.bincount(hashed >> np.uint32(21), minlength=FEATURES)
     weights = np.sqrt(counts)
     return weights / max(np.linalg.norm(weights), 1e-12)
