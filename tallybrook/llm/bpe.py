@@ -29,7 +29,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 #: Bytes of pieces in one recursive query, and characters of text cut into pieces at a time.
 QUERY_BYTES = 1 << 18
 TEXT_CHARS = 1 << 22
-#: Pieces that a worker remembers, twice over: the newer and the older half.
+#: Pieces that a task remembers, twice over: the newer and the older half.
 REMEMBERED = 350_000
 #: Longer pieces contract many pairs a round, in queries of some rounds each.
 LONG_PIECE = 64
@@ -204,6 +204,11 @@ class Codec:
                     self.decoded.update(zip(part, decoded))
                     start, size = i + 1, 0
 
+    def forget(self) -> None:
+        """Free what is remembered: after its task a worker may go on with other work."""
+        self.ids, self.decoded, self.older_ids, self.older_decoded = {}, {}, {}, {}
+        pa.default_memory_pool().release_unused()
+
     def _remembered(self, pieces: list[str]) -> tuple[pa.Array, pa.Array]:
         if len(self.ids) > REMEMBERED:
             self.older_ids, self.older_decoded = self.ids, self.decoded
@@ -233,7 +238,7 @@ class Codec:
 
 @lru_cache(maxsize=2)
 def _codec(path: str) -> Codec:
-    """One per worker process: it remembers pieces from one task to the next."""
+    """One per worker process."""
     return Codec(path)
 
 
@@ -270,6 +275,7 @@ def encode_decode(
                 if size >= TEXT_CHARS or i + 1 == batch.num_rows:
                     yield encoded(batch["doc_id"].slice(start, len(texts)), texts)
                     start, size, texts = i + 1, 0, []
+        codec.forget()
 
     return named.transform(shipped).mapInArrow(run, f"doc_id {kind}, ids string, decoded binary")
 
