@@ -28,7 +28,7 @@ LEAST_SLOTS = 65_536
 PERIOD = 1 << 31
 STEP = 506_952_121
 
-DOCS_A_BUCKET = 20_000
+DOCS_A_BUCKET = 2_000
 SLOTS_A_CHUNK = 16_384
 
 
