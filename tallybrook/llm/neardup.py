@@ -37,8 +37,9 @@ from tallybrook.llm.graph import components
 
 #: Min-hashes in a band; a table's key has two bands.
 BAND = 3
-#: Nodes of a centre that are compared with others at a time.
+#: Nodes of a centre that are compared with others at a time, and tasks that share a centre.
 BLOCK = 512
+SALTS = 32
 #: A collection misses a pair at the threshold with this chance.
 MISS = 1e-4
 SEED = 97
@@ -197,6 +198,15 @@ def _with_component(rows: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def _with_facts(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """``rows`` with the one row of ``facts`` for their centre; a common centre is salted."""
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)))
+    copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(
+        copies.withColumn("_salt", F.col("_salt").cast("long")), ["centre", "_salt"]
+    ).drop("_salt")
+
+
 def open_blocks(checked: DataFrame, labels: DataFrame) -> DataFrame:
     """Nodes that may be linked with another one of their centre but aren't connected with it.
 
@@ -206,7 +216,7 @@ def open_blocks(checked: DataFrame, labels: DataFrame) -> DataFrame:
     loose = checked.groupBy("centre").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(~F.col("linked")).alias("rest")
     )
-    open_ = checked.join(loose.where("n > 1 AND rest > 0").select("centre"), "centre")
+    open_ = _with_facts(checked, loose.where("n > 1 AND rest > 0").select("centre"))
     marked = settled(
         _with_component(open_, labels).select(
             "centre", "node", "component", "linked", F.explode("prefix").alias("element")
@@ -229,7 +239,7 @@ def open_blocks(checked: DataFrame, labels: DataFrame) -> DataFrame:
         .distinct()
     )
     blocks = active.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    dealt = settled(active.join(blocks, "centre"), "open-nodes")
+    dealt = settled(_with_facts(active, blocks), "open-nodes")
     members = dealt.select(
         "centre",
         F.pmod(F.xxhash64("node"), "blocks").alias("block"),
