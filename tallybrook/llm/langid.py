@@ -2,7 +2,7 @@
 
 A text is a bag of hashed letter n-grams. Linear support vector machines, one for each pair,
 vote on the family; those of the chosen family's languages vote on the language. Margins are
-turned into probabilities, and a text's score is the product of both steps.
+turned into probabilities, coupled over all pairs, and a text's score is the product of both steps.
 """
 
 from __future__ import annotations
@@ -116,7 +116,7 @@ def fit_machine(x: np.ndarray, first: np.ndarray, penalty: float = 1e-4) -> Mach
 
 @dataclass
 class Vote:
-    """One machine for each pair of classes; the mean of its probabilities speaks for a class."""
+    """One machine for each pair of classes, whose probabilities are coupled to one for each class."""
 
     classes: list[str]
     machines: dict[tuple[int, int], Machine]
@@ -131,14 +131,17 @@ class Vote:
         return cls(classes, machines)
 
     def probabilities(self, x: np.ndarray) -> np.ndarray:
-        if len(self.classes) == 1:
-            return np.ones((len(x), 1))
-        votes = np.zeros((len(x), len(self.classes)))
+        """1 for a class that all its machines are certain of, however many classes there are.
+
+        The odds against a class are the sum of its odds against each other class.
+        """
+        against = np.zeros((len(x), len(self.classes)))
         for (a, b), machine in self.machines.items():
             p = machine.probability(x)
-            votes[:, a] += p
-            votes[:, b] += 1 - p
-        return votes / votes.sum(axis=1, keepdims=True)
+            against[:, a] += (1 - p) / p
+            against[:, b] += p / np.maximum(1 - p, 1e-17)
+        coupled = 1 / (1 + against)
+        return coupled / coupled.sum(axis=1, keepdims=True)
 
 
 @dataclass

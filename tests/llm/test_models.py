@@ -66,6 +66,18 @@ def test_chunks_lose_no_ngram(monkeypatch):
     assert np.abs(langid.features(text) - whole).max() < 1e-12
 
 
+@pytest.mark.parametrize("classes", [1, 2, 3, 6, 13])
+def test_a_certain_vote_is_one_at_any_number_of_classes(classes):
+    certain = langid.Machine(np.array([1.0]), 0.0, 30.0, 0.0)
+    even = langid.Machine(np.array([0.0]), 0.0, 1.0, 0.0)
+    pairs = [(a, b) for a in range(classes) for b in range(a + 1, classes)]
+    vote = langid.Vote([str(i) for i in range(classes)], {(a, b): even if a else certain for a, b in pairs})
+    found = vote.probabilities(np.array([[1.0], [0.0]]))
+    assert found.sum(axis=1) == pytest.approx([1, 1])
+    assert found[0, 0] == pytest.approx(1)
+    assert found[1] == pytest.approx(np.full(classes, 1 / classes))
+
+
 # Quality
 
 

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -10,7 +11,7 @@ import tiktoken
 import public_tokenizers
 
 import __spark_entry__ as entry
-from tallybrook.llm import bpe
+from tallybrook.llm import bpe, langid
 from tallybrook.llm.queries import ORACLES, QUERIES
 from tests.llm.support import documents, empty, rows
 
@@ -59,6 +60,20 @@ def test_language_and_duplicates_that_go(spark, sf_dir):
     assert all(kept[i] == 1 for i in range(20))
 
 
+def test_many_families_keep_their_texts(spark, sf_dir):
+    codes = "en de nl sv fr es it pt ru uk pl cs fi et hu tr az kk hi bn mr ar he mt ja ko".split()
+    found = []
+    for no, code in enumerate(codes):
+        rng = random.Random(code)
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyz", 12)
+        vocabulary = ["".join(rng.choices(letters, k=rng.randint(2, 8))) for _ in range(50)]
+        found += [(no * 100 + i, " ".join(rng.choices(vocabulary, k=60)), code, "s") for i in range(30)]
+    left = corpus_pipeline.language_id(spark, documents(spark, found), sf_dir).collect()
+    kept = Counter(r["lang"] for r in left)
+    assert len({langid.family_of(code) for code in codes}) == 9
+    assert all(kept[code] >= 29 for code in codes), kept
+
+
 def test_mix_repeats_and_leaves_out(spark, sf_dir):
     words = " ".join(["word"] * 10)
     found = [(i, f"{words} {i}", "en", "a") for i in range(300)]
