@@ -1,9 +1,10 @@
 """Mixes sources to target weights along a low-discrepancy schedule.
 
-Every source's documents are shuffled, laid end to end and cut into blocks of equal tokens. The
+Every source's documents are shuffled, laid end to end and cut into equal blocks of its own. The
 mix is a row of slots, one block each. Slot i looks up a golden-ratio point in the cumulative
-weights and so gets its source; the n-th slot of a source takes its n-th block, starting over
-when the source runs out. Any stretch of slots is close to the weights.
+slots that the sources need for their targets and so gets its source; the n-th slot of a source
+takes its n-th block, starting over when the source runs out. Any stretch of slots is close to
+the weights.
 """
 
 from __future__ import annotations
@@ -20,9 +21,10 @@ from tallybrook.llm.common import WORD, settled, with_starts, without
 WEIGHTS = (1, 2, 3)
 MOST_EPOCHS = 3
 SEED = 4711
+#: Tokens of a block at most.
 BLOCK_TOKENS = 1024
-#: A mix has this many slots at least, if it has as many tokens.
-LEAST_SLOTS = 65_536
+#: Every source has this many blocks at least, if it has as many tokens.
+LEAST_BLOCKS = 1024
 
 #: The golden section in 31-bit fixed point: 2**31 / phi**3, odd, so no point comes twice in 2**31.
 PERIOD = 1 << 31
@@ -53,21 +55,23 @@ def targets(sizes: list[int], weights: list[float], most: int = MOST_EPOCHS) ->
     return share
 
 
-def block_tokens(total: int) -> int:
-    return max(1, min(BLOCK_TOKENS, total // LEAST_SLOTS))
+def block_count(size: int, tokens: int = BLOCK_TOKENS) -> int:
+    """Blocks of a source; their sizes differ by one token at most and none is above ``tokens``."""
+    return max(1, -(-size // tokens), min(size, LEAST_BLOCKS))
 
 
-def schedule(spark, shares: list[float], sizes: list[int], tokens: int) -> DataFrame:
+def schedule(spark, shares: list[float], sizes: list[int], tokens: int = BLOCK_TOKENS) -> DataFrame:
     """A row per slot: ``slot``, ``source_no``, ``block``. Slots beyond MOST_EPOCHS take nothing.
 
-    Ranks within a source are counted chunk by chunk and then added up, so no task sees all
-    slots of a source.
+    A source has as many slots as its blocks fill its share. Ranks within a source are counted
+    chunk by chunk and then added up, so no task sees all slots of a source.
     """
-    slots = -(-int(sum(shares)) // tokens)
-    edges = [round(x / max(sum(shares), 1) * PERIOD) for x in accumulate(shares)]
+    blocks = [block_count(size, tokens) for size in sizes]
+    needed = [share * b / max(size, 1) for share, size, b in zip(shares, sizes, blocks)]
+    slots = round(sum(needed))
+    edges = [round(x / max(sum(needed), 1) * PERIOD) for x in accumulate(needed)]
     last = bisect_left(edges, edges[-1]) if edges else 0
     edges = edges[:last]
-    blocks = [-(-size // tokens) for size in sizes]
 
     point = (F.col("id") % PERIOD) * STEP % PERIOD
     owner = F.lit(0)
@@ -89,7 +93,7 @@ def schedule(spark, shares: list[float], sizes: list[int], tokens: int) -> DataF
     ranked = drawn.withColumn("_nth", F.row_number().over(inside) - 1).join(
         starts, ["source_no", "chunk"]
     )
-    counts = F.array(*[F.lit(max(b, 1)).cast("long") for b in blocks] or [F.lit(1).cast("long")])
+    counts = F.array(*[F.lit(b).cast("long") for b in blocks] or [F.lit(1).cast("long")])
     rank = F.col("start") + F.col("_nth")
     own = F.element_at(counts, F.col("source_no") + 1)
     return ranked.select(
@@ -161,26 +165,38 @@ def mix(docs: DataFrame, weights=WEIGHTS, seed: int = SEED) -> DataFrame:
     placed, names, sizes = laid_out(docs, seed)
     weight = [float(weights[i % len(weights)]) for i in range(len(names))]
     shares = targets(sizes, weight)
-    tokens = block_tokens(sum(sizes))
+    blocks = [block_count(size) for size in sizes]
     facts = spark.createDataFrame(
-        list(zip(range(len(names)), sizes, shares)), "source_no int, source_size long, target double"
+        [
+            (no, size, share, b, size // b, size % b)
+            for no, (size, share, b) in enumerate(zip(sizes, shares, blocks))
+        ],
+        "source_no int, source_size long, target double, _blocks long, _least long, _rest long",
     )
     start, end = F.col("start"), F.col("start") + F.col("size")
-    first, last = F.expr(f"start div {tokens}"), F.expr(f"(start + size - 1) div {tokens}")
-    pieces = placed.withColumn(
-        "block",
-        F.explode_outer(F.when(F.col("size") > 0, F.sequence(first, last))),
+
+    # Block k begins at word k * source_size div _blocks, so longer blocks are spread evenly.
+    def block_at(word: str):
+        past = f"CAST({word} + 1 AS DECIMAL(19, 0)) * CAST(_blocks AS DECIMAL(18, 0)) - 1"
+        return F.expr(f"({past}) div source_size")
+
+    def first_of(block: str):
+        return F.expr(f"({block}) * _least + ({block}) * _rest div _blocks")
+
+    words = F.sequence(block_at("start"), block_at("start + size - 1"))
+    pieces = placed.join(facts, "source_no").withColumn(
+        "block", F.explode_outer(F.when(F.col("size") > 0, words))
     )
-    drawn = schedule(spark, shares, sizes, tokens)
-    joined = pieces.join(drawn, ["source_no", "block"], "left").join(facts, "source_no")
+    drawn = schedule(spark, shares, sizes)
+    joined = pieces.join(drawn, ["source_no", "block"], "left")
     return joined.select(
         *without(placed, ("source_no",)),
         "source_size",
         "target",
         "slot",
         "epoch",
-        F.greatest(start, F.col("block") * tokens).alias("_from"),
-        F.least(end, (F.col("block") + 1) * tokens).alias("_to"),
+        F.greatest(start, first_of("block")).alias("_from"),
+        F.least(end, first_of("block + 1")).alias("_to"),
     ).select(
         "doc_id",
         "source",

@@ -100,6 +100,31 @@ def test_mix_reaches_its_targets(spark):
     assert Counter(map(tuple, got)) == Counter(map(tuple, again))
 
 
+def test_small_sources_reach_their_targets_beside_a_large_one(spark):
+    sizes = {f"a{n:04}-{i}": n for n in (10, 100, 300, 1500, 5000) for i in range(8)}
+    sizes["z"] = 2_100_000
+    found = [
+        (no * 10_000 + i, " ".join(["w"] * min(1000, n - i * 1000)), "en", source)
+        for no, (source, n) in enumerate(sizes.items())
+        for i in range(-(-n // 1000))
+    ]
+    taken, targets = Counter(), {}
+    for r in mixing.taken_words(documents(spark, found)).collect():
+        taken[r["source"]] += r["taken"]
+        targets[r["source"]] = r["target"]
+        assert 0 <= r["taken"] <= 3 * r["size"]
+    # At three times their size, within a few words or 1 %.
+    for source, n in sizes.items():
+        assert source == "z" or targets[source] == 3 * n
+        assert abs(taken[source] - targets[source]) <= max(4, 0.01 * targets[source]), source
+
+
+@pytest.mark.parametrize("size", [1, 10, 1023, 1024, 1025, 5000, 1 << 20, (1 << 20) + 1, 80_000_001])
+def test_blocks_are_many_and_small(size):
+    blocks = mixing.block_count(size)
+    assert -(-size // blocks) <= 1024 and blocks >= min(size, 1024)
+
+
 def test_mix_without_rows_or_words(spark):
     assert mixing.taken_words(empty(spark)).collect() == []
     got = mixing.taken_words(documents(spark, [(1, None, "en", None), (1, None, "en", None)]))
