@@ -3,6 +3,8 @@
 Every run of ``K`` code points has a rolling hash. Of every ``WINDOW`` consecutive hashes the
 least is kept, the rightmost of equal ones, with its position. So two texts that share
 ``K + WINDOW - 1`` code points in a row share a kept hash, and no match shorter than ``K`` counts.
+Short texts have narrower windows, so that two thirds of a text in a row share a hash with it if
+they are ``K`` code points; what a wide window keeps, a narrow one keeps too.
 """
 
 from __future__ import annotations
@@ -19,8 +21,9 @@ from pyspark.sql import functions as F
 
 from tallybrook.llm.common import shipped
 
-K = 32
-WINDOW = 64
+K = 12
+#: Hashes of a window at most.
+WINDOW = 16
 ROWS_A_RANGE = 2000
 MOST_RANGES = 1 << 16
 
@@ -56,16 +59,23 @@ def _least_of_windows(values: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(behind[:count], ahead[window - 1 : window - 1 + count])
 
 
-def winnow(text: str, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
+def window_of(length: int, k: int = K) -> int:
+    """Window of a text: two thirds of it in a row have as many hashes, unless it is ``WINDOW``."""
+    return max(1, min(WINDOW, length - length // 3 - k + 1))
+
+
+def winnow(text: str, k: int = K, window: int | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Kept hashes (32 bits) and their positions, in order of position.
 
-    A text shorter than ``k`` is one run; an empty text keeps nothing.
+    A text shorter than ``k`` is one run; an empty text keeps nothing. Without a ``window`` the
+    text's length gives it.
     """
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     length = len(codes)
     if not length:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     k = min(k, length)
+    window = window or window_of(length, k)
     powers, inverses = _powers(1 << max(length, 1024).bit_length())
     sums = np.zeros(length + 1, np.uint64)
     np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * powers[:length], out=sums[1:])
@@ -93,7 +103,7 @@ def as_text(hashes: np.ndarray) -> str:
     return hashes.astype(">u4").tobytes().hex()
 
 
-def fingerprints(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
+def fingerprints(docs: DataFrame, k: int = K, window: int | None = None) -> DataFrame:
     """doc_id, ``hashes`` and ``positions`` of every whole text; NULL counts as empty."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,7 +174,7 @@ def with_next(docs: DataFrame, rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
     )
 
 
-def edited_likeness(docs: DataFrame, k: int = K, window: int = WINDOW) -> DataFrame:
+def edited_likeness(docs: DataFrame, k: int = K, window: int | None = None) -> DataFrame:
     """Fingerprints of each text, of its edited text, and how alike they and the next one's are.
 
     In the edited text the last third is replaced by the beginning of the next document (see
