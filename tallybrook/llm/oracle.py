@@ -36,3 +36,58 @@ least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id
 SELECT doc_id, n::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sized JOIN least USING (doc_id)
 """
+
+
+def crc32_of(text: str) -> str:
+    """The unsigned CRC-32 of an ASCII text: each character is folded in, then eight shifts."""
+    steps = f"flatten([[ascii(c), -1, -1, -1, -1, -1, -1, -1, -1] for c in string_split({text}, '')])"
+    return (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {steps}::BIGINT[]),"
+        " lambda crc, step: CASE WHEN step >= 0 THEN xor(crc, step)"
+        " ELSE xor(crc >> 1, 3988292384::BIGINT * (crc & 1)) END), 4294967295::BIGINT)"
+    )
+
+
+OP11 = rf"""
+WITH turns AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS place,
+    coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL
+),
+listed AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY place) AS own,
+    {crc32_of("conv_id::VARCHAR")} % 4 AS h
+  FROM turns GROUP BY conv_id
+),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(f.own[1:c.h], []), c.own[c.h + 1:]) AS turns
+  FROM listed c LEFT JOIN listed f ON f.conv_id = c.conv_id - c.conv_id % 20
+),
+prefixes AS (
+  SELECT conv_id, unnest(range(0, len(turns) + 1)) AS depth, turns FROM rebuilt
+),
+nodes AS (
+  SELECT turns[1:depth] AS path, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(turns) = depth), '') AS ended
+  FROM prefixes GROUP BY ALL
+),
+families AS (
+  SELECT path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1
+),
+valued AS (
+  SELECT n.*, coalesce(f.n_children, 0) AS n_children, CASE WHEN depth = 0 THEN 0 ELSE
+    (n_convs - 1) * len(regexp_extract_all(n.path[depth].text, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM nodes n LEFT JOIN families f ON f.path = n.path
+),
+upward AS (
+  SELECT path, saved, n_children, unnest(range(0, depth + 1)) AS up FROM valued
+),
+subtrees AS (
+  SELECT path[1:up] AS path, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM upward GROUP BY 1
+)
+SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+  s.n_leaves, s.saved_tokens::BIGINT AS saved_tokens, sha256(n.ended) AS ends_sha256
+FROM valued n JOIN subtrees s ON s.path = n.path
+LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
+"""

@@ -4,7 +4,20 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallybrook.llm import bpe, curves, langid, lengths, maxent, mixing, neardup, oracle, ranking, sharding, winnow
+from tallybrook.llm import (
+    bpe,
+    curves,
+    langid,
+    lengths,
+    maxent,
+    mixing,
+    neardup,
+    oracle,
+    ranking,
+    sharding,
+    trie,
+    winnow,
+)
 from tallybrook.llm.common import table
 
 
@@ -50,6 +63,10 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     run.__name__: run
     for run in (
@@ -63,7 +80,8 @@ QUERIES = {
         op8_winnowing,
         op9_quality,
         op10_shards,
+        op11_prefix_trie,
     )
 }
 
-ORACLES = {"op4_minhash_groups": oracle.OP4}
+ORACLES = {"op4_minhash_groups": oracle.OP4, "op11_prefix_trie": oracle.OP11}
