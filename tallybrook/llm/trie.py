@@ -217,7 +217,10 @@ def _burst(members: DataFrame, capacity: int) -> tuple[DataFrame, list[DataFrame
             closed.append(waiting)
             break
         heads.append(full)
-        mark = full.select(*BOX, F.col("conv_id").alias("_head_conv"))
+        # Below the first segment a container lacks those that end at its head.
+        hanging = (F.col("level") == 0) & (F.col("segment") > 0)
+        least = F.when(hanging, F.col("up_conv")).otherwise(F.col("conv_id"))
+        mark = full.select(*BOX, least.alias("_head_conv"))
         met = settled(waiting.join(mark, BOX, "left"), "trie-suffixes")
         closed.append(met.where("_head_conv IS NULL").drop("_head_conv"))
         following = F.get("ids", F.col("level"))

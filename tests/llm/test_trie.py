@@ -82,7 +82,7 @@ def awkward():
     return [*rows, (7, 2, "u", "z"), (7, 2, "a", "z"), (8, 0, "u", "long " * 50_000)]
 
 
-@pytest.mark.parametrize("capacity", [trie.CAPACITY, 4])
+@pytest.mark.parametrize("capacity", [trie.CAPACITY, 30])
 def test_against_every_prefix(spark, capacity):
     rows = awkward()
     assert nodes_of(spark, rows, capacity) == brute(rows)
@@ -91,8 +91,8 @@ def test_against_every_prefix(spark, capacity):
 def test_copies_and_prefixes_of_one_conversation(spark):
     """Ends of many ids, over several pieces; every conversation a prefix of the next."""
     rows = [(i * 20, 0, "u", "same") for i in range(3 * trie.IDS_A_PIECE // 20)]
-    rows += [(i * 20, t, "u", f"t{t}") for i in range(60) for t in range(1, i)]
-    assert nodes_of(spark, rows, 7) == brute(rows)
+    rows += [(i * 20, t, "u", f"t{t}") for i in range(45) for t in range(1, i)]
+    assert nodes_of(spark, rows, 11) == brute(rows)
 
 
 def test_conversations_without_turns(spark):
