@@ -91,3 +91,43 @@ SELECT n.conv_id, n.depth::BIGINT AS depth, p.conv_id AS parent_conv_id, n.n_con
 FROM valued n JOIN subtrees s ON s.path = n.path
 LEFT JOIN nodes p ON n.depth > 0 AND p.path = n.path[1:n.depth - 1]
 """
+
+OP12 = r"""
+WITH items AS (
+  SELECT coalesce(item_id::VARCHAR, '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+),
+sized AS (SELECT item, w, least(len(w), 10) AS n FROM items WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM sized)
+),
+docs AS (
+  SELECT row_number() OVER () AS no, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+placed AS (
+  SELECT no, n, w, unnest(range(1, len(w) - n + 2)) AS i
+  FROM docs CROSS JOIN (SELECT DISTINCT n FROM windows) WHERE len(w) >= n
+),
+found AS (
+  SELECT no, p.n, i, item FROM placed p JOIN windows v
+  ON v.n = p.n AND v.gram = array_to_string(w[i:i + p.n - 1], ' ')
+),
+hits AS (
+  SELECT no, count(DISTINCT place) AS n_hit
+  FROM (SELECT no, unnest(range(i, i + n)) AS place FROM found) GROUP BY no
+),
+whose AS (
+  SELECT no, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT no, item FROM found) GROUP BY no
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+  n_hit IS NOT NULL AS contaminated
+FROM docs LEFT JOIN hits USING (no) LEFT JOIN whose USING (no)
+"""

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tallybrook.llm import (
     bpe,
     curves,
+    decontam,
     langid,
     lengths,
     maxent,
@@ -67,6 +68,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.conversation_trie(table(spark, sf_dir, "conversations"))
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     run.__name__: run
     for run in (
@@ -81,7 +86,12 @@ QUERIES = {
         op9_quality,
         op10_shards,
         op11_prefix_trie,
+        op12_decontamination,
     )
 }
 
-ORACLES = {"op4_minhash_groups": oracle.OP4, "op11_prefix_trie": oracle.OP11}
+ORACLES = {
+    "op4_minhash_groups": oracle.OP4,
+    "op11_prefix_trie": oracle.OP11,
+    "op12_decontamination": oracle.OP12,
+}
