@@ -131,3 +131,50 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0) AS n_hit,
   n_hit IS NOT NULL AS contaminated
 FROM docs LEFT JOIN hits USING (no) LEFT JOIN whose USING (no)
 """
+
+OP13 = rf"""
+WITH numbered AS (
+  SELECT row_number() OVER () AS no, doc_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS own,
+    {crc32_of("coalesce(doc_id::VARCHAR, '')")} AS h
+  FROM documents
+),
+chosen AS (
+  SELECT *, len(own) AS n, h // 10 AS g, CASE WHEN len(own) > 0 THEN (h // 10) % len(own) END AS a
+  FROM numbered
+),
+docs AS (
+  SELECT no, doc_id, n, CASE WHEN h % 10 = 0 AND n > 0 THEN list_concat(own[1:a],
+    list_transform(range(0, n - a), lambda i: own[a + i % (1 + (n - a) // (3 + g % 8)) + 1]))
+    ELSE own END AS w
+  FROM chosen
+),
+words AS (SELECT no, n, unnest(w) AS word, generate_subscripts(w, 1) - 1 AS i FROM docs),
+equal AS (
+  SELECT x.no, x.i, y.i - x.i AS q
+  FROM words x JOIN words y ON x.no = y.no AND x.word = y.word AND y.i > x.i AND 4 * (y.i - x.i) <= x.n
+),
+islands AS (
+  SELECT no, q, i, i - row_number() OVER (PARTITION BY no, q ORDER BY i) AS island FROM equal
+),
+stretches AS (
+  SELECT no, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY no, q, island
+),
+runs AS (
+  SELECT no, s, l, min(q) AS q FROM stretches WHERE l >= greatest(6, 4 * q) GROUP BY no, s, l
+),
+listed AS (
+  SELECT no, count(*) AS n_runs, first({{'s': s, 'l': l, 'q': q}} ORDER BY l DESC, s, q) AS best,
+    string_agg(concat(s, ',', l, ',', q, chr(10)), '' ORDER BY s, q) AS lines
+  FROM runs GROUP BY no
+),
+dropped AS (SELECT DISTINCT no, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (
+  SELECT no, string_agg(word, ' ' ORDER BY i) AS text
+  FROM words ANTI JOIN dropped USING (no, i) GROUP BY no
+)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, best.s::BIGINT AS start, best.l::BIGINT AS length,
+  best.q::BIGINT AS period, (1000 * best.l // best.q)::BIGINT AS exponent_milli,
+  sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM docs LEFT JOIN listed USING (no) LEFT JOIN kept USING (no)
+"""

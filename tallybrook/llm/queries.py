@@ -15,6 +15,7 @@ from tallybrook.llm import (
     neardup,
     oracle,
     ranking,
+    runs,
     sharding,
     trie,
     winnow,
@@ -72,6 +73,10 @@ def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.periodic_runs(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     run.__name__: run
     for run in (
@@ -87,6 +92,7 @@ QUERIES = {
         op10_shards,
         op11_prefix_trie,
         op12_decontamination,
+        op13_periodic_runs,
     )
 }
 
@@ -94,4 +100,5 @@ ORACLES = {
     "op4_minhash_groups": oracle.OP4,
     "op11_prefix_trie": oracle.OP11,
     "op12_decontamination": oracle.OP12,
+    "op13_periodic_runs": oracle.OP13,
 }

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+
+from tallybrook.llm import oracle, runs
+from tests.llm.support import documents, empty, rows
+
+
+def stretches(words):
+    """start, length, period of every run, by comparing each word with each later one."""
+    n, least = len(words), {}
+    for q in range(1, n // 4 + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j > i and j - i + q >= max(6, 4 * q):
+                least.setdefault((i, j - i + q), q)
+            i = max(j, i + 1)
+    return sorted(((s, l, q) for (s, l), q in least.items()), key=lambda run: (run[0], run[2]))
+
+
+def brute(docs):
+    result = []
+    for doc_id, text in docs:
+        words = (text or "").encode("utf-8").split()
+        n, h = len(words), zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+        if h % 10 == 0 and n:
+            g = h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+        found = stretches(words)
+        gone = {i for s, l, q in found for i in range(s + q, s + l)}
+        best = min(found, key=lambda run: (-run[1], run[0], run[2]), default=(None,) * 3)
+        lines = "".join(f"{s},{l},{q}\n" for s, l, q in found)
+        kept = b" ".join(word for i, word in enumerate(words) if i not in gone)
+        milli = 1000 * best[1] // best[2] if found else None
+        digests = [hashlib.sha256(of).hexdigest() for of in (lines.encode(), kept)]
+        result.append((doc_id, len(found), *best, milli, *digests))
+    return in_order(result)
+
+
+def in_order(found):
+    return sorted((tuple(row) for row in found), key=lambda row: tuple(-1 if x is None else x for x in row[:2]) + row[6:])
+
+
+def repetitive(rng):
+    words = []
+    while rng.random() < 0.85:
+        names = rng.choice([2, 3, 50])
+        unit = [rng.randrange(names) for _ in range(rng.randrange(1, rng.choice([3, 9, 40, 80])))]
+        words += unit * rng.randrange(1, 9) + unit[: rng.randrange(len(unit) + 1)]
+        words += [rng.randrange(50) for _ in range(rng.randrange(6))]
+    return words
+
+
+def test_the_cover_has_every_difference():
+    assert runs.MOVES.min() == 0 and runs.MOVES.max() < runs.COVER_SIZE
+
+
+@pytest.mark.parametrize("portion", [runs.PAIRS_A_TIME, 50])
+def test_runs_of_texts_in_one_array(monkeypatch, portion):
+    monkeypatch.setattr(runs, "PAIRS_A_TIME", portion)
+    rng = random.Random(2)
+    for _ in range(60):
+        texts = [repetitive(rng) for _ in range(rng.randrange(1, 8))]
+        values, starts, want = [], [], []
+        for no, words in enumerate(texts):
+            starts.append(len(values))
+            want += [(len(values) + s, l, q) for s, l, q in stretches(words)]
+            values += [*words, 1000 + no]
+        lengths = np.array([len(words) for words in texts])
+        got = runs.find_runs(np.array(values, np.int64), np.array(starts), lengths)
+        assert [tuple(run) for run in got.tolist()] == want
+
+
+def test_extensions_from_every_pair():
+    values = np.array([1, 2] * 120 + [3] * 40 + [1, 2] * 60 + [9], np.int64)
+    a, b = np.triu_indices(len(values), 1)
+    text = bytes(values.tolist())
+    want = np.array([next((k for k in range(len(text) - j) if text[i + k] != text[j + k]), len(text) - j)
+                     for i, j in zip(a[::37].tolist(), b[::37].tolist())])
+    assert (runs.Extensions(values).right(a[::37], b[::37]) == want).all()
+
+
+def test_awkward_rows(spark):
+    rng = random.Random(4)
+    found = [(i, t) for i, t, _, _ in rows()]
+    found += [(200 + i, " ".join(f"w{w}" for w in repetitive(rng))) for i in range(60)]
+    found += [(300, "la " * 5), (301, "la " * 6), (302, "a b c\u00a0d " * 4), (303, "x\n\ty " * 900)]
+    got = runs.periodic_runs(documents(spark, [(i, t, None, None) for i, t in found])).collect()
+    assert in_order(got) == brute(found)
+    assert sum(row["n_runs"] > 0 for row in got) > 40
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(6)
+    unit = [f"u{rng.randrange(900)}" for _ in range(20_000)]
+    words = [f"v{i}" for i in range(5_000)] + unit * 5 + ["la"] * 50_000
+    text = " ".join(words)
+    (got,) = runs.periodic_runs(documents(spark, [(1, text, None, None)])).collect()
+    assert zlib.crc32(b"1") % 10 and got["n_runs"] == 2
+    assert (got["start"], got["length"], got["period"]) == (5_000, 100_000, 20_000)
+
+
+def test_no_rows(spark):
+    assert runs.periodic_runs(empty(spark)).collect() == []
+
+
+def test_sql_says_the_same(spark, sf_dir):
+    tables = duckdb.connect()
+    tables.execute(f"CREATE VIEW documents AS FROM '{sf_dir}/documents.parquet'")
+    got = runs.periodic_runs(spark.read.parquet(f"{sf_dir}/documents.parquet")).collect()
+    assert in_order(tables.execute(oracle.OP13).fetchall()) == in_order(got)
