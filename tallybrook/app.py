@@ -47,7 +47,6 @@ def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
         f"{args.base}/checkpoints",
         rejects=f"{args.base}/rejected" if args.keep_rejects else None,
         gather_hours=not args.scatter_hours,
-        retention=args.retention,
     )
     ingest.supervise(queries)
 
@@ -60,7 +59,7 @@ def run_live(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def run_settle(spark: SparkSession, args: argparse.Namespace) -> None:
     for kind in KINDS:
-        lake.settle(spark, f"{args.base}/processed", kind)
+        lake.settle(spark, f"{args.base}/processed", kind, drop_live=args.drop_live)
 
 
 def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -103,9 +102,9 @@ def arguments() -> argparse.ArgumentParser:
         job.set_defaults(run=run)
     jobs.choices["ingest"].add_argument("--scatter-hours", action="store_true")
     jobs.choices["ingest"].add_argument("--keep-rejects", action="store_true")
-    jobs.choices["ingest"].add_argument("--retention")
     settling = jobs.add_parser("settle")
     settling.add_argument("--base", default=_default_base(), required=_default_base() is None)
+    settling.add_argument("--drop-live", action="store_true")
     settling.set_defaults(run=run_settle)
     sending = jobs.add_parser("publish")
     sending.add_argument("--events", required=True)

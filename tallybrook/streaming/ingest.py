@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
+from contextlib import contextmanager
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,6 +16,9 @@ from tallybrook.sources.lake import table_path
 
 PARTITIONS = ("date", "hour")
 EVERY_30_SECONDS = {"processingTime": "30 seconds"}
+#: A backfill has many hours of few rows each. A task that gathers them up to the usual megabyte
+#: writes hundreds of files, one after the other.
+SMALL_HOURS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1KB"}
 
 
 def by_hour(rows: DataFrame) -> DataFrame:
@@ -26,6 +30,19 @@ def by_hour(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance", *PARTITIONS)
 
 
+@contextmanager
+def _settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """For queries that start inside: a query keeps the settings with which it was started."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def land(
     messages: DataFrame,
     kind: EventKind,
@@ -34,29 +51,27 @@ def land(
     *,
     trigger: Mapping[str, object] = EVERY_30_SECONDS,
     gather_hours: bool = True,
-    retention: str | None = None,
 ) -> StreamingQuery:
     """Append the events of one kind to its table, by event date and hour.
 
     Late events go to the hour they belong to; nothing is dropped. One shuffle brings the rows
     of an hour together, so that a batch writes a file or two an hour; without
-    ``gather_hours`` each task writes its own. ``retention`` bounds the sink's list of files,
-    for tables whose rows are moved on by ``sources.lake.settle`` well before.
+    ``gather_hours`` each task writes its own. The sink's list of files is never cut by age:
+    that would lose rows which ``sources.lake.settle`` has not copied yet.
     """
     rows = lake_rows(messages, kind)
     if gather_hours:
         rows = by_hour(rows)
-    options = {"retention": retention} if retention else {}
-    return (
+    writer = (
         rows.writeStream.format("parquet")
         .option("path", table_path(lake, kind))
         .option("checkpointLocation", f"{checkpoints.rstrip('/')}/{kind.table}")
-        .options(**options)
         .partitionBy(*PARTITIONS)
         .outputMode("append")
         .trigger(**trigger)
-        .start()
     )
+    with _settings(messages.sparkSession, SMALL_HOURS):
+        return writer.start()
 
 
 def quarantine(

@@ -107,7 +107,7 @@ def test_settle(spark, at, subscribed, until_idle):
     for kind in KINDS:
         rows = read_lake(spark, at("base/processed"), kind)
         assert sorted(row.event_id for row in rows.collect()) == ["e1", "e2"]
-        assert settled(spark, at("base/processed"), kind).count() == 1
+        assert settled(spark, at("base/processed"), kind).count() == 2
     assert spark.read.schema("rejected_json string").parquet(at("base/rejected/orders")).count() == 0
 
 
