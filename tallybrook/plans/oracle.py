@@ -310,6 +310,9 @@ FROM (
 LEFT JOIN o ON date_trunc('hour', o.ts) = seen.cycle_start
 GROUP BY 1""",
     "lake_settled_read": _HOURLY,
+    "lake_levels": _HOURLY,
+    "lake_arrivals": f"""{_WITH_ORDERS}
+SELECT strftime(ts, '%Y-%m-%d') AS date, count(*) AS n FROM o WHERE id % 2 = 1 GROUP BY 1""",
     "stream_ingest_stamps": f"{_WITH_PAYMENTS} SELECT count(*) AS n, count(*) AS stamped FROM p",
     "stream_rejects": f"""{_WITH_ORDERS}
 SELECT 'ecommerce.orders' AS topic, count(*) AS n, count(*) FILTER (id % 8 <> 4) AS with_text

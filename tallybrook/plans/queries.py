@@ -478,6 +478,42 @@ def lake_settled_read(spark, sf_dir):
     return counted.agg(F.count(F.lit(1)).alias("n")).withColumn("date", _day_text())
 
 
+def _land_and_settle(spark, sf_dir, parts, between=lambda: None, **options) -> str:
+    """Land orders in parts and settle each of them; the lake's folder."""
+    lake = fresh_folder(spark, "lake")
+    checkpoints = fresh_folder(spark, "land-checkpoint")
+    runs = count()
+
+    def start(messages_of):
+        if next(runs):
+            settle(spark, lake, ORDER, **options)
+            between()
+        return [ingest.land(messages_of(), ORDER, lake, checkpoints, trigger=ALL_AT_ONCE)]
+
+    _in_parts(spark, sf_dir, start, (ORDER,), parts)
+    settle(spark, lake, ORDER, **options)
+    return lake
+
+
+@query
+def lake_levels(spark, sf_dir):
+    """Rows per hour after four settlings, merged by twos, without the settled live files."""
+    lake = _land_and_settle(spark, sf_dir, 4, fanout=2, drop_live=True)
+    counted = read_lake(spark, lake, ORDER).groupBy(*PARTITION_FIELDS)
+    return counted.agg(F.count(F.lit(1)).alias("n")).withColumn("date", _day_text())
+
+
+@query
+def lake_arrivals(spark, sf_dir):
+    """Rows per day of what arrived after the first part, from the files that hold it."""
+    times = []
+    lake = _land_and_settle(
+        spark, sf_dir, 2, between=lambda: times.append(datetime.now(timezone.utc))
+    )
+    later = read_lake(spark, lake, ORDER, arrived_from=times[0]).groupBy(_day_text())
+    return later.agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def stream_ingest_orders(spark, sf_dir):
     lake = fresh_folder(spark, "lake")
