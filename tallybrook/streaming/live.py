@@ -2,8 +2,9 @@
 
 One query reads every message once and keeps everything that the dashboard shows: running
 totals and breakdowns, and a point for each micro-batch. Nothing is kept in the engine's
-state: a batch adds its own sums to those of the batch before and writes them to the next
-slot (see ``slots``), so the number of shuffle partitions may change at any restart.
+state, so the number of shuffle partitions may change at any restart: a batch writes sums of the
+labels and cycles that it touches, which are merged by tiers (see ``tiers``), and its point to the
+next slot (see ``slots``).
 """
 
 from __future__ import annotations
@@ -19,15 +20,16 @@ from pyspark.sql.window import Window
 from tallybrook.functions import columns as C
 from tallybrook.operators import metrics as M
 from tallybrook.sources.messages import POLL_SECONDS
-from tallybrook.streaming import slots
+from tallybrook.streaming import slots, tiers
 
 EVERY_CYCLE = {"processingTime": f"{POLL_SECONDS} seconds"}
 SLOTS = slots.MARKS
 
 POINT_DDL = f"began double, ended double, orders bigint, revenue {C.MONEY_SUM}"
 CYCLE_DDL = f"cycle_start timestamp, orders bigint, revenue {C.MONEY_SUM}"
-#: Event-time sums are folded together after so many batches.
-FOLD = 60
+#: Cycles are rolled up to hours and days beside; 0 stands for the cycles themselves.
+HOUR, DAY = 3600, 86400
+ROLLED_DDL = f"{CYCLE_DDL}, every int"
 
 
 def _start(messages: DataFrame, checkpoint: str, trigger, record) -> StreamingQuery:
@@ -48,21 +50,17 @@ def start_live(
 ) -> StreamingQuery:
     """Totals, breakdowns and a point for each batch, from the same pass over its messages.
 
-    What is kept is a row per label and one of totals, not a row per combination of labels.
+    What is kept is a row per label and one of totals, not a row per combination of labels, and a
+    batch writes only what it touches. All of its tasks write: no result is gathered into one.
     """
 
     def record(batch: DataFrame, batch_id: int) -> None:
         began, spark = clock(), batch.sparkSession
         run = slots.run_of(spark, checkpoint)
         folder, slot = f"{path}/{run}", f"slot={batch_id % SLOTS}"
-        slots.write(M.panels(M.facts(batch)), f"{folder}/own/{slot}", batch_id)
-        own = slots.read(spark, f"{folder}/own/{slot}", M.PANELS_DDL, batch_id)
-        sums = own
-        if batch_id:
-            before = f"{folder}/totals/slot={(batch_id - 1) % SLOTS}"
-            earlier = slots.read(spark, before, M.PANELS_DDL, batch_id - 1)
-            sums = M.add_up(earlier.unionByName(own))
-        slots.write(sums.coalesce(1), f"{folder}/totals/{slot}", batch_id)
+        sums = f"{folder}/sums"
+        tiers.add(M.panels(M.facts(batch)), sums, batch_id, M.PANELS_DDL, M.add_up)
+        own = tiers.read_own(spark, sums, batch_id, M.PANELS_DDL)
         span = [F.lit(float(at)).alias(name) for name, at in (("began", began), ("ended", clock()))]
         point = M.cycle_total(M.totals_of(own)).select(*span, "orders", "revenue")
         slots.write(point, f"{folder}/points/{slot}", batch_id)
@@ -76,8 +74,7 @@ def read_totals(spark: SparkSession, path: str) -> DataFrame:
     folder, done = slots.marks(spark, path)
     if not done:
         return spark.createDataFrame([], M.PANELS_DDL)
-    latest = f"{folder}/totals/slot={done[-1] % SLOTS}"
-    return slots.read(spark, latest, M.PANELS_DDL, done[-1])
+    return M.add_up(tiers.read(spark, f"{folder}/sums", done[-1], M.PANELS_DDL))
 
 
 def read_cycles(spark: SparkSession, path: str) -> DataFrame:
@@ -125,13 +122,22 @@ def cycle_series(
     ).orderBy("cycle_at")
 
 
-def _cycle_sums(points: DataFrame) -> DataFrame:
-    return points.groupBy("cycle_start").agg(
+def _cycle_sums(points: DataFrame, *keys: str) -> DataFrame:
+    return points.groupBy("cycle_start", *keys).agg(
         F.sum("orders").alias("orders"),
         F.sum("revenue").cast(C.MONEY_SUM).alias("revenue"),
     )
 
 
+def _rolled_up(points: DataFrame) -> DataFrame:
+    """Points of cycles, and their sums per hour and day, told apart by ``every``."""
+    each = points.withColumn("every", F.explode(F.array(F.lit(0), F.lit(HOUR), F.lit(DAY))))
+    since = F.unix_seconds("cycle_start")
+    start = F.timestamp_seconds(since - F.pmod(since, F.col("every")))
+    whole = F.when(F.col("every") == 0, F.col("cycle_start")).otherwise(start)
+    return _cycle_sums(each.withColumn("cycle_start", whole), "every")
+
+
 def start_event_time_cycles(
     messages: DataFrame,
     path: str,
@@ -139,54 +145,42 @@ def start_event_time_cycles(
     seconds: int = POLL_SECONDS,
     trigger: Mapping[str, object] = EVERY_CYCLE,
 ) -> StreamingQuery:
-    """Orders and revenue per cycle of event time, of all events ever.
+    """Orders and revenue per cycle of event time, of all events ever; per hour and day as well.
 
     No event is too late, and none can close another's cycle: a batch writes its own sums per
-    cycle, and every ``FOLD`` batches they are added to those of all batches before.
+    cycle, and those of old batches are merged by tiers. A merge costs what its own batches
+    touched, not all history.
     """
 
     def record(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         run = slots.run_of(spark, checkpoint)
-        folder = f"{path}/{run}"
-        points = M.cycle_points(M.facts(batch), seconds, "event_ts")
-        slots.write(points, _recent(folder, batch_id), batch_id)
-        if batch_id % FOLD == FOLD - 1:
-            parts = _parts(spark, folder, batch_id, batch_id - FOLD)
-            slots.write(_cycle_sums(parts), _folded(folder, batch_id), batch_id)
+        points = _rolled_up(M.cycle_points(M.facts(batch), seconds, "event_ts"))
+        tiers.add(
+            points,
+            f"{path}/{run}/cycles",
+            batch_id,
+            ROLLED_DDL,
+            lambda parts: _cycle_sums(parts, "every"),
+            ("every",),
+        )
         slots.mark(spark, path, run, batch_id)
 
     return _start(messages, checkpoint, trigger, record)
 
 
-def _recent(folder: str, batch_id: int) -> str:
-    # Twice as many as are folded together, so that readers of the ones before can finish.
-    return f"{folder}/recent/slot={batch_id % (2 * FOLD)}"
-
-
-def _folded(folder: str, batch_id: int) -> str:
-    return f"{folder}/folded/slot={batch_id // FOLD % 2}"
+def read_event_time_cycles(spark: SparkSession, path: str, every: int = 0) -> DataFrame:
+    """cycle_start, orders and revenue of every cycle with an event, or of hours or days.
 
-
-def _parts(spark: SparkSession, folder: str, batch_id: int, folded: int) -> DataFrame:
-    """Sums per cycle of the batches up to ``folded``, and of each one after it."""
-    found = [
-        slots.read(spark, _recent(folder, i), CYCLE_DDL, i)
-        for i in range(folded + 1, batch_id + 1)
-    ]
-    if folded >= 0:
-        found.append(slots.read(spark, _folded(folder, folded), CYCLE_DDL, folded))
-    parts = found[0]
-    for part in found[1:]:
-        parts = parts.unionByName(part)
-    return parts
-
-
-def read_event_time_cycles(spark: SparkSession, path: str) -> DataFrame:
-    """cycle_start, orders and revenue of every cycle with an event."""
+    ``every`` is 0, ``HOUR`` or ``DAY``; files of the others are not opened.
+    """
+    if every not in (0, HOUR, DAY):
+        raise ValueError(f"cycles are rolled up to {HOUR} and {DAY} seconds, not {every}")
     folder, done = slots.marks(spark, path)
     if not done:
         parts = spark.createDataFrame([], CYCLE_DDL)
     else:
-        parts = _parts(spark, folder, done[-1], (done[-1] + 1) // FOLD * FOLD - 1)
+        parts = tiers.read(spark, f"{folder}/cycles", done[-1], ROLLED_DDL).where(
+            F.col("every") == every
+        )
     return _cycle_sums(parts).withColumn("revenue", F.col("revenue").cast("double"))

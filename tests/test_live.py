@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from support import event, raw
+from tallybrook.functions import columns as C
 from tallybrook.operators import metrics as M
 from tallybrook.sources.messages import batch_messages, stream_messages
-from tallybrook.streaming import ingest, live, slots
+from tallybrook.streaming import ingest, live, slots, tiers
 
 ONCE = {"availableNow": True}
 
@@ -255,16 +258,95 @@ def test_event_time_series_loses_nothing(spark, at):
     }
 
 
-def test_event_time_sums_are_folded(spark, at, monkeypatch):
-    """Whatever number of batches came since the last folding."""
-    monkeypatch.setattr(live, "FOLD", 3)
+def test_event_time_sums_are_merged_by_tiers(spark, at, monkeypatch):
+    """Whatever number of batches came since the last merge."""
+    monkeypatch.setattr(tiers, "FANOUT", 2)
     hour = datetime(2026, 3, 13, 14)
-    for count in range(1, 9):
+    for count in range(1, 8):
         append(spark, at, order("2026-03-13T14:05:06"))
         assert by_event_time(spark, at, 3600) == {hour: (count, float(count))}
     folder, done = slots.marks(spark, at("out"))
-    assert done == list(range(8))
-    assert spark.read.parquet(f"{folder}/folded").select("batch_id").distinct().count() == 2
+    assert done == list(range(7))
+    assert tiers.cover(6) == [(2, 0), (1, 4), (0, 6)]
+    for tier, first in tiers.cover(6):
+        assert spark.read.parquet(tiers.path(f"{folder}/cycles", tier, first)).count() == 3
+
+
+def test_hours_and_days_are_rolled_up(spark, at):
+    append(spark, at, order("2026-03-13T12:00:10"), order("2026-03-13T12:59:59", 50))
+    append(spark, at, order("2026-03-13T23:10:00"), order("1969-12-31T23:59:59", 7))
+    by_event_time(spark, at, 3, maxFilesPerTrigger="1")
+
+    def found(every):
+        rows = live.read_event_time_cycles(spark, at("out"), every)
+        return {r.cycle_start.replace(tzinfo=None): (r.orders, r.revenue) for r in rows.collect()}
+
+    assert len(found(0)) == 4
+    assert found(live.HOUR) == {
+        datetime(2026, 3, 13, 12): (2, 1.5),
+        datetime(2026, 3, 13, 23): (1, 1.0),
+        datetime(1969, 12, 31, 23): (1, 0.07),
+    }
+    assert found(live.DAY) == {
+        datetime(2026, 3, 13): (3, 2.5),
+        datetime(1969, 12, 31): (1, 0.07),
+    }
+    days = live.read_event_time_cycles(spark, at("out"), live.DAY)
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(every" in plan
+    with pytest.raises(ValueError):
+        live.read_event_time_cycles(spark, at("out"), 7)
+
+
+def test_the_runs_of_any_batch_hold_each_batch_once():
+    for batch_id in [*range(600), 16**3 - 1, 16**3, 5_000_000]:
+        runs = tiers.cover(batch_id)
+        starts = [first for _, first in runs]
+        ends = [first + tiers.FANOUT**tier for tier, first in runs]
+        assert starts == [0, *ends[:-1]] and ends[-1] == batch_id + 1
+        # Ten million batches are a year of three-second cycles.
+        assert len(runs) <= 15 * 6
+    made = {(0, b) for b in range(600)} | {run for b in range(600) for run in tiers.completed(b)}
+    assert all(set(tiers.cover(b)) <= made for b in range(600))
+
+
+def test_a_batch_writes_in_proportion_to_the_labels_it_touches(spark, at, monkeypatch):
+    """200,000 labels once, then ten in each batch: only the merges that reach back are large."""
+    monkeypatch.setattr(tiers, "FANOUT", 4)
+
+    def sums(labels):
+        counts = [F.lit(1).cast("long").alias(name) for name in M.COUNTS]
+        money = F.lit(1).cast(C.MONEY_SUM).alias("revenue")
+        label = F.col("id").cast("string").alias("label")
+        return spark.range(labels).select(F.lit("city").alias("panel"), label, *counts, money)
+
+    written = []
+    write = DataFrameWriter.parquet
+
+    def noted(self, path, *args, **kwargs):
+        write(self, path, *args, **kwargs)
+        written.append(spark.read.parquet(path).count())
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", noted)
+    rows = []
+    for batch_id in range(12):
+        written.clear()
+        tiers.add(sums(200_000 if batch_id == 0 else 10), at("sums"), batch_id, M.PANELS_DDL, M.add_up)
+        rows.append(sum(written))
+    # Batch 3 merges the first four; no later batch writes the others' labels again.
+    assert rows == [200_000, 10, 10, 200_010, 10, 10, 10, 20, 10, 10, 10, 20]
+    whole = M.add_up(tiers.read(spark, at("sums"), 11, M.PANELS_DDL))
+    assert whole.count() == 200_000 and whole.agg(F.sum("orders")).first()[0] == 200_110
+
+
+def test_replaced_runs_are_removed(spark, at, monkeypatch):
+    monkeypatch.setattr(tiers, "FANOUT", 2)
+    for batch_id in range(16):
+        append(spark, at, order("2026-03-13T14:05:06"))
+    by_event_time(spark, at, 60, maxFilesPerTrigger="1")
+    folder, _ = slots.marks(spark, at("out"))
+    left = [os.listdir(f"{folder}/cycles/tier={tier}") for tier in range(5)]
+    assert [len(names) for names in left] == [2, 2, 2, 2, 1]
 
 
 def test_event_time_equals_batch_in_any_order(spark, at):
