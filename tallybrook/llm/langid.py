@@ -7,28 +7,30 @@ turned into probabilities, coupled over all pairs, and a text's score is the pro
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
+from math import isqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
+from pyspark.sql.window import Window
 
-from tallybrook.llm.common import fold, shipped, without
+from tallybrook.llm.common import fold, settled, shipped, without
 
 #: Hashed features of a text.
 FEATURES = 2048
-#: Rows that the machines are fitted on, over all languages; a bounded sample of the learning
-#: rows, drawn by a hash evenly from each language.
+#: Rows that the machines are fitted on, over all languages: a sample of the learning rows, as
+#: many of each language, of which there are at least one of each.
 SAMPLE = 3200
 SEED = 5
 UNDETERMINED = "und"
 FOLDS, HELD_OUT = 3, 1
 
-#: ISO 639-1 codes by family. A code in none is a family of its own.
+#: ISO 639-1 codes by family. Codes in none are dealt to families of their own.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af", "fy", "lb", "yi"),
     "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl", "oc", "la"),
@@ -45,11 +47,15 @@ _LETTERS = bytes(
 _CHUNK = 1 << 20
 
 
-def family_of(language: str) -> str:
-    for family, languages in FAMILIES.items():
-        if language in languages:
-            return family
-    return language
+def families_of(languages: Iterable[str]) -> dict[str, str]:
+    """The family of each language. k languages of no known family make about root k families."""
+    known = {code: family for family, codes in FAMILIES.items() for code in codes}
+    others = sorted(set(languages) - known.keys())
+    size = isqrt(max(len(others) - 1, 0)) + 1
+    dealt = {language: f"unlisted-{i // size}" for i, language in enumerate(others)}
+    if size == 1:
+        dealt = {language: language for language in others}
+    return {language: known.get(language) or dealt[language] for language in languages}
 
 
 def has_letter(text: str | None) -> bool:
@@ -121,15 +127,6 @@ class Vote:
     classes: list[str]
     machines: dict[tuple[int, int], Machine]
 
-    @classmethod
-    def fit(cls, x: np.ndarray, labels: np.ndarray) -> Vote:
-        classes = sorted(set(labels))
-        machines = {}
-        for a, b in combinations(range(len(classes)), 2):
-            either = (labels == classes[a]) | (labels == classes[b])
-            machines[a, b] = fit_machine(x[either], labels[either] == classes[a])
-        return cls(classes, machines)
-
     def probabilities(self, x: np.ndarray) -> np.ndarray:
         """1 for a class that all its machines are certain of, however many classes there are.
 
@@ -149,12 +146,6 @@ class Model:
     families: Vote
     within: dict[str, Vote]
 
-    @classmethod
-    def fit(cls, x: np.ndarray, languages: np.ndarray) -> Model:
-        families = np.array([family_of(language) for language in languages])
-        within = {f: Vote.fit(x[families == f], languages[families == f]) for f in set(families)}
-        return cls(Vote.fit(x, families), within)
-
     def predict(self, x: np.ndarray) -> tuple[list[str], np.ndarray]:
         families = self.families.probabilities(x)
         chosen = families.argmax(axis=1)
@@ -171,44 +162,110 @@ class Model:
 
 
 def learning_sample(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
-    """lang and text of at most about ``sample`` learning rows, evenly from each language.
+    """lang and text of at most ``sample`` learning rows, as many of each language.
 
-    A language with fewer rows gives all. Counts first, so no language is gathered.
+    Those of least hash; a language with fewer rows gives all. Rows of one id, or without any,
+    are told apart by their text, and equal rows count one by one.
     """
     rows = docs.where((fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("lang").isNotNull())
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    each = sample / max(len(counts), 1)
-    share = F.lit(0.0)
-    for language, count in sorted(counts.items()):
-        share = F.when(F.col("lang") == language, min(1.0, each / count)).otherwise(share)
-    drawn = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 20)) < share * (1 << 20)
-    return rows.where(drawn).select("doc_id", "lang", "text")
+    key = F.xxhash64(F.lit(SEED), "doc_id")
+    counts = rows.groupBy("lang").agg(F.approx_count_distinct(key).alias("_ids"))
+    languages = counts.count()
+    each = max(1, sample // max(languages, 1))
+    keyed = rows.select(
+        "lang",
+        "text",
+        F.pmod(key, F.lit(1 << 20)).alias("_key"),
+        F.xxhash64(F.lit(SEED), "text").alias("_text_key"),
+    )
+    # About twice as many ids and some more, so that there are enough; then exactly as many rows.
+    likely = F.col("_key") * F.col("_ids") < (2 * each + 20) * (1 << 20)
+    drawn = keyed.join(counts, "lang").where(likely)
+    first = Window.partitionBy("lang").orderBy("_key", "_text_key")
+    return drawn.withColumn("_nth", F.row_number().over(first)).where(
+        F.col("_nth") <= each
+    ).select("lang", "text")
+
+
+def _votes(languages: list[str]) -> tuple[dict[str, str], list[tuple[str, str, str]]]:
+    """Families, and each machine as (vote, first class, second class); vote "" is on families."""
+    families = families_of(languages)
+    machines = [("", a, b) for a, b in combinations(sorted(set(families.values())), 2)]
+    for family in sorted(set(families.values())):
+        own = sorted(language for language in languages if families[language] == family)
+        machines += [(family, a, b) for a, b in combinations(own, 2)]
+    return families, machines
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
-    """Machines from the texts and languages of the learning rows; None if there are none."""
+    """Machines from the texts and languages of the learning rows; None if there are none.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Each machine is fitted in a task, on the sample's rows of its two classes.
+    """
+
+    def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
-                (language, features(text).astype(np.float32).tobytes())
-                for language, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist())
-                if has_letter(text)
+                (language.as_py(), features(text.as_py()).astype(np.float32).tobytes())
+                for language, text in zip(batch["lang"], batch["text"])
+                if has_letter(text.as_py())
             ]
-            languages, vectors = zip(*found) if found else ((), ())
+            languages, values = zip(*found) if found else ((), ())
             yield pa.record_batch(
                 {
                     "lang": pa.array(languages, pa.string()),
-                    "features": pa.array(vectors, pa.binary()),
+                    "features": pa.array(values, pa.binary()),
                 }
             )
 
-    rows = learning_sample(docs, sample).transform(shipped).mapInArrow(run, "lang string, features binary").collect()
-    if not rows:
+    def fitted(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("lang", "ascending"), ("features", "ascending")])
+        x = np.stack([np.frombuffer(f.as_py(), np.float32) for f in rows["features"]])
+        first = np.array(rows["is_first"].to_pylist())
+        machine = fit_machine(x, first)
+        values = [*machine.weights, machine.bias, machine.slope, machine.offset]
+        return pa.table(
+            {
+                "machine": rows["machine"].slice(0, 1),
+                "values": pa.array([np.array(values, np.float64).tobytes()], pa.binary()),
+            }
+        )
+
+    spark = docs.sparkSession
+    drawn = learning_sample(docs, sample).transform(shipped)
+    rows = settled(drawn.mapInArrow(vectors, "lang string, features binary"), "language-sample")
+    languages = sorted(row["lang"] for row in rows.select("lang").distinct().collect())
+    if not languages:
         return None
-    rows.sort(key=lambda r: (r["lang"], bytes(r["features"])))
-    x = np.stack([np.frombuffer(r["features"], np.float32) for r in rows]).astype(float)
-    return Model.fit(x, np.array([r["lang"] for r in rows]))
+    families, machines = _votes(languages)
+    sides = [
+        (no, language, side == a)
+        for no, (vote, a, b) in enumerate(machines)
+        for language in languages
+        for side in [language if vote else families[language]]
+        if side in (a, b) and (not vote or families[language] == vote)
+    ]
+    found: dict[int, np.ndarray] = {}
+    if machines:
+        dealt = spark.createDataFrame(sides, "machine int, lang string, is_first boolean")
+        trained = rows.join(dealt, "lang").groupBy("machine")
+        for row in trained.applyInArrow(fitted, "machine int, values binary").toLocalIterator():
+            found[row["machine"]] = np.frombuffer(row["values"])
+
+    def vote_on(name: str, classes: list[str]) -> Vote:
+        place = {label: i for i, label in enumerate(classes)}
+        return Vote(
+            classes,
+            {
+                (place[a], place[b]): Machine(found[no][:-3], *found[no][-3:].tolist())
+                for no, (vote, a, b) in enumerate(machines)
+                if vote == name
+            },
+        )
+
+    names = sorted(set(families.values()))
+    within = {f: sorted(lang for lang in languages if families[lang] == f) for f in names}
+    return Model(vote_on("", names), {f: vote_on(f, own) for f, own in within.items()})
 
 
 NAMES = ("lang_pred", "score")

@@ -96,10 +96,14 @@ def node_of(values: np.ndarray) -> int | None:
 
 
 def signatures(docs: DataFrame, width: int, count: int) -> DataFrame:
-    """doc_id, n_shingles, node and keys (its bands); node is NULL for texts without words."""
+    """doc_id, text_key (a hash), n_shingles, node and keys (its bands).
+
+    node is NULL for texts without words.
+    """
     schema = pa.schema(
         [
             ("doc_id", pa.int64()),
+            ("text_key", pa.int64()),
             ("n_shingles", pa.int64()),
             ("node", pa.int64()),
             ("keys", pa.list_(pa.int64())),
@@ -114,11 +118,13 @@ def signatures(docs: DataFrame, width: int, count: int) -> DataFrame:
                 sizes.append(len(values))
                 nodes.append(node_of(values))
                 keys.append(bands(values, count).view(np.int64) if len(values) else None)
-            arrays = [batch["doc_id"], *map(pa.array, (sizes, nodes, keys), schema.types[1:])]
+            made = map(pa.array, (sizes, nodes, keys), schema.types[2:])
+            arrays = [batch["doc_id"], batch["text_key"], *made]
             yield pa.RecordBatch.from_arrays(arrays, schema=schema)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").transform(shipped).mapInArrow(
-        run, "doc_id long, n_shingles long, node long, keys array<long>"
+    named = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
+    return named.transform(shipped).mapInArrow(
+        run, "doc_id long, text_key long, n_shingles long, node long, keys array<long>"
     )
 
 
@@ -324,6 +330,14 @@ def duplicate_groups(docs: DataFrame, width: int = 3, percent: int = 85) -> Data
     linked. A NULL doc_id is never least; its group has the least of the others, or NULL. An
     empty table gives no rows; columns besides doc_id and text are ignored.
     """
+    return grouped(docs, width, percent).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def grouped(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    """As ``duplicate_groups``, with each row's text_key and the group's own number.
+
+    ``group`` is NULL for texts without words.
+    """
     count = bands_for(percent)
     signed = settled(signatures(docs, width, count), "signatures")
     named = signed.where("node IS NOT NULL")
@@ -349,15 +363,19 @@ def duplicate_groups(docs: DataFrame, width: int = 3, percent: int = 85) -> Data
     if found.head(1):
         known = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
         labels = components(found.unionByName(known))
-    grouped = _with_component(copies, labels)
-    least = grouped.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_node = grouped.join(least, "component").select("node", "component_id")
+    labelled = _with_component(copies, labels)
+    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
+    by_node = labelled.join(least, "component").select(
+        "node", "component_id", F.col("component").alias("group")
+    )
     own = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return signed.join(by_node, "node", "left").select(
         "doc_id",
         "n_shingles",
         own.alias("component_id"),
         F.col("doc_id").eqNullSafe(own).alias("kept"),
+        "text_key",
+        "group",
     )
 
 

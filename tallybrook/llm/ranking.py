@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.window import Window
 
 from tallybrook.llm.common import fold, shipped, without
 
@@ -108,8 +109,9 @@ def fit_ranking(good: np.ndarray, bad: np.ndarray, bad_share: float, pairs: int
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking | None:
     """Learns from labelled rows outside the held-out fold; None without both labels.
 
-    Labels other than 0 and 1, and NULL ids, are left aside. The sample is broadcast: it has
-    about ``sample`` rows of each label at most.
+    Labels other than 0 and 1, and NULL ids, are left aside. The sample of labels is broadcast: it
+    has about ``sample`` rows of each. Of their documents, an eighth more at most of each label
+    are learned from, however often an id is repeated.
     """
     known = labels.where(
         (fold(F.col("doc_id"), FOLDS) != HELD_OUT)
@@ -133,11 +135,21 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Ranking | N
                 {"quality": batch["quality"], "features": pa.array(vectors, pa.binary())}
             )
 
+    first = Window.partitionBy("quality").orderBy("_key", "_text_key")
     rows = (
         docs.select("doc_id", "text")
         .join(F.broadcast(drawn), "doc_id")
+        .select(
+            "quality",
+            "text",
+            F.xxhash64(F.lit(SEED), "doc_id").alias("_key"),
+            F.xxhash64(F.lit(SEED), "text").alias("_text_key"),
+        )
+        .withColumn("_nth", F.row_number().over(first))
+        .where(F.col("_nth") <= sample + sample // 8)
         .select("quality", "text")
-        .transform(shipped).mapInArrow(run, "quality int, features binary")
+        .transform(shipped)
+        .mapInArrow(run, "quality int, features binary")
         .collect()
     )
     found = {
