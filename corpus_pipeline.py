@@ -31,18 +31,34 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts that score as good ones, by the labels' judgement; all if it can't be learned."""
+    """Texts that score as good ones, by the labels' judgement; all if it can't be learned.
+
+    NULL and empty texts are scored as empty ones, equal texts alike, each row by itself; scores
+    of exactly one half stay. No documents give none.
+    """
     model = ranking.fit(docs, table(spark, sf_dir, "labels"))
     scored = ranking.score(docs, model, ("_quality_score", "_quality"))
     return scored.where("_quality = 1").select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the least id; of equal rows one."""
-    groups = neardup.duplicate_groups(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
-    kept = groups.where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    unique = docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    copies = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy("doc_id")
+    """One document of each group of near copies, that with the least id; of equal rows one.
+
+    Documents are told apart by id and text: where an id is repeated with other texts, each text
+    stays or goes with its own group. Of a group's rows with the least id the one of least text
+    hash stays; rows without an id stay only if the whole group has none. NULL texts and those
+    without words are in no group. No documents give none.
+    """
+    rows = neardup.grouped(docs, SHINGLE_WORDS, SIMILAR_PERCENT)
+    order = F.struct(F.col("doc_id").isNull().alias("_none"), "doc_id", "text_key")
+    chosen = rows.where(F.col("group").isNotNull()).groupBy("group").agg(F.min(order).alias("_row"))
+    alone = rows.where(F.col("group").isNull()).select("doc_id", "text_key").distinct()
+    kept = chosen.select("_row.doc_id", "_row.text_key").unionByName(alone).toDF("_kept", "_key")
+    text_key = F.xxhash64("text")
+    unique = docs.join(
+        kept, docs["doc_id"].eqNullSafe(kept["_kept"]) & (text_key == kept["_key"]), "left_semi"
+    )
+    copies = Window.partitionBy("doc_id", text_key).orderBy("doc_id")
     return unique.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").drop("_copy")
 
 
@@ -50,7 +66,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes their words, rounded to whole documents.
 
     A text is left out where its source has more than its target, and comes up to three times
-    where it has less. Texts without words go.
+    where it has less; halves are rounded up. NULL texts and those without words go. Rows of one
+    id and text are repeated by what all of them take together. No documents give none.
     """
     taken = (
         mixing.taken_words(docs)
@@ -68,7 +85,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, the token ids, their number and hash, and the hash of the decoded text."""
+    """doc_id, the token ids, their number and hash, and the hash of the decoded text.
+
+    NULL texts are encoded as empty ones, each row by itself, whole texts however long. No
+    documents give no rows.
+    """
     encoded = bpe.encode_decode(docs)
     return bpe.code_digest(encoded, "ids")
 
