@@ -26,6 +26,8 @@ FEATURES = 2048
 #: Rows that the machines are fitted on, over all languages: a sample of the learning rows, as
 #: many of each language, of which there are at least one of each.
 SAMPLE = 3200
+#: Counts of up to so many languages are sent to every task; more are joined.
+MOST_SENT = 100_000
 SEED = 5
 UNDETERMINED = "und"
 FOLDS, HELD_OUT = 3, 1
@@ -169,7 +171,8 @@ def learning_sample(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """
     rows = docs.where((fold(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("lang").isNotNull())
     key = F.xxhash64(F.lit(SEED), "doc_id")
-    counts = rows.groupBy("lang").agg(F.approx_count_distinct(key).alias("_ids"))
+    counted = rows.groupBy("lang").agg(F.approx_count_distinct(key).alias("_ids"))
+    counts = settled(counted, "language-counts")
     languages = counts.count()
     each = max(1, sample // max(languages, 1))
     keyed = rows.select(
@@ -180,7 +183,9 @@ def learning_sample(docs: DataFrame, sample: int = SAMPLE) -> DataFrame:
     )
     # About twice as many ids and some more, so that there are enough; then exactly as many rows.
     likely = F.col("_key") * F.col("_ids") < (2 * each + 20) * (1 << 20)
-    drawn = keyed.join(counts, "lang").where(likely)
+    # Sent to every task while there are few: no text is shuffled but the sample's.
+    sent = F.broadcast(counts) if languages <= MOST_SENT else counts
+    drawn = keyed.join(sent, "lang").where(likely)
     first = Window.partitionBy("lang").orderBy("_key", "_text_key")
     return drawn.withColumn("_nth", F.row_number().over(first)).where(
         F.col("_nth") <= each
