@@ -7,18 +7,22 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.schemas import EventKind, ddl
+from tallybrook.schemas import POSITION_FIELDS, EventKind, ddl
 
 REJECTED = "rejected_json"
 
 
-def envelope(raw: DataFrame) -> DataFrame:
-    """Name the parts of a source message; key and value become text."""
+def envelope(raw: DataFrame, positions: bool = False) -> DataFrame:
+    """Name the parts of a source message; key and value become text.
+
+    With ``positions`` it keeps the message's partition and offset.
+    """
     return raw.select(
         F.col("key").cast("string").alias("user_id_key"),
         F.col("value").cast("string").alias("raw_json"),
         F.col("topic"),
         F.col("timestamp").alias("kafka_timestamp"),
+        *(POSITION_FIELDS if positions else ()),
     )
 
 

@@ -1,9 +1,9 @@
 """Dashboard numbers, as sums over additive facts.
 
-``facts`` turns messages into one row per event with additive measures; ``cube`` adds them
-up per combination of dimensions. Every metric below is a sum over either of them, so a
-metric can run on the events themselves (batch) or on a cube that a stream keeps current,
-and several metrics can share one pass over the events.
+``facts`` turns messages into one row per event with additive measures; ``panels`` adds them up
+per label of each dimension. Every metric below is a sum over either of them, so a metric can
+run on the events themselves (batch) or on the panels that a stream keeps current, and several
+metrics can share one pass over the events.
 """
 
 from __future__ import annotations
@@ -73,7 +73,7 @@ def lake_facts(*lake_tables: DataFrame) -> DataFrame:
 
 
 def _measure(events: DataFrame) -> DataFrame:
-    """Dimensions a kind has no metric for become NULL, which keeps the cube small."""
+    """Dimensions a kind has no metric for become NULL, which keeps the panels small."""
     is_order, is_click, is_payment = (
         F.col("event_type").eqNullSafe(kind.name) for kind in (ORDER, CLICK, PAYMENT)
     )
@@ -103,14 +103,6 @@ def _total(measure: str, dtype: str = "long") -> Column:
     return F.coalesce(F.sum(measure), F.lit(0)).cast(dtype)
 
 
-def cube(measured: DataFrame) -> DataFrame:
-    """Measures per combination of dimensions: one pass, one shuffle.
-
-    Its size is the product of the label counts; ``panels`` is their sum.
-    """
-    return measured.groupBy(*DIMENSIONS).agg(*_sums())
-
-
 def _sums() -> list[Column]:
     counts = [F.sum(name).alias(name) for name in COUNTS]
     return [*counts, F.sum("revenue").cast(C.MONEY_SUM).alias("revenue")]
@@ -228,7 +220,7 @@ def cycle_points(measured: DataFrame, seconds: int, at: str = "kafka_timestamp")
     """Orders and revenue per cycle of time; a cycle exists once any message falls in it.
 
     Cycles of arrival by default: one wrong clock among the senders can't move them. By
-    ``event_ts`` a series may end with an event of the far future; see ``not_ahead``.
+    ``event_ts`` a series may end with an event of the far future.
 
     Per cycle, not per minute. Messages without a time belong to none. They are left out
     after counting: ``window`` would filter on the time before, and so parse twice.
@@ -242,25 +234,6 @@ def cycle_points(measured: DataFrame, seconds: int, at: str = "kafka_timestamp")
     return sums.where(F.col("timed") > 0).drop("timed")
 
 
-def not_ahead(measured: DataFrame, tolerance: str = "1 hour") -> DataFrame:
-    """Facts whose event time, if any, is at most ``tolerance`` after their arrival.
-
-    Others keep their measures but lose their event time, so that they are in no cycle;
-    ``ahead`` counts them.
-    """
-    return measured.withColumn("event_ts", F.when(~_ahead(tolerance), F.col("event_ts")))
-
-
-def ahead(measured: DataFrame, tolerance: str = "1 hour") -> DataFrame:
-    """How many events are dated more than ``tolerance`` after their arrival."""
-    return measured.agg(F.count_if(_ahead(tolerance)).alias("ahead"))
-
-
-def _ahead(tolerance: str) -> Column:
-    latest = F.col("kafka_timestamp") + F.expr(f"INTERVAL {tolerance}")
-    return F.coalesce(F.col("event_ts") > latest, F.lit(False))
-
-
 def last_cycles(points: DataFrame, seconds: int, n: int = HISTORY) -> DataFrame:
     """The last n cycles up to the latest point, in order, zero where nothing happened.
 

@@ -131,7 +131,28 @@ part AS (
     CAST(sum(total_d) AS DOUBLE) AS revenue
   FROM o GROUP BY 1)"""
 
+_HOLED = f"""
+WITH placed AS (
+  SELECT {_TOPIC} AS topic, CAST(event_id % 4 AS INTEGER) AS partition,
+    CAST(event_id // 4 AS BIGINT) AS "offset"
+  FROM events WHERE {_KNOWN}),
+log AS (
+  SELECT * FROM placed WHERE "offset" % 50 > 2 AND "offset" NOT BETWEEN 300 AND 700)"""
+
 ORACLE_SQL: dict[str, str] = {
+    "offset_gaps": f"""{_HOLED},
+following AS (
+  SELECT *, lead("offset") OVER (PARTITION BY topic, partition ORDER BY "offset") AS later
+  FROM (SELECT DISTINCT * FROM log))
+SELECT topic, partition, "offset" + 1 AS first_missing, later - 1 AS last_missing,
+  later - "offset" - 1 AS missing
+FROM following WHERE later > "offset" + 1""",
+    "offset_coverage": f"""{_HOLED}
+SELECT topic, partition, min("offset") AS first_offset, max("offset") AS last_offset,
+  count(DISTINCT "offset") AS present,
+  max("offset") - min("offset") + 1 - count(DISTINCT "offset") AS missing,
+  count(*) + count(*) FILTER ("offset" % 7 = 0) - count(DISTINCT "offset") AS repeated
+FROM log GROUP BY 1, 2""",
     "envelope_topic_counts": f"""
 SELECT {_TOPIC} AS topic, count(*) AS n FROM events WHERE {_KNOWN} GROUP BY 1""",
     "publish_frame": f"""

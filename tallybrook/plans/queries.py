@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallybrook.functions import columns as C
-from tallybrook.operators import display, pricing, publish
+from tallybrook.operators import display, positions, pricing, publish
 from tallybrook.operators import metrics as M
 from tallybrook.operators.decode import REJECTED, decode_with_rejects, envelope, parse
 from tallybrook.operators.enrich import enrich, lake_rows
@@ -20,7 +20,7 @@ from tallybrook.plans.workspace import fresh_folder
 from tallybrook.schemas import CLICK, KINDS, ORDER, PAYMENT, PARTITION_FIELDS, EventKind
 from tallybrook.sources import tables
 from tallybrook.sources.lake import read_lake, settle
-from tallybrook.sources.messages import stream_messages
+from tallybrook.sources.messages import batch_messages, stream_messages
 from tallybrook.streaming import ingest, live
 from tallybrook.streaming import publish as publishing
 
@@ -555,6 +555,34 @@ def lake_kpi_totals(spark, sf_dir):
     return M.kpi_totals(M.lake_facts(*[read_lake(spark, lake, kind) for kind in KINDS]))
 
 
+def _holed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of a log with four partitions a topic, without some, and with some twice."""
+    sound = tables.messages(spark, sf_dir)
+    number = F.regexp_extract("raw_json", '"event_id":"([0-9]+)"', 1).cast("long")
+    placed = sound.select(
+        F.col("user_id_key").cast("binary").alias("key"),
+        F.col("raw_json").cast("binary").alias("value"),
+        "topic",
+        F.col("kafka_timestamp").alias("timestamp"),
+        (number % 4).cast("int").alias("partition"),
+        F.floor(number / 4).alias("offset"),
+    )
+    left = placed.where("offset % 50 > 2 AND offset NOT BETWEEN 300 AND 700")
+    log = fresh_folder(spark, "log")
+    left.unionByName(left.where("offset % 7 = 0")).write.parquet(log)
+    return batch_messages(spark, "parquet", path=log, positions=True)
+
+
+@query
+def offset_gaps(spark, sf_dir):
+    return positions.offset_gaps(_holed_log(spark, sf_dir))
+
+
+@query
+def offset_coverage(spark, sf_dir):
+    return positions.offset_coverage(_holed_log(spark, sf_dir))
+
+
 @query
 def stream_rejects(spark, sf_dir):
     """The texts of damaged messages, kept by a stream of their own."""

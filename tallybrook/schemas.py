@@ -68,6 +68,9 @@ MESSAGE_FIELDS = {
     "timestamp": "timestamp",
 }
 
+# Where in its topic a message was, if the log says so.
+POSITION_FIELDS = {"partition": "int", "offset": "bigint"}
+
 PARTITION_FIELDS = {"date": "date", "hour": "int"}
 
 

@@ -10,7 +10,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from tallybrook.operators.decode import envelope
-from tallybrook.schemas import MESSAGE_FIELDS, TOPICS, ddl
+from tallybrook.schemas import MESSAGE_FIELDS, POSITION_FIELDS, TOPICS, ddl
 
 KAFKA = "kafka"
 
@@ -60,21 +60,33 @@ def kafka_sink_options(servers: str) -> dict[str, str]:
     }
 
 
-def _load(reader, fmt: str, options: Mapping[str, str], path: str | None) -> DataFrame:
+def _load(
+    reader, fmt: str, options: Mapping[str, str], path: str | None, positions: bool
+) -> DataFrame:
     configured = reader.format(fmt).options(**options)
     if fmt != KAFKA:
-        configured = configured.schema(ddl(MESSAGE_FIELDS))
-    return envelope(configured.load(path) if path else configured.load())
+        also = POSITION_FIELDS if positions else {}
+        configured = configured.schema(ddl({**MESSAGE_FIELDS, **also}))
+    return envelope(configured.load(path) if path else configured.load(), positions)
 
 
 def stream_messages(
-    spark: SparkSession, fmt: str, options: Mapping[str, str] = {}, path: str | None = None
+    spark: SparkSession,
+    fmt: str,
+    options: Mapping[str, str] = {},
+    path: str | None = None,
+    positions: bool = False,
 ) -> DataFrame:
-    return _load(spark.readStream, fmt, options, path)
+    """Messages as they arrive; with ``positions`` also their partition and offset."""
+    return _load(spark.readStream, fmt, options, path, positions)
 
 
 def batch_messages(
-    spark: SparkSession, fmt: str, options: Mapping[str, str] = {}, path: str | None = None
+    spark: SparkSession,
+    fmt: str,
+    options: Mapping[str, str] = {},
+    path: str | None = None,
+    positions: bool = False,
 ) -> DataFrame:
     """The log as it is now. A broker needs ``starting="earliest"`` here."""
-    return _load(spark.read, fmt, options, path)
+    return _load(spark.read, fmt, options, path, positions)
