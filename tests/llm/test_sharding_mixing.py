@@ -63,6 +63,71 @@ def test_records_keep_their_columns_and_are_written(spark, tmp_path):
     assert back.where("shard = 2").count() == 8
 
 
+def shuffle_by_hand(records, buckets):
+    """The order of two passes, given each record's bucket: buckets in order, each in any order."""
+    by_bucket = defaultdict(Counter)
+    for bucket, record in zip(buckets, records):
+        by_bucket[bucket][record] += 1
+    return [by_bucket[b] for b in sorted(by_bucket)]
+
+
+def test_order_is_that_of_two_passes(spark):
+    """Buckets by the seeded hash, end to end; inside each all of its records and no others."""
+    found = [(i, f"text {i}", "en", "s") for i in range(3000)] + [(5, "text 5", "en", "s")] * 3
+    docs = documents(spark, found).select("doc_id", "text", F.lit(1000).cast("long").alias("size"))
+    total = len(found) * 1000
+    buckets = -(-total // (1 << 18))
+    key = F.xxhash64(F.lit(sharding.SEED), "doc_id", "text")
+    numbered = docs.select("doc_id", F.pmod(key, F.lit(buckets)).alias("b")).collect()
+    want = shuffle_by_hand([r["doc_id"] for r in numbered], [r["b"] for r in numbered])
+    placed, rows_ = sharding.shuffled(docs, ["doc_id", "text"], "size", bucket_bytes=1 << 18)
+    got = [r["doc_id"] for r in placed.orderBy("position").collect()]
+    assert rows_ == len(got) == len(found)
+    at = 0
+    for bucket in want:
+        n = sum(bucket.values())
+        part = got[at : at + n]
+        assert Counter(part) == bucket and (n < 9 or part != sorted(part))
+        at += n
+
+
+@pytest.mark.parametrize("text", ["the same text", None])
+def test_equal_rows_spread_over_all_buckets(spark, text):
+    """Two thirds of all rows are one record; no bucket gets more of it than its part."""
+    same = spark.range(20_000).select(
+        F.lit(None if text is None else 7).cast("long").alias("doc_id"), F.lit(text).alias("text")
+    )
+    others = spark.range(10_000).select("id", F.concat(F.lit("text "), "id").alias("text"))
+    docs = same.union(others).withColumn("size", sharding.text_bytes())
+    placed, rows_ = sharding.shuffled(docs, ["doc_id", "text"], "size", bucket_bytes=1 << 16)
+    assert rows_ == 30_000
+    order = [r["doc_id"] for r in placed.orderBy("position").collect()]
+    assert len(order) == 30_000
+    hot = None if text is None else 7
+    shares = [sum(i == hot for i in order[n : n + 3000]) for n in range(0, 30_000, 3000)]
+    assert min(shares) > 1500 and max(shares) < 2500
+    again, _ = sharding.shuffled(
+        docs.repartition(5), ["doc_id", "text"], "size", bucket_bytes=1 << 16
+    )
+    assert [r["doc_id"] for r in again.orderBy("position").collect()] == order
+    assert Counter(i for i in order if i != hot) == Counter(i for i in range(10_000) if i != hot)
+
+
+def test_digest_is_of_the_written_texts(spark, monkeypatch):
+    """Whole texts are in the shards; what the query returns is read from there."""
+    written = []
+    write = sharding.write_shards
+    monkeypatch.setattr(
+        sharding, "write_shards", lambda frame, path: (written.append(path), write(frame, path))
+    )
+    got = sharding.shard_digest(documents(spark), shards=3).collect()
+    back = spark.read.parquet(written[0]).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in back) == Counter((i, t) for i, t, _, _ in rows())
+    assert Counter((r["doc_id"], r["shard"], r["slot"]) for r in back) == Counter(
+        (r["doc_id"], r["shard"], r["slot"]) for r in got
+    )
+
+
 @pytest.mark.parametrize(
     ("sizes", "weights", "want"),
     [
