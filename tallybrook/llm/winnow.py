@@ -18,14 +18,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from tallybrook.llm.common import shipped
+from tallybrook.llm.common import settled, shipped
 
 K = 12
 #: Hashes of a window at most.
 WINDOW = 16
 ROWS_A_RANGE = 2000
 MOST_RANGES = 1 << 16
+MOST_LONG = (1 << 63) - 1
 
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -98,9 +100,9 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
     return shared / (len(a) + len(b) - shared)
 
 
-def as_text(hashes: np.ndarray) -> str:
-    """Eight hexadecimal digits a hash, in order of position."""
-    return hashes.astype(">u4").tobytes().hex()
+def as_text(values: np.ndarray) -> str:
+    """Eight hexadecimal digits a hash or position, in order of position."""
+    return values.astype(">u4").tobytes().hex()
 
 
 def fingerprints(docs: DataFrame, k: int = K, window: int | None = None) -> DataFrame:
@@ -135,26 +137,57 @@ def _range_no(value: Column, bounds: list[int]) -> Column:
     return F.when(part == 0, 0).otherwise((part - 1) * step + rest)
 
 
+def _parts_of_large(large: DataFrame, rows: int, rows_a_range: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of ids with more than a range each, cut by text; and what follows each part but the last.
+
+    ``part`` grows with the text inside a range. Equal rows are spread over parts by a number of
+    their own, given where they are read.
+    """
+    numbered = large.withColumn("_number", F.monotonically_increasing_id())
+    parts = -(-rows // rows_a_range)
+    cut = settled(
+        numbered.repartitionByRange(parts, "range_no", "text", "_number").select(
+            "doc_id", "text", "range_no", "extra", F.spark_partition_id().alias("part")
+        ),
+        "large-ids",
+    )
+    firsts = cut.groupBy("range_no", "part", "doc_id").agg(F.min("text").alias("_first"))
+    after = F.lead("_first").over(Window.partitionBy("range_no").orderBy("part"))
+    follows = firsts.select(
+        "doc_id", after.alias("text"), "range_no", F.lit(1).alias("extra"), "part"
+    )
+    return cut, settled(follows, "large-follows")
+
+
 def with_next(docs: DataFrame, rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
     """Documents in ranges of descending doc_id, each range followed by the next one's first.
 
     ``range_no`` and ``extra`` (1 for the row that only follows) say so; the rows of a range are
-    in one partition, in order. Each text is shuffled once. NULL ids come last, equal ids go by
-    text. The first document follows the last. Ranges are few and known to the driver.
+    in one partition of their own, in order. Each text is shuffled once. NULL ids come last,
+    equal ids go by text. An id (or NULL) with more rows than a range has ranges of its own, cut
+    by text, equal rows too; its texts are written once more. The first document follows the
+    last. Ranges are few and known to the driver.
     """
     spark = docs.sparkSession
     named = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     ids = named.select("doc_id")
     rows = ids.count()
     ranges = max(1, min(MOST_RANGES, -(-rows // rows_a_range)))
-    bounds: list[int] = []
+    # At least rows / MOST_RANGES, so there are no more such ids than ranges.
+    most = max(rows_a_range, -(-rows // ranges))
+    repeated = ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+    large = {row["doc_id"]: row["n"] for row in repeated.collect()}
+    bounds: set[int] = set()
     if ranges > 1:
         shares = [i / ranges for i in range(1, ranges)]
         cuts = ids.agg(F.percentile_approx("doc_id", shares, max(10_000, 4 * ranges))).first()[0]
-        bounds = sorted(set(cuts or ()))
-    low = _range_no(F.col("doc_id"), bounds)
-    last = len(bounds) + 1
-    ranged = F.when(F.col("doc_id").isNull(), last).otherwise(len(bounds) - low).cast("int")
+        bounds.update(cuts or ())
+    # A large id is alone in its range.
+    known = [i for i in large if i is not None]
+    edges = sorted(bounds | set(known) | {i + 1 for i in known if i < MOST_LONG})
+    low = _range_no(F.col("doc_id"), edges)
+    last = len(edges) + 1
+    ranged = F.when(F.col("doc_id").isNull(), last).otherwise(len(edges) - low).cast("int")
     placed = named.select("doc_id", "text", ranged.alias("range_no"), F.lit(0).alias("extra"))
 
     firsts = ids.select("doc_id", ranged.alias("range_no")).groupBy("range_no")
@@ -169,7 +202,25 @@ def with_next(docs: DataFrame, rows_a_range: int = ROWS_A_RANGE) -> DataFrame:
     heads = named.join(F.broadcast(targets), named["doc_id"].eqNullSafe(targets["_first"]))
     extra = heads.groupBy("doc_id", "range_no").agg(F.min("text").alias("text"))
     followed = placed.unionByName(extra.withColumn("extra", F.lit(1)))
-    return followed.repartition(len(bounds) + 2, "range_no").sortWithinPartitions(
+    partitions = last + 1
+    if large:
+        numbers = [no for no, first in found if first in large]
+        is_large = F.col("range_no").isin(numbers)
+        total = sum(large.values())
+        cut, follows = _parts_of_large(placed.where(is_large), total, rows_a_range)
+        # What follows a large id as a whole follows its last part.
+        ends = follows.where(F.col("text").isNull()).select("range_no", "part")
+        tails = extra.withColumn("extra", F.lit(1)).join(ends, "range_no")
+        parts = cut.unionByName(follows.where(F.col("text").isNotNull())).unionByName(tails)
+        width = -(-total // rows_a_range)
+        own = {no: at for at, no in enumerate(numbers)}
+        offset = F.create_map(*[F.lit(v) for pair in own.items() for v in pair])
+        numbered = parts.withColumn(
+            "range_no", (last + 1 + offset[F.col("range_no")] + F.col("part")).cast("int")
+        ).drop("part")
+        followed = followed.where(~is_large).unionByName(numbered)
+        partitions += width + len(numbers)
+    return followed.repartitionById(partitions, "range_no").sortWithinPartitions(
         "range_no", "extra", F.desc_nulls_last("doc_id"), "text"
     )
 
@@ -178,21 +229,23 @@ def edited_likeness(docs: DataFrame, k: int = K, window: int | None = None) -> D
     """Fingerprints of each text, of its edited text, and how alike they and the next one's are.
 
     In the edited text the last third is replaced by the beginning of the next document (see
-    ``with_next``). Fingerprints come as text of hexadecimal hashes. NULL counts as empty, whose
+    ``with_next``). Fingerprints come as text of hexadecimal hashes, and ``positions`` say in the same way where
+    in the text each of them begins. NULL counts as empty, whose
     fingerprint is empty; repeated rows are documents of their own; an empty table gives no
     rows; columns besides doc_id and text are ignored.
     """
     names = (
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
-        "near_edited", "near_next", "n_prints",
+        "near_edited", "near_next", "n_prints", "positions",
     )
     types = (
         pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(),
-        pa.float64(), pa.float64(), pa.int64(),
+        pa.float64(), pa.float64(), pa.int64(), pa.string(),
     )
     schema = pa.schema(list(zip(names, types)))
 
-    def compared(doc_id, text: str, own: np.ndarray, following: str, theirs: np.ndarray) -> tuple:
+    def compared(doc_id, text: str, kept: tuple, following: str, theirs: np.ndarray) -> tuple:
+        own, positions = kept
         moved = len(text) // 3
         edited = text[: len(text) - moved] + following[:moved]
         changed = winnow(edited, k, window)[0]
@@ -205,6 +258,7 @@ def edited_likeness(docs: DataFrame, k: int = K, window: int | None = None) -> D
             likeness(own, changed),
             likeness(own, theirs),
             len(own),
+            as_text(positions),
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,9 +270,9 @@ def edited_likeness(docs: DataFrame, k: int = K, window: int | None = None) -> D
                 open_ = waiting is not None and waiting[0] == no
                 if extra and not open_:
                     continue
-                prints = winnow(text, k, window)[0]
+                prints = winnow(text, k, window)
                 if open_:
-                    out.append(compared(*waiting[1:], text, prints))
+                    out.append(compared(*waiting[1:], text, prints[0]))
                 waiting = None if extra else (no, doc_id, text, prints)
             values = list(zip(*out)) or [[] for _ in names]
             arrays = [pa.array(v, t) for v, t in zip(values, types)]
@@ -227,5 +281,6 @@ def edited_likeness(docs: DataFrame, k: int = K, window: int | None = None) -> D
     return with_next(docs).transform(shipped).mapInArrow(
         run,
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string,"
-        " edited_fingerprint string, near_edited double, near_next double, n_prints long",
+        " edited_fingerprint string, near_edited double, near_next double, n_prints long,"
+        " positions string",
     )

@@ -3,11 +3,12 @@ from __future__ import annotations
 import hashlib
 import math
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
 from tallybrook.llm import curves, winnow
 from tests.llm.support import documents, empty, rows
 
@@ -170,6 +171,7 @@ def test_edited_texts(spark, monkeypatch, rows_a_range):
             i, len(t), hashlib.sha256(e.encode()).hexdigest(), winnow.as_text(prints(t)),
             winnow.as_text(prints(e)), winnow.likeness(prints(t), prints(e)),
             winnow.likeness(prints(t), prints(n)), len(prints(t)),
+            winnow.as_text(winnow.winnow(t)[1]),
         )
         for i, t, e, n in edited(rows())
     ]
@@ -177,6 +179,24 @@ def test_edited_texts(spark, monkeypatch, rows_a_range):
     assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
 
 
+def test_large_ids_are_cut_by_text(spark, monkeypatch):
+    """Many rows of one id and of none, equal rows among them: still in order, over many tasks."""
+    monkeypatch.setattr(winnow.with_next, "__defaults__", (50,))
+    found = [(5, f"large {i * 7919 % 1000:04}", "en", "s") for i in range(400)]
+    found += [(None, f"none {i % 90:04}", "en", "s") for i in range(300)]
+    found += [(6, "the same text again", "en", "s")] * 250
+    found += [(i, f"other text {i}", "en", "s") for i in (*range(5), *range(7, 40))]
+    docs = documents(spark, found)
+    placed = winnow.with_next(docs)
+    sizes = placed.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert max(r["count"] for r in sizes) < 150
+    got = winnow.edited_likeness(docs).select("doc_id", "n_chars", "edited_sha256").collect()
+    want = [
+        (i, len(t), hashlib.sha256(e.encode()).hexdigest()) for i, t, e, _ in edited(found)
+    ]
+    assert Counter(map(tuple, got)) == Counter(want)
+
+
 def test_fingerprints_keep_positions(spark):
     got = {r["doc_id"]: r for r in winnow.fingerprints(documents(spark)).collect()}
     hashes, positions = winnow.winnow(dict((i, t) for i, t, _, _ in rows())[25])
