@@ -15,7 +15,7 @@ from tallybrook.operators.publish import publish_frame, unpublishable
 from tallybrook.schemas import KINDS, TOPICS, ddl
 from tallybrook.sources import lake
 from tallybrook.sources import messages as source
-from tallybrook.streaming import ingest, live, publish
+from tallybrook.streaming import ingest, live, progress, publish
 
 APP_NAME = "tallybrook"
 FORMAT = source.KAFKA
@@ -41,6 +41,8 @@ def _subscribed(args: argparse.Namespace, topics=TOPICS) -> dict[str, str]:
 
 
 def run_ingest(spark: SparkSession, args: argparse.Namespace) -> None:
+    if args.keep_progress:
+        spark.streams.addListener(progress.ProgressLog(spark, f"{args.base}/progress"))
     queries = ingest.land_all(
         lambda kind: source.stream_messages(spark, FORMAT, _subscribed(args, [kind.topic])),
         f"{args.base}/processed",
@@ -102,6 +104,7 @@ def arguments() -> argparse.ArgumentParser:
         job.set_defaults(run=run)
     jobs.choices["ingest"].add_argument("--scatter-hours", action="store_true")
     jobs.choices["ingest"].add_argument("--keep-rejects", action="store_true")
+    jobs.choices["ingest"].add_argument("--keep-progress", action="store_true")
     settling = jobs.add_parser("settle")
     settling.add_argument("--base", default=_default_base(), required=_default_base() is None)
     settling.add_argument("--drop-live", action="store_true")

@@ -247,6 +247,30 @@ SELECT variant, count(*) AS n,
   CASE WHEN variant BETWEEN 1 AND 6 THEN count(*) ELSE 0 END AS rejected,
   CASE WHEN variant IN (1, 2, 3, 5, 6) THEN count(*) ELSE 0 END AS with_rejected_text
 FROM (SELECT *, CAST(id % 8 AS INTEGER) AS variant FROM o) GROUP BY variant""",
+    "reject_reasons": f"""{_WITH_ORDERS}
+SELECT variant, CASE variant WHEN 1 THEN 'not json' WHEN 2 THEN 'no object' WHEN 3 THEN 'empty'
+    WHEN 4 THEN 'null' ELSE 'wrong type' END AS reason,
+  CASE variant WHEN 5 THEN 'quantity' WHEN 6 THEN 'unit_price' END AS field,
+  CASE variant WHEN 5 THEN 'int' WHEN 6 THEN 'double' END AS expected,
+  CASE WHEN variant IN (5, 6) THEN 'string' END AS found, count(*) AS n,
+  CAST(sum(CASE variant WHEN 5 THEN CAST(quantity AS DECIMAL(20,6))
+    WHEN 6 THEN CAST(value AS DECIMAL(20,6)) END) AS DOUBLE) AS total
+FROM (SELECT *, CAST(id % 8 AS INTEGER) AS variant FROM o)
+WHERE variant BETWEEN 1 AND 6 GROUP BY variant""",
+    "replayed_rejects": f"""{_WITH_ORDERS}
+SELECT variant, CASE WHEN mends THEN 'replayed' ELSE 'left' END AS outcome, count(*) AS n,
+  CASE WHEN mends THEN count(*) END AS dated,
+  CASE WHEN mends THEN CAST(sum(quantity) AS BIGINT) END AS units,
+  CASE WHEN mends THEN CAST(sum(total_d) AS DOUBLE) END AS revenue
+FROM (SELECT *, CAST(id % 8 AS INTEGER) AS variant, id % 8 IN (2, 5, 6) AS mends FROM o)
+WHERE variant BETWEEN 1 AND 6 GROUP BY variant, mends""",
+    "orders_sent_again": f"""{_WITH_ORDERS}
+SELECT price_tier, count(*) AS orders, CAST(sum(total_d) AS DOUBLE) AS revenue,
+  CAST(0 AS BIGINT) AS lag_seconds
+FROM o GROUP BY price_tier""",
+    "stream_progress": f"""{_PER_PART}
+SELECT batch_id, CAST(1 AS BIGINT) AS batches, orders AS rows, true AS ended, false AS failed
+FROM part""",
     "kpi_totals": f"{_KPIS} SELECT * FROM kpi",
     "orders_by_category": f"""{_WITH_ORDERS}
 SELECT *, CAST(row_number() OVER (ORDER BY orders DESC, category) AS INTEGER) AS rank

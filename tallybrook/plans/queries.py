@@ -16,12 +16,15 @@ from tallybrook.operators import display, positions, pricing, publish
 from tallybrook.operators import metrics as M
 from tallybrook.operators.decode import REJECTED, decode_with_rejects, envelope, parse
 from tallybrook.operators.enrich import enrich, lake_rows
+from tallybrook.operators.rejects import beyond_repair, replay
+from tallybrook.operators.rejects import reject_reasons as reasons_of
+from tallybrook.operators.repeats import unique_events
 from tallybrook.plans.workspace import fresh_folder
 from tallybrook.schemas import CLICK, KINDS, ORDER, PAYMENT, PARTITION_FIELDS, EventKind
 from tallybrook.sources import tables
 from tallybrook.sources.lake import read_lake, settle
 from tallybrook.sources.messages import batch_messages, stream_messages
-from tallybrook.streaming import ingest, live
+from tallybrook.streaming import ingest, live, progress
 from tallybrook.streaming import publish as publishing
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -223,22 +226,29 @@ def _damaged(raw_json: Column, variant: Column) -> Column:
     return result
 
 
-@query
-def bad_records(spark, sf_dir):
-    """What is left of damaged messages: the row always, the fields as far as readable."""
+def _damaged_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     sound = tables.messages(spark, sf_dir, ORDER)
     number = F.regexp_extract("raw_json", '"event_id":"([0-9]+)"', 1).cast("long")
     variant = (number % 8).cast("int")
-    damaged = sound.select(
+    return sound.select(
         "user_id_key",
         _damaged(F.col("raw_json"), variant).alias("raw_json"),
         "topic",
         # The arrival time carries the variant past decoding.
         F.timestamp_seconds(variant).alias("kafka_timestamp"),
     )
-    decoded = decode_with_rejects(damaged, ORDER)
+
+
+def _variant() -> Column:
+    return F.unix_seconds("kafka_timestamp").cast("int").alias("variant")
+
+
+@query
+def bad_records(spark, sf_dir):
+    """What is left of damaged messages: the row always, the fields as far as readable."""
+    decoded = decode_with_rejects(_damaged_orders(spark, sf_dir), ORDER)
     rows = enrich(decoded, ORDER)
-    return rows.groupBy(F.unix_seconds("kafka_timestamp").cast("int").alias("variant")).agg(
+    return rows.groupBy(_variant()).agg(
         F.count(F.lit(1)).alias("n"),
         F.count("event_id").alias("with_event_id"),
         F.count("quantity").alias("with_quantity"),
@@ -250,6 +260,60 @@ def bad_records(spark, sf_dir):
     )
 
 
+def _rejected_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects as they are kept: a table of texts and arrival times."""
+    rows = decode_with_rejects(_damaged_orders(spark, sf_dir), ORDER).where("is_rejected")
+    kept = fresh_folder(spark, "rejects")
+    rows.select("kafka_timestamp", REJECTED).write.parquet(kept)
+    return spark.read.parquet(kept)
+
+
+@query
+def reject_reasons(spark, sf_dir):
+    """Why damaged messages were rejected: the reason, and what each wrong field held instead."""
+    told = reasons_of(_rejected_orders(spark, sf_dir), ORDER)
+    each = told.select(_variant(), "reason", F.explode_outer("problems").alias("problem"))
+    spelled = F.col("problem.text").cast("decimal(20,6)")
+    return each.groupBy("variant", "reason", "problem.field", "problem.expected", "problem.found").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(spelled).cast("double").alias("total")
+    )
+
+
+@query
+def replayed_rejects(spark, sf_dir):
+    """Rejects that are mended and decoded again, and those that are not."""
+    rejected = _rejected_orders(spark, sf_dir)
+    again = lake_rows(replay(rejected, ORDER), ORDER).groupBy(_variant()).agg(
+        F.lit("replayed").alias("outcome"),
+        F.count(F.lit(1)).alias("n"),
+        F.count("date").alias("dated"),
+        F.sum("quantity").alias("units"),
+        _revenue("total_amount"),
+    )
+    left = beyond_repair(rejected, ORDER).groupBy(_variant()).agg(
+        F.lit("left").alias("outcome"), F.count(F.lit(1)).alias("n")
+    )
+    return again.unionByName(left, allowMissingColumns=True)
+
+
+@query
+def orders_sent_again(spark, sf_dir):
+    """A third of the orders comes a second time, a seventh another time; each counts once."""
+    sent = tables.messages(spark, sf_dir, ORDER)
+    number = F.regexp_extract("raw_json", '"event_id":"([0-9]+)"', 1).cast("long")
+    for every, hours in ((3, 1), (7, 2)):
+        repeated = tables.messages(spark, sf_dir, ORDER).where(number % every == 0)
+        later = F.col("kafka_timestamp") + F.make_interval(hours=F.lit(hours))
+        sent = sent.unionByName(repeated.withColumn("kafka_timestamp", later))
+    once = unique_events(lake_rows(sent, ORDER))
+    lag = F.unix_seconds("kafka_timestamp") - F.unix_seconds("event_ts")
+    return once.groupBy("price_tier").agg(
+        F.count(F.lit(1)).alias("orders"),
+        _revenue("total_amount"),
+        F.sum(lag).alias("lag_seconds"),
+    )
+
+
 # Dashboard
 
 
@@ -521,6 +585,23 @@ def stream_ingest_orders(spark, sf_dir):
     return _tier_totals(read_lake(spark, lake, ORDER))
 
 
+@query
+def stream_progress(spark, sf_dir):
+    """What the landing query reported, one run after the other: each in a row of its own."""
+    path, lake = fresh_folder(spark, "progress"), fresh_folder(spark, "lake")
+    with progress.recorded(spark, path):
+        _land(spark, sf_dir, lake, (ORDER,), PARTS)
+    told = progress.runs(progress.read_progress(spark, path))
+    batch = progress.read_progress(spark, path).where("`rows` > 0").select("run_id", "batch_id")
+    return told.join(batch, "run_id").select(
+        "batch_id",
+        "batches",
+        "rows",
+        (F.col("ended_at") >= F.col("started_at")).alias("ended"),
+        F.col("error").isNotNull().alias("failed"),
+    )
+
+
 @query
 def stream_ingest_stamps(spark, sf_dir):
     """Every landed row is stamped with a time of the run."""

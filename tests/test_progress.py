@@ -1,0 +1,67 @@
+"""What queries report is kept: each run, its rows, and an error that ended it."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import functions as F
+
+from support import ORDER_EVENT, event, raw
+from tallybrook.schemas import ORDER
+from tallybrook.sources.messages import stream_messages
+from tallybrook.streaming import ingest, progress
+
+ONCE = {"availableNow": True}
+
+
+def land(spark, tmp_path, messages=None):
+    arriving = messages or stream_messages(spark, "parquet", path=str(tmp_path / "log"))
+    query = ingest.land(
+        arriving, ORDER, str(tmp_path / "lake"), str(tmp_path / "state"), trigger=ONCE
+    )
+    ingest.finish([query])
+
+
+def test_runs_are_kept(spark, tmp_path):
+    log = str(tmp_path / "progress")
+    with progress.recorded(spark, log):
+        for sent in ([ORDER_EVENT], [event("order", event_id=f"e{i}") for i in range(5)]):
+            raw(spark, sent).write.mode("append").parquet(str(tmp_path / "log"))
+            land(spark, tmp_path)
+    rows = progress.runs(progress.read_progress(spark, log)).orderBy("started_at").collect()
+    assert [(r["rows"], r["batches"], r["error"]) for r in rows] == [(1, 1, None), (5, 1, None)]
+    assert len({r["query_id"] for r in rows}) == 1 and len({r["run_id"] for r in rows}) == 2
+    assert all(r["started_at"] <= r["ended_at"] and r["longest_ms"] >= 0 for r in rows)
+    assert {r["behind"] for r in rows} == {None}
+
+
+def test_a_failure_is_kept(spark, tmp_path):
+    log = str(tmp_path / "progress")
+    raw(spark, [ORDER_EVENT]).write.parquet(str(tmp_path / "log"))
+    arriving = stream_messages(spark, "parquet", path=str(tmp_path / "log"))
+    broken = arriving.withColumn(
+        "raw_json", F.when(F.raise_error(F.lit("broken on purpose")).isNull(), F.col("raw_json"))
+    )
+    with progress.recorded(spark, log), pytest.raises(StreamingQueryException):
+        land(spark, tmp_path, broken)
+    row = progress.runs(progress.read_progress(spark, log)).first()
+    assert "broken on purpose" in row["error"] and row["ended_at"] is not None and row["rows"] == 0
+
+
+def test_a_run_that_never_told_its_end(spark):
+    told = spark.createDataFrame(
+        [("q", "r", None, progress.STARTED, None, None, None, None, None, None, 5, None)],
+        progress.DDL,
+    )
+    row = progress.runs(told).first()
+    assert (row["ended_at"], row["rows"], row["batches"]) == (None, 0, 0)
+
+
+def test_backlog_is_that_of_the_partition_furthest_behind():
+    class Source:
+        def __init__(self, **metrics):
+            self.metrics = metrics
+
+    far = Source(maxOffsetsBehindLatest="12.0")
+    assert progress._behind([Source(), far, Source(maxOffsetsBehindLatest="3")]) == 12
+    assert progress._behind([Source()]) is None
