@@ -94,9 +94,11 @@ def shuffled(
         )
         more = spread.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
         counted = counted.unionByName(more).groupBy("bucket").agg(F.sum("n").alias("n"))
+    # Neighbouring buckets share a task, as many in each.
     gathered = (
-        scattered.repartition(tasks, "bucket")
-        .groupBy("bucket")
+        scattered.withColumn("task", F.expr(f"bucket div {BUCKETS_A_TASK}").cast("int"))
+        .repartitionById(tasks, "task")
+        .groupBy("task", "bucket")
         .agg(F.sort_array(F.collect_list("record")).alias("records"))
         .sortWithinPartitions("bucket")
     )
