@@ -12,6 +12,15 @@ from tallybrook.schemas import POSITION_FIELDS, EventKind, ddl
 REJECTED = "rejected_json"
 
 
+def computed(frame: DataFrame, name: str, value: Column) -> DataFrame:
+    """Adds a column that is computed once a row, however often it is used.
+
+    Spark moves a filter below the columns that it asks for, parsing and all, and so repeats
+    them; it moves none below a generator.
+    """
+    return frame.withColumn(name, F.explode(F.array(value)))
+
+
 def envelope(raw: DataFrame, positions: bool = False) -> DataFrame:
     """Name the parts of a source message; key and value become text.
 
@@ -56,7 +65,8 @@ def decode_with_rejects(messages: DataFrame, kind: EventKind) -> DataFrame:
     """
     schema = ddl({**kind.fields, REJECTED: "string"})
     parsed = F.from_json("raw_json", schema, {"columnNameOfCorruptRecord": REJECTED})
-    kept = route(messages, kind).select(parsed.alias("payload"), "raw_json", "kafka_timestamp")
+    # Readers filter by ``is_rejected``; that must not parse, and make the message, once more.
+    kept = computed(route(messages, kind).select("raw_json", "kafka_timestamp"), "payload", parsed)
     # NULL and empty text give a NULL payload, which cannot hold its own text.
     no_object = F.col("payload").isNull()
     text = F.when(no_object, F.col("raw_json")).otherwise(F.col(f"payload.{REJECTED}"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallybrook.operators.decode import REJECTED
+from tallybrook.operators.decode import REJECTED, computed
 from tallybrook.schemas import EventKind, ddl
 
 #: A plain decimal number, as text. Casts alone would also take ``1d`` or ``true``.
@@ -47,23 +47,14 @@ def _problem(field: str, dtype: str) -> Column:
     )
 
 
-def _computed(frame: DataFrame, name: str, value: Column) -> DataFrame:
-    """Adds a column that is computed once a row, however often it is used.
-
-    Spark moves a filter below the columns that it asks for, parsing and all, and so repeats
-    them; it moves none below a generator.
-    """
-    return frame.withColumn(name, F.explode(F.array(value)))
-
-
 def _looked_at(rejects: DataFrame, kind: EventKind, text: Column) -> DataFrame:
     """Adds what the decoder reads of a text, what it holds, and its problems."""
     # Any value can be read as a string.
     typed = {name: dtype for name, dtype in kind.fields.items() if dtype != "string"}
-    parsed = _computed(rejects, "_read", F.from_json(text, ddl(kind.fields)))
-    found = _computed(parsed, "_found", F.try_parse_json(text))
+    parsed = computed(rejects, "_read", F.from_json(text, ddl(kind.fields)))
+    found = computed(parsed, "_found", F.try_parse_json(text))
     problems = F.array(*[_problem(name, dtype) for name, dtype in typed.items()])
-    return _computed(found, "problems", F.filter(problems, lambda p: p.isNotNull()))
+    return computed(found, "problems", F.filter(problems, lambda p: p.isNotNull()))
 
 
 def _is_object(value: Column) -> Column:
@@ -124,15 +115,15 @@ def mend(rejects: DataFrame, kind: EventKind) -> DataFrame:
         F.schema_of_variant(F.try_parse_json(text)).startswith("ARRAY"), F.lit(False)
     )
     inner = F.when(is_array, F.when(F.size(elements) == 1, F.get(elements, 0))).otherwise(text)
-    known = _looked_at(_computed(rejects, "_text", inner), kind, F.col("_text"))
+    known = _looked_at(computed(rejects, "_text", inner), kind, F.col("_text"))
     fields = [_mended(name, dtype).alias(name) for name, dtype in kind.fields.items()]
-    mended = _computed(known, "_mended", F.struct(*fields))
+    mended = computed(known, "_mended", F.struct(*fields))
     is_whole = _is_object(F.col("_found"))
     for name in kind.fields:
         left = F.array_contains("problems.field", name) & F.col(f"_mended.`{name}`").isNull()
         is_whole = is_whole & ~left
     message = F.when(is_whole, F.to_json("_mended"))
-    return _computed(mended, "mended_json", message).select(*rejects.columns, "mended_json")
+    return computed(mended, "mended_json", message).select(*rejects.columns, "mended_json")
 
 
 def replay(rejects: DataFrame, kind: EventKind) -> DataFrame:

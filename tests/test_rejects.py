@@ -119,6 +119,18 @@ def test_beyond_repair(spark, text):
     assert [r[REJECTED] for r in beyond_repair(rejected, ORDER).collect()] == [text]
 
 
+def test_rejects_are_parsed_once(spark):
+    """The filter by rejects neither parses again nor makes the message again."""
+    sent = messages(spark, [changed(quantity="3"), "not json", json.dumps(ORDER_EVENT)], topic=ORDER.topic)
+    made = sent.withColumn("raw_json", F.regexp_replace("raw_json", "Chicago", "Dallas"))
+    kept = decode_with_rejects(made, ORDER).where("is_rejected").select("kafka_timestamp", REJECTED)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == plan.count("regexp_replace(") == 1
+    assert sorted(r[REJECTED] for r in kept.collect()) == sorted(
+        [changed(quantity="3").replace("Chicago", "Dallas"), "not json"]
+    )
+
+
 def test_no_rejects(spark):
     none = rejects(spark, ["x"]).limit(0)
     for kind in KINDS:
