@@ -28,7 +28,7 @@ VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 
 #: Bytes of pieces in one recursive query, and characters of text cut into pieces at a time.
 QUERY_BYTES = 1 << 18
-TEXT_CHARS = 1 << 22
+TEXT_CHARS = 1 << 20
 #: Pieces that a task remembers, twice over: the newer and the older half.
 REMEMBERED = 350_000
 #: Longer pieces contract many pairs a round, in queries of some rounds each.
@@ -124,6 +124,27 @@ def merge_table(ranks: dict[bytes, int]) -> pa.Table:
     return pa.table({"pair": pa.array(pairs, pa.int64()), "made": pa.array(made, pa.int64())})
 
 
+class Remembered:
+    """Pieces by number, and by that number their ids and the bytes that they decode to.
+
+    Both are Arrow arrays: objects of Python's own would take a multiple of their bytes.
+    """
+
+    def __init__(self) -> None:
+        self.numbers: dict[str, int] = {}
+        self.ids, self.decoded = pa.array([], pa.string()), pa.array([], pa.binary())
+
+    def add(self, found: list[tuple[list[str], pa.Array, pa.Array]]) -> None:
+        for pieces, _, _ in found:
+            self.numbers.update(zip(pieces, range(len(self.numbers), len(self.numbers) + len(pieces))))
+        self.ids = pa.concat_arrays([self.ids, *[ids for _, ids, _ in found]])
+        self.decoded = pa.concat_arrays([self.decoded, *[decoded for _, _, decoded in found]])
+
+    def of(self, pieces: list[str]) -> tuple[pa.Array, pa.Array]:
+        at = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
+        return self.ids.take(pa.array(at)), self.decoded.take(pa.array(at))
+
+
 class Codec:
     """A vocabulary with its merge table in a database of this process."""
 
@@ -141,11 +162,7 @@ class Codec:
         }
         self.db.register("_vocabulary", pa.table(vocabulary))
         self.db.execute("CREATE TABLE vocabulary AS FROM _vocabulary")
-        # What is remembered of a piece: its ids, and the bytes that they decode to.
-        self.ids: dict[str, str] = {}
-        self.decoded: dict[str, bytes] = {}
-        self.older_ids: dict[str, str] = {}
-        self.older_decoded: dict[str, bytes] = {}
+        self.newer, self.older = Remembered(), Remembered()
 
     def _run(self, sql: str, start: pa.Table) -> pa.Table:
         self.db.register("start", start)
@@ -174,54 +191,54 @@ class Codec:
             start = rows.filter(pa.array(~done))
         return pa.concat_tables(found)
 
-    def _query(self, pieces: list[bytes]) -> tuple[list[str], list[bytes]]:
+    def _query(self, pieces: list[bytes]) -> tuple[pa.Array, pa.Array]:
         """Ids and decoded bytes of each piece."""
         self.db.register("codes", self._codes(pieces))
+        wanted = pa.array(pieces, pa.binary())
         for sql in (DECODE, DECODE_SORTED):
             rows = self.db.sql(sql).to_arrow_table()
-            decoded = rows["decoded"].to_pylist()
-            if decoded == pieces:
+            decoded = pa.concat_arrays(rows["decoded"].cast(pa.binary()).chunks)
+            if decoded.equals(wanted):
                 break
-        return rows["ids"].to_pylist(), decoded
+        return pa.concat_arrays(rows["ids"].cast(pa.string()).chunks), decoded
 
     def _learn(self, texts: Iterable[str]) -> None:
         """Encode pieces that aren't remembered, so many bytes a query, long ones apart."""
-        short, long = [], []
+        tokens, short, long = [], [], []
         for text in texts:
             piece = text.encode("utf-8", "surrogatepass")
             if piece in self.ranks:
-                self.ids[text], self.decoded[text] = str(self.ranks[piece]), piece
+                tokens.append((text, piece))
             else:
                 (short if len(piece) <= LONG_PIECE else long).append((text, piece))
+        found = []
+        if tokens:
+            part, pieces = zip(*tokens)
+            ids = pa.array([str(self.ranks[piece]) for piece in pieces], pa.string())
+            found.append((part, ids, pa.array(pieces, pa.binary())))
         for encoded in (short, long):
             start, size = 0, 0
             for i, (_, piece) in enumerate(encoded):
                 size += len(piece)
                 if size >= QUERY_BYTES or i + 1 == len(encoded):
                     part, pieces = zip(*encoded[start : i + 1])
-                    ids, decoded = self._query(list(pieces))
-                    self.ids.update(zip(part, ids))
-                    self.decoded.update(zip(part, decoded))
+                    found.append((part, *self._query(list(pieces))))
                     start, size = i + 1, 0
+        self.newer.add(found)
 
     def forget(self) -> None:
         """Free what is remembered: after its task a worker may go on with other work."""
-        self.ids, self.decoded, self.older_ids, self.older_decoded = {}, {}, {}, {}
+        self.newer, self.older = Remembered(), Remembered()
         pa.default_memory_pool().release_unused()
 
     def _remembered(self, pieces: list[str]) -> tuple[pa.Array, pa.Array]:
-        if len(self.ids) > REMEMBERED:
-            self.older_ids, self.older_decoded = self.ids, self.decoded
-            self.ids, self.decoded = {}, {}
-        new = [piece for piece in pieces if piece not in self.ids]
-        for piece in new:
-            if piece in self.older_ids:
-                self.ids[piece], self.decoded[piece] = self.older_ids[piece], self.older_decoded[piece]
-        self._learn([piece for piece in new if piece not in self.ids])
-        return (
-            pa.array(list(map(self.ids.__getitem__, pieces)), pa.string()),
-            pa.array(list(map(self.decoded.__getitem__, pieces)), pa.binary()),
-        )
+        if len(self.newer.numbers) > REMEMBERED:
+            self.newer, self.older = Remembered(), self.newer
+        new = [piece for piece in pieces if piece not in self.newer.numbers]
+        known = [piece for piece in new if piece in self.older.numbers]
+        self.newer.add([(known, *self.older.of(known))])
+        self._learn([piece for piece in new if piece not in self.newer.numbers])
+        return self.newer.of(pieces)
 
     def encode(self, texts: list[list[str]]) -> tuple[pa.Array, pa.Array]:
         """For each list of pieces the ids, joined by commas, and the bytes they decode to."""

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import public_tokenizers
@@ -59,6 +60,19 @@ def test_forgets_without_losing(codec, library, monkeypatch):
         assert encoded(small, text or "")[0] == ",".join(map(str, library.encode_ordinary(text or "")))
 
 
+def test_remembers_pieces_in_few_bytes():
+    """Ids and decoded bytes are kept in arrays, not as Python objects of each piece."""
+    fresh = bpe.Codec(public_tokenizers.path(bpe.VOCABULARY))
+    pieces = [f"q{i}zx{i * 7}" for i in range(5000)]
+    tracemalloc.start()
+    _, decoded = fresh._remembered(pieces)
+    fresh._remembered(["another piece"])  # Its rows take the place of the last query's.
+    kept, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert decoded.to_pylist() == [piece.encode() for piece in pieces]
+    assert kept / len(pieces) < 100
+
+
 def test_digest_of_all_rows(spark, library):
     got = bpe.code_digest(bpe.encode_decode(documents(spark))).collect()
     want = []
