@@ -104,7 +104,8 @@ def shuffled(
     )
     dealt = gathered.select("bucket", F.posexplode(F.shuffle("records", seed)))
     starts = with_starts(counted.withColumn("all", F.lit(0)), ["all"], "bucket", "n")
-    placed = dealt.join(starts.select("bucket", "start"), "bucket")
+    # A start for each 8 MB; sent to the tasks, so that the records aren't shuffled once more.
+    placed = dealt.join(F.broadcast(starts.select("bucket", "start")), "bucket")
     return (
         placed.select(
             *[F.col(f"col.`{name}`") for name in records.columns],

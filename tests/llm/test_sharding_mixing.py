@@ -113,6 +113,21 @@ def test_equal_rows_spread_over_all_buckets(spark, text):
     assert Counter(i for i in order if i != hot) == Counter(i for i in range(10_000) if i != hot)
 
 
+def test_whole_records_are_shuffled_once(spark):
+    """Whatever the starts of buckets are thought to weigh, the records aren't dealt by them again."""
+    docs = documents(spark).select("doc_id", "text", sharding.text_bytes().alias("size"))
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        placed, _ = sharding.shuffled(docs, ["doc_id", "text"], "size")
+        plan = placed._jdf.queryExecution().executedPlan().toString()
+        order = sorted(r["position"] for r in placed.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert order == list(range(len(rows())))
+    assert "BroadcastHashJoin [bucket#" in plan and "SortMergeJoin [bucket#" not in plan
+
+
 def test_digest_is_of_the_written_texts(spark, monkeypatch):
     """Whole texts are in the shards; what the query returns is read from there."""
     written = []
